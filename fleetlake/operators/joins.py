@@ -49,12 +49,14 @@ def lookup_join(
     null_safe: bool = False,
     condition: Column | None = None,
     limit: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large ``left`` to ``right`` on equal keys (``how``: left or inner).
 
     ``right`` should hold few rows per key. ``condition`` may add a residual test over
     the columns of both sides. Columns of ``left`` come first, then the non-key columns
-    of ``right``.
+    of ``right``. ``keys_from`` is a cheaper source of the same keys for finding hot ones:
+    in a chain of joins pass the first table, not the joined one.
     """
     extra = [c for c in right.columns if c not in on]
     keys = {k: f"_r_{k}" for k in on}
@@ -73,7 +75,7 @@ def lookup_join(
         joined = left.join(F.broadcast(right), match, how)
         return joined.select(*left.columns, *extra)
 
-    hot = hot_keys(left, on)
+    hot = hot_keys(left if keys_from is None else keys_from, on)
     left_salted = _mark_hot(left, on, hot).withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
         .otherwise(F.lit(0)).cast("int"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlake.operators.joins import lookup_join
 from fleetlake.operators.surrogate import dense_key
-from fleetlake.sources.scratch import checkpoint_dir
+from fleetlake.sources.scratch import materialised
 
 DEFAULT_VALID_FROM = datetime.date(2020, 1, 1)
 _KEPT, _CHANGED, _NEW = 0, 1, 2
@@ -41,7 +41,6 @@ def scd2_merge(existing: DataFrame, incoming: DataFrame, key: str, sk: str,
     date or ``as_of``. History and keys absent from the batch stay. Surrogate keys continue
     after the largest one: changed keys first, then new keys, each in key order.
     """
-    checkpoint_dir(existing.sparkSession)
     columns = existing.columns
     batch = one_row_per_key(incoming, key)
     attributes = [c for c in columns
@@ -70,10 +69,10 @@ def scd2_merge(existing: DataFrame, incoming: DataFrame, key: str, sk: str,
     replacement = {**fresh, "valid_from": F.lit(as_of)}
     addition = {**fresh, "valid_from": F.coalesce(F.col(f"_n_{start_column}"), F.lit(as_of))}
 
-    versions = joined.select(F.explode(
+    versions = materialised(joined.select(F.explode(
         F.when(changed, F.array(version(_KEPT, closed), version(_CHANGED, replacement)))
         .when(~known, F.array(version(_NEW, addition)))
-        .otherwise(F.array(version(_KEPT, kept)))).alias("_v")).select("_v.*").checkpoint()
+        .otherwise(F.array(version(_KEPT, kept)))).alias("_v")).select("_v.*"), "versions")
 
     last_sk = existing.agg(F.max(sk)).first()[0] or 0
     added = dense_key(versions.where(F.col("_kind") > _KEPT).drop(sk), ["_kind", key], sk, last_sk)
@@ -103,16 +102,16 @@ def version_at(fact: DataFrame, dim: DataFrame, key: str, date_column: str,
 
 def type1_upsert(existing: DataFrame, incoming: DataFrame, key: str, sk: str) -> DataFrame:
     """Overwrite attributes of known keys, append new ones, keep keys absent from the batch."""
-    checkpoint_dir(existing.sparkSession)
     columns = existing.columns
     batch = one_row_per_key(incoming, key)
     old = existing.select(*[F.col(c).alias(f"_o_{c}") for c in columns])
     new = batch.select(*[F.col(c).alias(f"_n_{c}") for c in batch.columns])
     arrived = F.col(f"_n_{key}").isNotNull()
-    merged = old.join(new, F.col(f"_o_{key}") == F.col(f"_n_{key}"), "full_outer").select(*[
-        (F.when(arrived, F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}"))
-         if c != sk and c in batch.columns else F.col(f"_o_{c}")).alias(c)
-        for c in columns]).checkpoint()
+    merged = materialised(
+        old.join(new, F.col(f"_o_{key}") == F.col(f"_n_{key}"), "full_outer").select(*[
+            (F.when(arrived, F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}"))
+             if c != sk and c in batch.columns else F.col(f"_o_{c}")).alias(c)
+            for c in columns]), "upsert")
     last_sk = existing.agg(F.max(sk)).first()[0] or 0
     added = dense_key(merged.where(F.col(sk).isNull()).drop(sk), [key], sk, last_sk)
     return merged.where(F.col(sk).isNotNull()).unionByName(added.select(*columns))

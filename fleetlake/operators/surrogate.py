@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from itertools import accumulate
 
-from fleetlake.sources.scratch import checkpoint_dir
+from pyspark.sql import DataFrame, functions as F
+
+from fleetlake.sources.scratch import materialised
 
 # monotonically_increasing_id() keeps the partition above and the row offset below this bit.
 _PARTITION_BITS = 33
@@ -14,21 +16,19 @@ def dense_key(df: DataFrame, order: list[str], name: str, start: int = 0) -> Dat
     """Add ``name`` = start + position (from 1) of each row in the order of ``order``.
 
     Range partitioning plus a sort within partitions gives each row its offset in its own
-    partition. A row per partition (not per record) then carries the running total of the
-    partitions before it. The ranged rows are checkpointed in between: range bounds are
-    sampled, so a second evaluation could cut the partitions elsewhere.
+    partition; the running total of the partitions before it makes that global. The ranged
+    rows are written in between: range bounds are sampled, so a second evaluation could cut
+    the partitions elsewhere. Only one count per partition, never a row, reaches the driver.
     """
-    checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_position", F.monotonically_increasing_id())
-              .withColumn("_part", F.shiftright("_position", _PARTITION_BITS))
-              .checkpoint())
-    # One row per partition: bounded by the partition count, so one ordered window is enough.
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col("_part").alias("_offset_part"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    ranged = materialised(
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_position", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_position", _PARTITION_BITS)), name)
+    sizes = {r["_part"]: r["n"] for r in
+             ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
+    last = max(sizes, default=0)
+    before = accumulate((sizes.get(p, 0) for p in range(last)), initial=start)
+    offsets = F.expr("array(" + ", ".join(f"{n}L" for n in before) + ")")
     within = F.col("_position") - F.shiftleft(F.col("_part"), _PARTITION_BITS)
-    return (ranged.join(F.broadcast(offsets), F.col("_part") == F.col("_offset_part"))
-            .select((F.lit(start) + F.col("_offset") + within + 1).alias(name), *df.columns))
+    return ranged.select(
+        (F.get(offsets, F.col("_part").cast("int")) + within + 1).alias(name), *df.columns)

@@ -97,8 +97,9 @@ def reset_control(spark: SparkSession, root: str, completed: list[str]) -> None:
 
 
 # ----------------------------------------------------------------------- audit
+# Logged figures round half to even, report figures (the views) half up.
 def step_rate() -> Column:
-    return F.round(F.coalesce(safe_divide(
+    return F.bround(F.coalesce(safe_divide(
         F.col("records_quarantined") * 100.0, F.col("records_in")), F.lit(0.0)), 2)
 
 
@@ -118,7 +119,7 @@ def step_row(spark: SparkSession, batch_id: str, stage: str, table: str, status:
 def with_step_rate(steps: DataFrame) -> DataFrame:
     """Add the rejection rate and round the duration of step records that lack them."""
     return steps.withColumns({"rejection_rate_pct": step_rate(),
-                              "duration_seconds": F.round("duration_seconds", 2)})
+                              "duration_seconds": F.bround("duration_seconds", 2)})
 
 
 def dq_metric_rows(metrics: DataFrame, batch_id: str, at: Column | None = None) -> DataFrame:
@@ -127,7 +128,7 @@ def dq_metric_rows(metrics: DataFrame, batch_id: str, at: Column | None = None)
                        F.lit(100.0))
     return metrics.select(
         F.lit(batch_id).alias("batch_id"), "table_name", "total_records", "valid_records",
-        "quarantined_records", F.round(score, 2).alias("data_quality_score_pct"),
+        "quarantined_records", F.bround(score, 2).alias("data_quality_score_pct"),
         (F.current_timestamp() if at is None else at).alias("evaluated_at"))
 
 
@@ -168,7 +169,7 @@ def latest_metrics(dq_metrics: DataFrame, batch_id: str, limit: int = 14) -> Dat
 def sample_rejections(rejection_log: DataFrame, batch_id: str, limit: int = 5) -> DataFrame:
     return (rejection_log.where(F.col("batch_id") == batch_id)
             .select("table_name", "record_pk", "rule_id", "rejection_reason")
-            .orderBy("table_name", "record_pk", "rule_id").limit(limit))
+            .orderBy("table_name", "record_pk", "rule_id", "rejection_reason").limit(limit))
 
 
 def key_measures(fact_trips: DataFrame, batch_id: str) -> DataFrame:
@@ -190,7 +191,8 @@ def breach_alerts(breaches: DataFrame) -> DataFrame:
         F.format_string(
             "Table '%s' in batch '%s' had a rejection rate of %.2f%%, "
             "exceeding the maximum allowed threshold of %.2f%%.",
-            "table_name", "batch_id", "rejection_rate_pct", "threshold_pct").alias("message"),
+            "table_name", "batch_id", F.bround("rejection_rate_pct", 2),
+            F.bround("threshold_pct", 2)).alias("message"),
         "batch_id", "table_name", "total_records", "quarantined_records", "rejection_rate_pct",
         "threshold_pct", F.lit("PIPELINE_HALTED_BEFORE_GOLD").alias("action"))
 
@@ -218,7 +220,7 @@ def completion_alerts(pipeline_audit: DataFrame) -> DataFrame:
         F.lit("INFO").alias("level"),
         F.concat(F.lit("BATCH COMPLETED SUCCESSFULLY: "), "batch_id").alias("subject"),
         F.format_string("Batch '%s' processed through Medallion architecture in %.2fs.",
-                        "batch_id", "_seconds").alias("message"),
+                        "batch_id", F.bround("_seconds", 2)).alias("message"),
         "batch_id", F.col("_gold").alias("total_tables"), "total_rows_published")
 
 

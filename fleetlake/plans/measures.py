@@ -223,11 +223,13 @@ def in_context(fact_name: str, fact: DataFrame, context: Context,
                dims: dict[str, DataFrame]) -> DataFrame:
     """The fact with the context's key columns, dimension attributes looked up."""
     date_column = context.date_columns.get(fact_name, DATE_COLUMN.get(fact_name))
+    base = fact
     for name, (dim, column) in context.attributes.items():
         link = registry.relationship(fact_name, dim)
         lookup = dims[dim].select(F.col(link.dim_key).alias("_ctx_key"), F.col(column).alias(name))
         fact = lookup_join(fact.withColumn("_ctx_key", F.col(link.fact_key)).drop(
-            *([name] if name in fact.columns else [])), lookup, on=["_ctx_key"]).drop("_ctx_key")
+            *([name] if name in fact.columns else [])), lookup, on=["_ctx_key"],
+            keys_from=base.select(F.col(link.fact_key).alias("_ctx_key"))).drop("_ctx_key")
     return fact.withColumns({n: f(F.col(date_column)) for n, f in context.periods.items()}) \
         if context.periods else fact
 

@@ -20,11 +20,12 @@ def _picked(dim: DataFrame, key: str, names: dict[str, str]) -> DataFrame:
     return dim.select(F.col(key).alias("_key"), *[F.col(s).alias(n) for n, s in names.items()])
 
 
-def _with_dim(fact: DataFrame, dim: DataFrame, key: str, names: dict[str, str],
-              fact_key: str | None = None) -> DataFrame:
-    lookup = _picked(dim, key, names)
-    keyed = fact.withColumn("_key", F.col(fact_key or key))
-    return lookup_join(keyed, lookup, on=["_key"], how="left").drop("_key")
+def _with_dim(joined: DataFrame, dim: DataFrame, key: str, names: dict[str, str],
+              fact: DataFrame, joined_key: str | None = None) -> DataFrame:
+    """Look up ``dim`` for rows of ``joined``; hot keys are found on ``fact``, where it began."""
+    keyed = joined.withColumn("_key", F.col(joined_key or key))
+    return lookup_join(keyed, _picked(dim, key, names), on=["_key"], how="left",
+                       keys_from=fact.select(F.col(key).alias("_key"))).drop("_key")
 
 
 def _lane() -> Column:
@@ -46,21 +47,21 @@ def trip_details(fact_trips: DataFrame, dim_customer: DataFrame, dim_driver: Dat
     t = _with_dim(t, dim_customer, "customer_id", {
         "customer_id": "customer_id", "customer_name": "customer_name",
         "customer_type": "customer_type", "primary_freight_type": "primary_freight_type",
-        "customer_account_status": "account_status"}, "_fk_customer_id")
+        "customer_account_status": "account_status"}, fact_trips, "_fk_customer_id")
     t = _with_dim(t, current_rows(dim_driver), "driver_id", {
         "driver_id": "driver_id", "driver_name": "full_name",
         "driver_home_terminal": "home_terminal", "driver_status": "employment_status",
-        "driver_years_experience": "years_experience"}, "_fk_driver_id")
+        "driver_years_experience": "years_experience"}, fact_trips, "_fk_driver_id")
     t = _with_dim(t, dim_truck, "truck_id", {
         "truck_id": "truck_id", "truck_unit_number": "unit_number", "truck_make": "make",
-        "truck_model_year": "model_year", "fuel_type": "fuel_type"}, "_fk_truck_id")
+        "truck_model_year": "model_year", "fuel_type": "fuel_type"}, fact_trips, "_fk_truck_id")
     t = _with_dim(t, dim_trailer, "trailer_id", {
         "trailer_id": "trailer_id", "trailer_type": "trailer_type",
-        "trailer_length_feet": "length_feet"}, "_fk_trailer_id")
+        "trailer_length_feet": "length_feet"}, fact_trips, "_fk_trailer_id")
     t = _with_dim(t, dim_route, "route_id", {
         c: c for c in ("route_id", "origin_city", "origin_state", "destination_city",
                        "destination_state", "typical_distance_miles", "base_rate_per_mile",
-                       "typical_transit_days")}, "_fk_route_id")
+                       "typical_transit_days")}, fact_trips, "_fk_route_id")
     miles = F.col("actual_distance_miles")
     return t.withColumns({
         "route_lane_name": _lane(),
@@ -86,9 +87,10 @@ def monthly_fleet_metrics(utilization: DataFrame, dim_truck: DataFrame, fuel: Da
         "utilization_rate", "maintenance_events", "maintenance_cost", "downtime_hours")
     u = _with_dim(u, dim_truck, "truck_id", {
         "unit_number": "unit_number", "make": "make", "model_year": "model_year",
-        "truck_status": "status", "home_terminal": "home_terminal"})
-    u = lookup_join(u, monthly_fuel, on=["truck_id", "month"])
-    u = lookup_join(u, monthly_service, on=["truck_id", "month"])
+        "truck_status": "status", "home_terminal": "home_terminal"}, utilization)
+    # Truck and month are unique on every side: nothing to salt.
+    u = u.join(monthly_fuel, ["truck_id", "month"], "left")
+    u = u.join(monthly_service, ["truck_id", "month"], "left")
 
     zero = F.lit(0.0)
     service_cost = F.coalesce("_service_cost", "maintenance_cost", zero)
@@ -128,8 +130,8 @@ def driver_scorecard(performance: DataFrame, dim_driver: DataFrame,
         "total_fuel_gallons", "on_time_delivery_rate", "average_idle_hours")
     p = _with_dim(p, current_rows(dim_driver), "driver_id", {
         "driver_name": "full_name", "home_terminal": "home_terminal", "cdl_class": "cdl_class",
-        "years_experience": "years_experience", "employment_status": "employment_status"})
-    p = lookup_join(p, safety, on=["driver_id", "month"])
+        "years_experience": "years_experience", "employment_status": "employment_status"}, performance)
+    p = p.join(safety, ["driver_id", "month"], "left")
     incidents_n = F.coalesce("_incidents", F.lit(0))
     return p.withColumns({
         "total_incidents": incidents_n,

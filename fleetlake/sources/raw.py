@@ -34,8 +34,12 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
     return df.select(*[text.csv_null(F.col(c)).alias(c) for c in df.columns], *extra)
 
 
+def _file_name(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]+)$", 1)
+
+
 def source_file() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+    return _file_name(F.col("_metadata.file_path"))
 
 
 # ---------------------------------------------------------------- batch split
@@ -67,18 +71,22 @@ def write_batches(df: DataFrame, date_column: str, root: str,
                   batches: tuple[tuple[str, int], ...] = registry.BATCHES) -> None:
     """Write every batch of a table as CSV below ``root/batch_id=<id>/`` in one job."""
     (split_batches(df, date_column, batches).write.mode("overwrite")
-     .partitionBy("batch_id").option("header", True).csv(root))
+     .partitionBy("batch_id").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(root))
 
 
 # ------------------------------------------------------------------ manifests
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """Name, size and SHA-256 of each file below ``path``.
+    """Location, name, size and SHA-256 of each CSV file below ``path``.
 
     Only the listing comes from the file source (content is pruned). Each task then reads
     its files in chunks, so a file of any size is hashed in constant memory.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-             .select("path", F.col("length").alias("file_size_bytes")))
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.csv").load(path)
+             .select("path", F.col("_metadata.file_path").alias("location"),
+                     F.col("length").alias("file_size_bytes")))
 
     def digest(batches):
         import hashlib
@@ -98,23 +106,22 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
                 sums.append(sha.hexdigest())
             yield pdf.assign(sha256=sums)
 
-    return (files.mapInPandas(digest, "path string, file_size_bytes bigint, sha256 string")
-            .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "path",
-                    "file_size_bytes", "sha256"))
+    return (files.mapInPandas(
+        digest, "path string, location string, file_size_bytes bigint, sha256 string")
+        .select("location", _file_name(F.col("path")).alias("file"), "file_size_bytes", "sha256"))
 
 
 def file_row_counts(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Data rows of each CSV file below ``path``."""
-    return _csv(spark, path, multi_line).groupBy(source_file().alias("file")).agg(
-        F.count(F.lit(1)).alias("row_count"))
+    return _csv(spark, path, multi_line).groupBy(
+        F.col("_metadata.file_path").alias("location")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def table_manifest(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One row per file of a table: table, file, row_count, file_size_bytes, sha256."""
-    hashes = file_hashes(spark, path).where(F.col("file").endswith(".csv"))
-    return hashes.join(file_row_counts(spark, path), "file", "left").select(
+    """One row per file of a table: table, file, row_count, file_size_bytes, sha256, location."""
+    return file_hashes(spark, path).join(file_row_counts(spark, path), "location", "left").select(
         F.lit(table).alias("table"), "file", F.coalesce("row_count", F.lit(0)).alias("row_count"),
-        "file_size_bytes", "sha256")
+        "file_size_bytes", "sha256", "location")
 
 
 def batch_manifest(spark: SparkSession, batch_id: str, target_year: int,
@@ -122,7 +129,7 @@ def batch_manifest(spark: SparkSession, batch_id: str, target_year: int,
     """Manifest of a batch: header plus one entry per file. It lists files, not rows."""
     entries = []
     for table, path in paths.items():
-        entries += [row.asDict() for row in table_manifest(spark, path, table)
+        entries += [row.asDict() for row in table_manifest(spark, path, table).drop("location")
                     .orderBy("file").toLocalIterator()]
     return {
         "batch_id": batch_id,
@@ -149,7 +156,7 @@ def verify_manifest(spark: SparkSession, manifest: dict, paths: dict[str, str])
         "file string, recorded_bytes bigint, recorded_sha256 string")
     found = None
     for path in paths.values():
-        hashes = file_hashes(spark, path).where(F.col("file").endswith(".csv")).drop("path")
+        hashes = file_hashes(spark, path).drop("location")
         found = hashes if found is None else found.unionByName(hashes)
     return recorded.join(found, "file", "full_outer").where(
         ~F.col("recorded_sha256").eqNullSafe(F.col("sha256"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -25,3 +25,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below the checkpoint folder, unique to this call."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the checkpoint folder and read it back.
+
+    Cuts the lineage like a checkpoint and survives lost executors. Unlike one it leaves
+    the real size in the plan, so a later join knows whether this side may be broadcast.
+    """
+    path = run_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

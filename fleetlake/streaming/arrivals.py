@@ -13,15 +13,20 @@ from fleetlake import registry
 from fleetlake.functions import text
 
 
-def arriving_rows(spark: SparkSession, raw_root: str, table: str,
-                  files_per_trigger: int = 1000) -> DataFrame:
-    """Rows of ``<raw_root>/<batch_id>/<table>_<batch_id>.csv`` files, as Bronze rows."""
+def arriving_rows(spark: SparkSession, raw_root: str, table: str, files: str | None = None,
+                  batch_pattern: str | None = None, files_per_trigger: int = 1000) -> DataFrame:
+    """Rows of arriving CSV files as Bronze rows.
+
+    ``files`` is a glob below ``raw_root`` and ``batch_pattern`` the regular expression that
+    finds the batch id in a path; the defaults fit ``<batch_id>/<table>_<batch_id>.csv``.
+    """
     stream = (spark.readStream.schema(registry.raw_schema(table)).option("header", True)
               .option("escape", '"').option("enforceSchema", False)
+              .option("recursiveFileLookup", True)
               .option("maxFilesPerTrigger", files_per_trigger)
-              .csv(f"{raw_root.rstrip('/')}/*/{table}_*.csv"))
+              .csv(f"{raw_root.rstrip('/')}/{files or f'*/{table}_*.csv'}"))
     path = F.col("_metadata.file_path")
-    batch_id = F.regexp_extract(path, rf"/{table}_([^/]+)\.csv$", 1)
+    batch_id = F.regexp_extract(path, batch_pattern or rf"/{table}_([^/]+)\.csv(?:/|$)", 1)
     return stream.select(
         *[text.csv_null(F.col(c)).alias(c) for c in stream.columns],
         batch_id.alias("_batch_id"), F.current_timestamp().alias("_ingested_at"),
@@ -29,12 +34,14 @@ def arriving_rows(spark: SparkSession, raw_root: str, table: str,
 
 
 def ingest_arrivals(spark: SparkSession, raw_root: str, bronze_root: str, checkpoint_root: str,
-                    table: str) -> StreamingQuery:
+                    table: str, files: str | None = None,
+                    batch_pattern: str | None = None) -> StreamingQuery:
     """Ingest the files that are there and were not read before, then stop.
 
     The file sink commits a micro-batch at once; read the result with ``read_table``.
     """
-    return (arriving_rows(spark, raw_root, table).writeStream.format("parquet")
+    rows = arriving_rows(spark, raw_root, table, files, batch_pattern)
+    return (rows.writeStream.format("parquet")
             .option("path", f"{bronze_root.rstrip('/')}/{table}")
             .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/bronze/{table}")
             .partitionBy("batch_id").trigger(availableNow=True).start())
