@@ -373,21 +373,19 @@ def _dq_metrics(t) -> DataFrame:
         for table, source in o.DQ_TABLES.items()])
 
 
-@query(o.DQ_RATES, {9: ("rejection_rate_pct", "dq_score_pct")})
+@query(o.DQ_RATES)
 def dq_metrics(t):
     return _dq_metrics(t)
 
 
-@query(f"SELECT *, 20.0::DOUBLE AS threshold_pct FROM ({o.DQ_RATES}) r WHERE rejection_rate_pct > 20",
-       {9: ("rejection_rate_pct", "dq_score_pct")})
+@query(f"SELECT *, 20.0::DOUBLE AS threshold_pct FROM ({o.DQ_RATES}) r WHERE rejection_rate_pct > 20")
 def dq_gate_breaches(t):
     return quality.gate_breaches(_dq_metrics(t))
 
 
 @query(f"""SELECT sum(total_records)::BIGINT AS total_records, sum(valid_records)::BIGINT AS valid_records,
   sum(quarantined_records)::BIGINT AS quarantined_records,
-  sum(valid_records) * 100.0::DOUBLE / sum(total_records) AS dq_score_pct FROM ({o.DQ_METRICS}) m""",
-       {9: ("dq_score_pct",)})
+  sum(valid_records) * 100.0::DOUBLE / sum(total_records) AS dq_score_pct FROM ({o.DQ_METRICS}) m""")
 def dq_batch_rollup(t):
     return quality.batch_rollup(_dq_metrics(t))
 
@@ -396,8 +394,7 @@ def dq_batch_rollup(t):
   'Table ''' || table_name || ''' in batch ''{BATCH}'' had a rejection rate of ' || printf('%.2f', rejection_rate_pct)
   || '%, exceeding the maximum allowed threshold of 20.00%.' AS message, '{BATCH}' AS batch_id, table_name,
   total_records, quarantined_records, rejection_rate_pct, 20.0::DOUBLE AS threshold_pct,
-  'PIPELINE_HALTED_BEFORE_GOLD' AS action FROM ({o.DQ_RATES}) r WHERE rejection_rate_pct > 20""",
-       {9: ("rejection_rate_pct",)})
+  'PIPELINE_HALTED_BEFORE_GOLD' AS action FROM ({o.DQ_RATES}) r WHERE rejection_rate_pct > 20""")
 def dq_breach_alerts(t):
     breaches = quality.gate_breaches(_dq_metrics(t)).withColumn("batch_id", F.lit(BATCH))
     return control.breach_alerts(breaches)
@@ -658,10 +655,7 @@ FROM (SELECT *, total_fuel_cost + total_maintenance_cost AS total_operating_cost
     LEFT JOIN (SELECT truck_id, CAST(date_trunc('month', maintenance_date) AS DATE) AS m,
         count(DISTINCT maintenance_id) AS events, sum(labor_cost) AS labor, sum(parts_cost) AS parts,
         sum(total_cost) AS cost, sum(downtime_hours) AS downtime FROM fact_maintenance GROUP BY 1, 2) s
-      ON s.truck_id = u.truck_id AND s.m = u.month) p) q""",
-       {2: ("total_maintenance_cost", "total_fuel_cost", "total_operating_cost",
-            "estimated_operating_margin", "total_labor_cost", "total_parts_cost"),
-        9: ("avg_fuel_price_per_gallon", "operating_margin_pct", "cost_per_mile")})
+      ON s.truck_id = u.truck_id AND s.m = u.month) p) q""")
 def view_monthly_fleet_metrics(t):
     return views.monthly_fleet_metrics(t.agg_truck_utilization_performance, t.dim_truck,
                                        t.fact_fuel_purchases, t.fact_maintenance)
@@ -681,9 +675,7 @@ LEFT JOIN (SELECT driver_id, CAST(date_trunc('month', incident_date) AS DATE) AS
     count(*) FILTER (WHERE preventable_flag) AS prev, count(*) FILTER (WHERE at_fault_flag) AS fault,
     count(*) FILTER (WHERE injury_flag) AS inj, sum(vehicle_damage_cost + cargo_damage_cost) AS damage,
     sum(claim_amount) AS claims FROM fact_safety_incidents GROUP BY 1, 2) s
-  ON s.driver_id = p.driver_id AND s.m = p.month""",
-       {2: ("total_damage_cost", "total_claim_amount"),
-        9: ("incidents_per_100k_miles", "avg_revenue_per_trip", "revenue_per_mile")})
+  ON s.driver_id = p.driver_id AND s.m = p.month""")
 def view_driver_scorecard(t):
     return views.driver_scorecard(t.agg_driver_monthly_performance, t.dim_driver_two,
                                   t.fact_safety_incidents)
@@ -704,13 +696,7 @@ def _route_sql(trips: str) -> str:
 FROM dim_route r LEFT JOIN {trips} t ON t.route_id = r.route_id GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9"""
 
 
-_ROUTE_DIGITS = {
-    2: ("total_freight_revenue", "total_fuel_surcharge", "total_revenue_generated"),
-    9: ("avg_actual_miles", "avg_actual_duration_hours", "avg_lane_mpg", "avg_idle_hours_per_trip",
-        "lane_revenue_per_mile", "avg_revenue_per_trip", "avg_lane_mileage_variance")}
-
-
-@query(_route_sql("fact_trips"), _ROUTE_DIGITS)
+@query(_route_sql("fact_trips"))
 def view_route_profitability(t):
     return views.route_profitability(t.dim_route, t.fact_trips)
 
@@ -725,8 +711,7 @@ def view_route_profitability(t):
   sum(e.detention_minutes)::BIGINT AS total_detention_minutes,
   avg(e.detention_minutes) AS avg_detention_minutes_per_visit,
   count(*) FILTER (WHERE e.detention_minutes > 120) AS severe_detention_count
-FROM dim_facility f LEFT JOIN fact_delivery_events e ON e.facility_id = f.facility_id GROUP BY ALL""",
-       {9: ("on_time_percentage", "avg_detention_minutes_per_visit")})
+FROM dim_facility f LEFT JOIN fact_delivery_events e ON e.facility_id = f.facility_id GROUP BY ALL""")
 def view_facility_turnaround(t):
     return views.facility_turnaround(t.dim_facility, t.fact_delivery_events)
 
@@ -737,8 +722,7 @@ def view_facility_turnaround(t):
   sum(records_quarantined)::DOUBLE / NULLIF(sum(records_in), 0) * 100 AS stage_rejection_rate_pct,
   min(start_time) AS stage_start_time, max(end_time) AS stage_end_time,
   round(sum(duration_seconds), 2) AS total_duration_seconds,
-  round(sum(duration_seconds) / 60, 2) AS total_duration_minutes FROM pipeline_audit GROUP BY 1, 2, 3""",
-       {9: ("stage_rejection_rate_pct",)})
+  round(sum(duration_seconds) / 60, 2) AS total_duration_minutes FROM pipeline_audit GROUP BY 1, 2, 3""")
 def view_pipeline_run_summary(t):
     return views.pipeline_run_summary(t.pipeline_audit)
 
@@ -747,7 +731,7 @@ def view_pipeline_run_summary(t):
   quarantined_records::DOUBLE / NULLIF(total_records, 0) * 100 AS rejection_rate_pct, evaluated_at,
   CASE WHEN data_quality_score_pct >= 99 THEN 'EXCELLENT' WHEN data_quality_score_pct >= 95 THEN 'GOOD'
     WHEN data_quality_score_pct >= 80 THEN 'ACCEPTABLE' ELSE 'CRITICAL_BREACH' END AS dq_health_category
-FROM data_quality_metrics""", {9: ("rejection_rate_pct",)})
+FROM data_quality_metrics""")
 def view_table_dq_history(t):
     return views.table_dq_history(t.data_quality_metrics)
 
@@ -762,7 +746,7 @@ def _clean(table: str) -> str:
     return o.typed(f"({o.annotated(f'raw_{table}', table)}) a WHERE _rejection_rule IS NULL", table)
 
 
-@query(_route_sql("clean_trips"), _ROUTE_DIGITS, {"clean_trips": f"""
+@query(_route_sql("clean_trips"), tables={"clean_trips": f"""
 SELECT x.trip_id, l.route_id, x.actual_distance_miles, l.weight_lbs, coalesce(l.revenue, 0) AS freight_revenue,
   coalesce(l.fuel_surcharge, 0) AS fuel_surcharge,
   coalesce(l.revenue, 0) + coalesce(l.fuel_surcharge, 0) + coalesce(l.accessorial_charges, 0) AS total_revenue,
@@ -859,16 +843,8 @@ def _measure_sql(names, key_of: Callable[[str], str], key: str, from_of=lambda f
 
 
 def _measure_digits(names) -> dict[int, tuple[str, ...]]:
-    counts = {"total_trips", "total_miles_driven", "accessorial_revenue", "active_truck_count",
-              "active_driver_count", "maintenance_events", "total_delivery_events",
-              "on_time_deliveries", "delayed_deliveries", "total_detention_minutes",
-              "severe_detention_incidents", "total_safety_incidents", "preventable_incidents",
-              "at_fault_incidents", "records_ingested", "records_validated", "records_quarantined"}
-    money = {"total_revenue", "freight_revenue", "fuel_surcharge_revenue", "total_fuel_expense",
-             "total_maintenance_expense", "total_operating_cost", "operating_margin",
-             "total_damage_and_claim_cost", "total_fuel_gallons", "maintenance_downtime_hours"}
-    return {2: tuple(n for n in names if n in money),
-            9: tuple(n for n in names if n not in money and n not in counts)}
+    """Averages of rates are not exact sums; everything else compares as is."""
+    return {9: tuple(n for n in names if n in ("fleet_utilization_pct", "overall_dq_score"))}
 
 
 def _register_measures():
@@ -949,37 +925,34 @@ def _trip_calendar(t) -> DataFrame:
 
 @query(f"""SELECT full_date, year, c.revenue,
   sum(c.revenue) OVER (PARTITION BY year ORDER BY full_date ROWS UNBOUNDED PRECEDING) AS revenue_ytd
-FROM calendar_days LEFT JOIN {_DAILY} c ON c.d = full_date""", {2: ("revenue", "revenue_ytd")})
+FROM calendar_days LEFT JOIN {_DAILY} c ON c.d = full_date""")
 def revenue_ytd(t):
     return timeintel.year_to_date(_trip_calendar(t), t.fact_trips)
 
 
 @query(f"""SELECT full_date, c.revenue, {_growth('b', 'revenue_prior_year', 'yoy_growth_pct')}
 FROM calendar_days LEFT JOIN {_DAILY} c ON c.d = full_date
-LEFT JOIN {_DAILY} b ON b.d = CAST(full_date - INTERVAL 1 YEAR AS DATE)""",
-       {2: ("revenue", "revenue_prior_year"), 6: ("yoy_growth_pct",)})
+LEFT JOIN {_DAILY} b ON b.d = CAST(full_date - INTERVAL 1 YEAR AS DATE)""")
 def revenue_prior_year(t):
     return timeintel.prior_year(_trip_calendar(t), t.fact_trips)
 
 
 @query(f"""SELECT month, c.revenue, {_growth('b', 'revenue_prior_year', 'yoy_growth_pct')}
 FROM {_MONTHS} m LEFT JOIN {_MONTHLY} c ON c.d = month
-LEFT JOIN {_MONTHLY} b ON b.d = CAST(month - INTERVAL 1 YEAR AS DATE)""",
-       {2: ("revenue", "revenue_prior_year"), 6: ("yoy_growth_pct",)})
+LEFT JOIN {_MONTHLY} b ON b.d = CAST(month - INTERVAL 1 YEAR AS DATE)""")
 def revenue_prior_year_monthly(t):
     return timeintel.prior_year_monthly(_trip_calendar(t), t.fact_trips)
 
 
 @query(f"""SELECT month, c.revenue, {_growth('b', 'revenue_previous_month', 'mom_growth_pct')}
 FROM {_MONTHS} m LEFT JOIN {_MONTHLY} c ON c.d = month
-LEFT JOIN {_MONTHLY} b ON b.d = CAST(month - INTERVAL 1 MONTH AS DATE)""",
-       {2: ("revenue", "revenue_previous_month"), 6: ("mom_growth_pct",)})
+LEFT JOIN {_MONTHLY} b ON b.d = CAST(month - INTERVAL 1 MONTH AS DATE)""")
 def revenue_previous_month(t):
     return timeintel.previous_month(_trip_calendar(t), t.fact_trips)
 
 
 @query("""SELECT CAST(date_trunc('month', load_date) AS DATE) AS month, sum(total_revenue) AS total_revenue
-FROM fact_trips GROUP BY 1""", {2: ("total_revenue",)})
+FROM fact_trips GROUP BY 1""")
 def revenue_by_load_date(t):
     return measures.revenue_by_load_date(t.fact_trips)
 

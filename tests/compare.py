@@ -56,8 +56,8 @@ def difference(spark, con, name: str, sf_dir: str) -> str | None:
         return f"types {wrong}"
     got, want = _rows(rows, df.columns), _rows(expected.fetchall(), expected.columns)
     if got != want:
-        only_got = [r for r in got if r not in set(want)][:2]
-        only_want = [r for r in want if r not in set(got)][:2]
+        only_got = sorted(set(got) - set(want))[:2]
+        only_want = sorted(set(want) - set(got))[:2]
         return f"{len(got)} rows vs {len(want)}\n   {sorted(df.columns)}\n   spark {only_got}\n   sql   {only_want}"
     return None
 
