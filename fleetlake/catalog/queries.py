@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fleetlake import registry
 from fleetlake.catalog import oracles as o
-from fleetlake.catalog.shapes import shape
+from fleetlake.catalog.shapes import base, shape
 from fleetlake.functions import casting, text
 from fleetlake.operators import profiling, quality, scd2
 from fleetlake.plans import control, dims, facts, measures, timeintel, views
 from fleetlake.plans.measures import Context, PERIODS
+from fleetlake.session import configure
 from fleetlake.sources import raw, store
-from fleetlake.sources.scratch import run_folder
+from fleetlake.sources.scratch import materialised, run_folder
 from fleetlake.streaming import arrivals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,8 +35,7 @@ class Tables:
     """Shapes and Gold tables of one data folder, built on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = configure(spark), sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
         df = self._build(name)
@@ -293,7 +293,7 @@ def cast_missing_column(t):
 @query("""SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice,
   count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS _duplicate FROM lineitem""")
 def dq_pk_uniqueness(t):
-    lines = t.spark.read.parquet(f"{t.sf_dir}/lineitem.parquet").select(
+    lines = base(t.spark, t.sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice")
     return quality.mark_duplicates(lines, ["l_orderkey", "l_linenumber"])
 
@@ -753,11 +753,15 @@ SELECT x.trip_id, l.route_id, x.actual_distance_miles, l.weight_lbs, coalesce(l.
   x.actual_duration_hours, x.average_mpg, x.idle_time_hours
 FROM ({_clean('trips')}) x JOIN ({_clean('loads')}) l ON x.load_id = l.load_id"""})
 def medallion_route_profitability(t):
-    """Raw text to quality checks, casts, the trip fact and the lane report."""
+    """Raw text to quality checks, Silver tables, the trip fact and the lane report.
+
+    Silver is written, as in the pipeline: each check runs once and sizes are known.
+    """
     clean = {}
     for name in ("trips", "loads"):
         valid, _ = quality.evaluate_table(getattr(t, f"raw_{name}"), name, BATCH)
-        clean[name] = casting.cast_table(valid, registry.table(name).columns)
+        clean[name] = materialised(
+            casting.cast_table(valid, registry.table(name).columns), f"silver-{name}")
     fact = facts.fact_trips(clean["trips"], clean["loads"], BATCH)
     return views.route_profitability(t.dim_route, fact)
 

@@ -14,8 +14,9 @@ MISSING_EXACT = ("", "nan", "None", "NULL")
 MISSING_ANY_CASE = ("", "nan", "none", "null")
 
 _WHITESPACE = " \t\n\r\f\x0b"
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_WHOLE_NUMBER = r"^[+-]?[0-9]+$"
+_NUMBER = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+_WHOLE = r"^\s*([+-]?[0-9]+)(?:\.0*)?\s*$"
+_EXPONENT = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+)\s*$"
 
 
 def strip(c: Column) -> Column:
@@ -43,17 +44,19 @@ def clean_string(c: Column, nullable: bool) -> Column:
 
 
 def to_number(c: Column) -> Column:
-    """Double of a plain decimal number, else null. Spark's own cast would also take '1d' or 'NaN'."""
-    text = strip(c)
-    return F.when(text.rlike(_NUMBER), text).try_cast("double")
+    """Double of a plain decimal number, else null.
+
+    Spark's own cast would also take '1d' or 'NaN'. No match extracts '', which casts to
+    null: without a CASE the parse is one common subexpression wherever it is used.
+    """
+    return F.regexp_extract(c, _NUMBER, 1).try_cast("double")
 
 
 def to_long(c: Column) -> Column:
-    """Whole number, else null. '10.0' counts, '10.5' does not; long digits stay exact."""
-    text = strip(c)
-    number = to_number(c)
-    return (F.when(text.rlike(_WHOLE_NUMBER), text.try_cast("bigint"))
-            .when(number == F.floor(number), number.try_cast("bigint")))
+    """Whole number, else null. '10.0' and '1e3' count, '10.5' does not; digits stay exact."""
+    exponent = F.regexp_extract(c, _EXPONENT, 1).try_cast("double")
+    return F.coalesce(F.regexp_extract(c, _WHOLE, 1).try_cast("bigint"),
+                      F.when(exponent % 1 == 0, exponent.try_cast("bigint")))
 
 
 def safe_divide(a: Column, b: Column) -> Column:

@@ -37,7 +37,7 @@ def fails(rule: Rule) -> Column:
             outside = outside | (number < F.lit(float(rule.min)))
         if rule.max is not None:
             outside = outside | (number > F.lit(float(rule.max)))
-        return ~text.is_missing(c) & F.coalesce(outside, F.lit(False))
+        return F.coalesce(outside, F.lit(False)) & ~text.is_missing(c)
     raise ValueError(f"rule kind {rule.kind!r} has no column predicate")
 
 
@@ -232,14 +232,29 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
 
 def orphan_counts(tables: dict[str, DataFrame], table: str) -> DataFrame:
-    """Orphan values and rows for each declared foreign key of ``table``."""
-    parts = []
-    for fk in registry.foreign_keys(table):
-        found = orphan_keys(tables[table], fk.column, tables[fk.parent_table], fk.parent_column,
-                            fk.nullable)
-        parts.append(found.agg(
-            F.count(F.lit(1)).alias("orphan_keys"),
-            F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("orphan_rows"),
-        ).select(F.lit(table).alias("table_name"), F.lit(fk.column).alias("fk_column"),
-                 F.lit(fk.parent_table).alias("parent_table"), "orphan_keys", "orphan_rows"))
-    return reduce(DataFrame.unionByName, parts)
+    """Orphan values and rows for each declared foreign key of ``table``.
+
+    One scan of the child for all its keys: they are unpivoted, counted per value (so a hot
+    value is one row per task) and only then compared with the parents' keys.
+    """
+    links = registry.foreign_keys(table)
+    child = tables[table]
+    optional = [fk.column for fk in links if fk.nullable]
+    values = (child.select(*[F.col(fk.column).cast("string") for fk in links])
+              .unpivot([], [fk.column for fk in links], "fk_column", "fk_value")
+              .where(F.col("fk_value").isNotNull() | ~F.col("fk_column").isin(optional))
+              .groupBy("fk_column", "fk_value").agg(F.count(F.lit(1)).alias("_rows")))
+    parents = reduce(DataFrame.unionByName, [
+        tables[fk.parent_table].select(
+            F.lit(fk.column).alias("fk_column"),
+            F.col(fk.parent_column).cast("string").alias("fk_value"))
+        for fk in links]).where("fk_value IS NOT NULL").distinct()
+    found = values.join(parents, ["fk_column", "fk_value"], "left_anti").groupBy("fk_column").agg(
+        F.count(F.lit(1)).alias("orphan_keys"), F.sum("_rows").alias("orphan_rows"))
+    declared = child.sparkSession.createDataFrame(
+        [(table, fk.column, fk.parent_table) for fk in links],
+        "table_name string, fk_column string, parent_table string")
+    return declared.join(found, "fk_column", "left").select(
+        "table_name", "fk_column", "parent_table",
+        F.coalesce("orphan_keys", F.lit(0)).alias("orphan_keys"),
+        F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows"))
