@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -91,13 +93,14 @@ def read_dimension(spark: SparkSession, root: str, table: str) -> DataFrame | No
 
 
 def append(df: DataFrame, root: str, table: str) -> None:
-    """Append log rows."""
-    df.write.mode("append").parquet(f"{root.rstrip('/')}/{table}")
+    """Append log rows in a folder of their own: writers at the same time do not meet."""
+    df.coalesce(1).write.parquet(f"{root.rstrip('/')}/{table}/rows-{uuid.uuid4().hex}")
 
 
 def read_log(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
     """A log table, empty before its first row."""
     try:
-        return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}")
+        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(
+            f"{root.rstrip('/')}/{table}")
     except AnalysisException:
         return spark.createDataFrame([], schema)
