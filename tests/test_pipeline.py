@@ -66,14 +66,14 @@ def test_two_batches_end_to_end(spark, lake):
     total = n1 + second["gold"]["tables"]["fact_trips"]
     assert store.read_table(spark, gold, "fact_trips").count() == total
 
-    pipeline.run_batch(spark, lake, "batch_002", force=True, as_of=datetime.date(1999, 6, 30))
+    pipeline.publish_batch(spark, lake, "batch_002", datetime.date(1999, 6, 30))
     assert store.read_table(spark, gold, "fact_trips").count() == total
     assert store.read_dimension(spark, gold, "dim_driver").count() == len(sk)
 
     audit = store.read_log(spark, lake.zone("audit"), "pipeline_audit", control.PIPELINE_AUDIT_SCHEMA)
     per_stage = {(r.batch_id, r.stage): r["count"] for r in audit.groupBy("batch_id", "stage").count().collect()}
     assert per_stage[("batch_001", "BRONZE")] == per_stage[("batch_001", "SILVER")] == 14
-    assert per_stage[("batch_001", "GOLD")] == 14
+    assert per_stage[("batch_001", "GOLD")] == 14 and per_stage[("batch_002", "GOLD")] == 28
     metrics = store.read_log(spark, lake.zone("audit"), "data_quality_metrics", control.DQ_METRICS_SCHEMA)
     assert metrics.where("batch_id = 'batch_001'").count() == 14
     rejected = store.read_log(spark, lake.zone("audit"), "rejection_log", control.REJECTION_LOG_SCHEMA)
