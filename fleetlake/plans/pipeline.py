@@ -182,8 +182,10 @@ def publish_dimension(spark: SparkSession, lake: Lake, batch_id: str, table: str
         else:
             df = dims.snapshot_dim(table, silver)
     checked, counted = _checked(df, table)
-    store.publish_dimension(checked, gold, table)
-    return _finish(spark, lake, batch_id, table, counted, start)
+    version = store.write_dimension(checked, gold, table)
+    n = _finish(spark, lake, batch_id, table, counted, start)
+    store.release_dimension(spark, gold, table, version)
+    return n
 
 
 def publish_fact(spark: SparkSession, lake: Lake, batch_id: str, table: str) -> int:

@@ -60,19 +60,28 @@ def publish_fact(df: DataFrame, root: str, table: str, batch_id: str) -> None:
     write_batch(clustered(df, table), root, table, batch_id)
 
 
-def publish_dimension(df: DataFrame, root: str, table: str) -> str:
-    """Publish a dimension as a new complete version and point readers to it.
+def write_dimension(df: DataFrame, root: str, table: str) -> int:
+    """Write a dimension as a new complete version and return its number. Readers do not see it.
 
-    A merge reads the table it replaces, so the new version goes to its own folder. The
-    ``_current`` marker is written last: readers see the old version until then.
+    A merge reads the table it replaces, so a new version always goes to its own folder.
     """
-    spark = df.sparkSession
-    base = f"{root.rstrip('/')}/{table}"
-    version = current_version(spark, root, table) + 1
-    df.write.mode("overwrite").option("compression", "snappy").parquet(f"{base}/version={version}")
+    version = current_version(df.sparkSession, root, table) + 1
+    df.write.mode("overwrite").option("compression", "snappy").parquet(
+        f"{root.rstrip('/')}/{table}/version={version}")
+    return version
+
+
+def release_dimension(spark: SparkSession, root: str, table: str, version: int) -> None:
+    """Point readers to a version by adding its marker."""
     spark.createDataFrame([(version,)], "version bigint").coalesce(1).write.mode("append").json(
-        f"{base}/_current")
-    return f"{base}/version={version}"
+        f"{root.rstrip('/')}/{table}/_current")
+
+
+def publish_dimension(df: DataFrame, root: str, table: str) -> int:
+    """Write a new version of a dimension, then point readers to it."""
+    version = write_dimension(df, root, table)
+    release_dimension(df.sparkSession, root, table, version)
+    return version
 
 
 def current_version(spark: SparkSession, root: str, table: str) -> int:
