@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlake.llm import jump_shards, positional_index
+from fleetlake.llm import (bpe_sql, jump_shards, pairwise_quality, positional_index, prob_minhash,
+                           tree_extract)
+
+# The rank file is a parameter of the coder; this is the installed one.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_pairwise_quality(spark, sf_dir):
+    scored = pairwise_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op3_jump_shards(spark, sf_dir):
     rows = jump_shards.assign(table(spark, sf_dir, "documents"), 24)
@@ -36,3 +47,24 @@ def op7_positional_index(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op6_tree_extract(spark, sf_dir):
+    text = tree_extract.extract(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op8_prob_minhash(spark, sf_dir):
+    found = prob_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "group_id", "kept", "copies", "grouped")
+
+
+@query
+def op10_bpe_sql(spark, sf_dir):
+    coded = bpe_sql.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", F.size("tokens").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("tokens").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
