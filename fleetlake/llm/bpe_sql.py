@@ -24,27 +24,27 @@ from pyspark.sql import DataFrame, functions as F
 LONG_PIECE = 256
 # Bytes of text that are split at once, and pieces that a worker remembers.
 _CHUNK = 2_000_000
-_REMEMBER = 400_000
+_REMEMBER = 600_000
 
+# slot: piece and position in one number, so that neighbours meet in a join on one key.
 ENCODE = """
-with recursive step(word, pos, id, round) as (
-    select word, pos, id, 0 from start
+with recursive step(word, slot, pos, id, round) as (
+    select word, word::bigint * 4294967296 + pos, pos, id, 0 from start
     union all
-    select word, pos, case when idx = best % 4294967296 then merged else id end, round + 1
-    from (
-        select *, min(merged::bigint * 4294967296 + idx) over (partition by word) as best
-        from (
-            select s.*, m.id as merged
-            from (
-                select *, row_number() over w as idx, lead(id) over w as following
-                from step window w as (partition by word order by pos)
-            ) s left join merges m on m.l = s.id and m.r = s.following
-        )
-    )
-    where best is not null and idx <> best % 4294967296 + 1
+    select s.word, case when s.pos > best then s.slot - 1 else s.slot end,
+           case when s.pos > best then s.pos - 1 else s.pos end,
+           case when s.pos = best then merged else s.id end, s.round + 1
+    from step s join (
+        select a.word, min(m.id::bigint * 4294967296 + a.pos) as least,
+               least & 4294967295 as best, least >> 32 as merged
+        from step a join step b on b.slot = a.slot + 1
+        join merges m on m.l = a.id and m.r = b.id
+        group by a.word
+    ) c on c.word = s.word
+    where s.pos <> best + 1
 )
 select word, list(id order by pos) as ids
-from (select * from step qualify round = max(round) over (partition by word))
+from step join (select word, max(round) as round from step group by word) using (word, round)
 group by word
 """
 DECODE = """
@@ -68,7 +68,8 @@ class Coder:
         left, right, merged = zip(*pairs) if pairs else ((), (), ())
         self._load("merges", l=pa.array(left, pa.int32()), r=pa.array(right, pa.int32()),
                    id=pa.array(merged, pa.int32()))
-        self.known: dict[str, tuple[list[int], bytes]] = {}
+        # Piece to (ids as 32-bit numbers, decoded bytes).
+        self.known: dict[str, tuple[bytes, bytes]] = {}
 
     def _load(self, name: str, **data):
         self.db.register("incoming", pa.table(data))
@@ -117,18 +118,17 @@ class Coder:
             new = list(pieces)
         if new:
             ids = self.encode_pieces([p.encode("utf-8") for p in new])
-            self.known.update(zip(new, zip(ids, self.decode_ids(ids))))
+            packed = [np.array(x, np.int32).tobytes() for x in ids]
+            self.known.update(zip(new, zip(packed, self.decode_ids(ids))))
 
-    def run(self, texts: list[str]) -> list[tuple[list[int], bytes]]:
-        """(ids, decoded bytes) of each text."""
+    def run(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """(ids as 32-bit numbers, decoded bytes) of each text."""
         pieces = [self.split(t) for t in texts]
         self.learn(set(chain.from_iterable(pieces)))
-        known = self.known
         out = []
         for one in pieces:
-            got = [known[p] for p in one]
-            out.append((list(chain.from_iterable(map(itemgetter(0), got))),
-                        b"".join(map(itemgetter(1), got))))
+            got = [self.known[p] for p in one]
+            out.append((b"".join(map(itemgetter(0), got)), b"".join(map(itemgetter(1), got))))
         return out
 
 
@@ -183,9 +183,12 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id",
 
         def done(ids, texts):
             got = work.run(texts)
+            ends = np.cumsum([0, *(len(g[0]) // 4 for g in got)], dtype=np.int32)
+            tokens = pa.ListArray.from_arrays(
+                pa.array(ends), pa.array(np.frombuffer(b"".join(g[0] for g in got), np.int32)))
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([g[0] for g in got], pa.list_(pa.int32())),
-                 pa.array([g[1] for g in got], pa.binary())], names=[key, "tokens", "decoded"])
+                [pa.array(ids, pa.int64()), tokens, pa.array([g[1] for g in got], pa.binary())],
+                names=[key, "tokens", "decoded"])
 
         for batch in batches:
             ids, texts, held = [], [], 0
