@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlake.llm import (bpe_sql, jump_shards, pairwise_quality, positional_index, prob_minhash,
+from fleetlake.llm import (bpe_sql, flat_graph, jump_shards, pairwise_quality, positional_index, prob_minhash,
                            revisits, tree_extract, url_markov)
 
 # The rank file is a parameter of the coder; this is the installed one.
@@ -198,3 +198,8 @@ def op10_bpe_sql(spark, sf_dir):
         "doc_id", F.size("tokens").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("tokens").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op9_flat_graph(spark, sf_dir):
+    return flat_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
