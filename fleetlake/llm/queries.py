@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlake.llm import (bpe_sql, flat_graph, jump_shards, pairwise_quality, positional_index, prob_minhash,
-                           revisits, tree_extract, url_markov)
+                           revisits, skip_chain, tree_extract, url_markov)
 
 # The rank file is a parameter of the coder; this is the installed one.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -179,6 +179,23 @@ from ruled left join score using (n), fit
 """
 
 
+@query
+def op5_skip_chain(spark, sf_dir):
+    found = skip_chain.detect(table(spark, sf_dir, "documents"))
+    def of_kind(spans, kind):
+        return F.filter(spans, lambda s: s["kind"] == kind)
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    every = F.concat("base", "added")
+    in_order = F.flatten(F.array(*[F.array_sort(of_kind(every, k)) for k in skip_chain.KINDS]))
+    counts = [F.size(of_kind("base", k)).cast("long").alias(f"n_{k}") for k in skip_chain.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"),
+                        joined(in_order).alias("spans"))
+
+
 @query
 def op6_tree_extract(spark, sf_dir):
     text = tree_extract.extract(table(spark, sf_dir, "pages"))
