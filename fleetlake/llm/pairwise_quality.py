@@ -165,7 +165,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFra
 def kept(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """``docs`` without the documents that score below 0.5; other columns stay."""
     bad = (score(docs, labels, label).where("predicted = 0")
-           .select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct())
+           .select(F.col("doc_id").alias("_fleetlake_id"), F.col("text_key").alias("_fleetlake_key")).distinct())
     key = F.coalesce(text_key(docs["text"]), F.lit(b""))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad_id"))
-                     & (key == F.coalesce(F.col("_bad_key"), F.lit(b""))), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_fleetlake_id"))
+                     & (key == F.coalesce(F.col("_fleetlake_key"), F.lit(b""))), "left_anti")

@@ -277,6 +277,6 @@ def _covered(runs: str):
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that hold any window of the benchmark; other columns stay."""
     hit = (contamination(docs, benchmark, window).where("n_hit > 0")
-           .select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key")).distinct())
-    return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("_hit_id"))
-                     & (text_key(docs["text"]) == F.col("_hit_key")), "left_anti")
+           .select(F.col("doc_id").alias("_fleetlake_id"), F.col("text_key").alias("_fleetlake_key")).distinct())
+    return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("_fleetlake_id"))
+                     & (text_key(docs["text"]) == F.col("_fleetlake_key")), "left_anti")

@@ -302,11 +302,11 @@ def _labelled(nodes: DataFrame, label: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group; other columns stay. Rows with null texts all stay."""
     keep = near_duplicates(docs).where("kept and text_key is not null").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_key"))
-    keyed = docs.withColumn("_key", text_key(docs["text"]))
+        F.col("doc_id").alias("_fleetlake_id"), F.col("text_key").alias("_fleetlake_kept"))
+    keyed = docs.withColumn("_fleetlake_key", text_key(docs["text"]))
     rest = [c for c in docs.columns if c not in ("doc_id",)]
-    held = keyed.join(keep, keyed["doc_id"].eqNullSafe(keep["_keep_id"])
-                      & (keyed["_key"] == keep["_keep_key"]), "left_semi")
+    held = keyed.join(keep, keyed["doc_id"].eqNullSafe(keep["_fleetlake_id"])
+                      & (keyed["_fleetlake_key"] == keep["_fleetlake_kept"]), "left_semi")
     # Repeated rows share id and text; they meet where the join has put them.
-    once = held.groupBy("doc_id", "_key").agg(*[F.first(f"`{c}`").alias(c) for c in rest])
+    once = held.groupBy("doc_id", "_fleetlake_key").agg(*[F.first(f"`{c}`").alias(c) for c in rest])
     return once.select(*docs.columns).unionByName(docs.where("text is null"))
