@@ -115,13 +115,24 @@ def raw_csv_scan(t):
     return raw.read_raw_csv(t.spark, path)
 
 
+@query(f"""SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role,
+  {o.csv_null('text')} AS text, FALSE AS malformed FROM conversations""")
+def csv_multi_line_text(t):
+    """Texts with quotes and line breaks to CSV and back, whole."""
+    path = t.folder("conversations")
+    rows = base(t.spark, t.sf_dir, "conversations")
+    _write_csv(rows.select(*[F.col(c).cast("string") for c in rows.columns]), path)
+    read = raw.read_raw_csv(t.spark, path, multi_line=True, with_malformed=True)
+    return read.withColumn("malformed", F.col(raw.MALFORMED).isNotNull()).drop(raw.MALFORMED)
+
+
 @query(f"""SELECT {_csv_nulls('loads')}, 'batch_1997' AS _batch_id, 'batch_1997' AS batch_id
 FROM raw_loads WHERE load_date >= '1997' AND load_date < '1998'""")
 def bronze_batch(t):
-    """Split to CSV batches, ingest two of them, read one back by partition."""
+    """Split to CSV batches, ingest all of them, read one back by partition."""
     root, bronze = t.folder("batches"), t.folder("bronze")
     raw.write_batches(t.raw_loads, "load_date", root, DATA_BATCHES)
-    for batch_id in ("batch_1996", "batch_1997"):
+    for batch_id, _ in DATA_BATCHES:
         rows = raw.read_raw_csv(t.spark, f"{root}/batch_id={batch_id}", with_file=True)
         store.write_batch(raw.with_lineage(rows, batch_id), bronze, "loads", batch_id)
     return store.read_batch(t.spark, bronze, "loads", "batch_1997")
@@ -175,11 +186,11 @@ def quarantine_batch(t):
 
 @query("""SELECT 'batch_' || year(dispatch_date) AS batch_id, count(*) AS trips,
   sum(actual_distance_miles)::BIGINT AS miles FROM fact_trips
-WHERE year(dispatch_date) IN (1996, 1997) GROUP BY 1""")
+WHERE year(dispatch_date) BETWEEN 1995 AND 2001 GROUP BY 1""")
 def gold_publish_rerun(t):
-    """Publish two batches, publish the first again: nothing doubles, nothing is lost."""
+    """Publish all years, publish the first again: nothing doubles, nothing is lost."""
     root = t.folder("gold")
-    for year in (1996, 1997, 1996):
+    for year in (*range(1995, 2002), 1995):
         batch = t.fact_trips.where(F.year("dispatch_date") == year)
         store.publish_fact(batch, root, "fact_trips", f"batch_{year}")
     return store.read_table(t.spark, root, "fact_trips").groupBy("batch_id").agg(
@@ -221,16 +232,17 @@ def gold_clustered_layout(t):
 
 
 _CONTRACT_TABLES = ("fact_trips", *facts.SINGLE_SOURCE)
+_ALL_CONTRACTS = (*_CONTRACT_TABLES, *dims.SNAPSHOT_DIMS, "dim_driver")
 
 
 @query(" UNION ALL ".join(
     f"SELECT '{name}' AS table_name, '{c.name}' AS column_name, count(*) FILTER (WHERE {c.name} IS NULL) AS missing FROM {name}"
-    for name in _CONTRACT_TABLES for c in registry.GOLD[name] if not c.nullable))
+    for name in _ALL_CONTRACTS for c in registry.GOLD[name] if not c.nullable and c.name not in _STAMPS))
 def gold_contract(t):
-    """Nulls in the required columns of every fact and mart."""
+    """Nulls in the required columns of every fact, mart and stored dimension."""
     parts = []
-    for name in _CONTRACT_TABLES:
-        required = [c.name for c in registry.GOLD[name] if not c.nullable]
+    for name in _ALL_CONTRACTS:
+        required = [c.name for c in registry.GOLD[name] if not c.nullable and c.name not in _STAMPS]
         counts = getattr(t, name).agg(*casting.missing_required(getattr(t, name), name))
         parts.append(counts.select(F.inline(F.array(*[
             F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
@@ -531,6 +543,24 @@ def control_current_status(t):
     return control.current_status(_control_log(t)).drop("error_message")
 
 
+@query("""SELECT batch_id, arg_max(status, (arrival_time, status)) AS status FROM (
+  SELECT batch_id, arrival_time, status FROM batch_control
+  UNION ALL SELECT 'batch_1996', TIMESTAMP '2100-01-01', 'FAILED') c GROUP BY 1
+UNION ALL SELECT 'reset_' || batch_id, 'COMPLETED' FROM batch_control WHERE status = 'COMPLETED' GROUP BY batch_id""")
+def control_log_written(t):
+    """A log written, a status appended, all read back; and a log reset to its completed batches."""
+    root, at = t.folder("audit"), datetime.datetime(2100, 1, 1, tzinfo=datetime.timezone.utc)
+    store.append(_control_log(t), root, "batch_control")
+    store.append(control.status_row(t.spark, "batch_1996", "FAILED", "late", at), root, "batch_control")
+    log = store.read_log(t.spark, root, "batch_control", control.BATCH_CONTROL_SCHEMA)
+    done = [r["batch_id"] for r in control.completed_batches(log).toLocalIterator()]
+    fresh = t.folder("audit-reset")
+    control.reset_control(t.spark, fresh, done)
+    reset = store.read_log(t.spark, fresh, "batch_control", control.BATCH_CONTROL_SCHEMA)
+    return control.current_status(log).select("batch_id", "status").union(
+        reset.select(F.concat(F.lit("reset_"), "batch_id"), "status"))
+
+
 @query("""SELECT DISTINCT 'batch_' || year(o_orderdate) AS batch_id FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM batch_control c WHERE c.status = 'COMPLETED'
   AND c.batch_id = 'batch_' || year(o_orderdate))""")
@@ -554,9 +584,9 @@ _LOAD_COLUMNS = _raw_columns("loads")
 @query(f"""SELECT '{BATCH}' AS batch_id, 'loads' AS table_name, load_id AS record_pk, _rejection_rule AS rule_id,
   'DATA_QUALITY_RULE' AS rule_type, _rejection_reason AS rejection_reason,
   '{{' || {" || ',' || ".join(f"'\"{c}\":' || coalesce('\"' || {c} || '\"', 'null')" for c in _LOAD_COLUMNS)} || '}}' AS rejected_payload
-FROM ({o.annotated('raw_loads', 'loads')}) a WHERE _rejection_rule IS NOT NULL ORDER BY load_id LIMIT 200""")
+FROM ({o.annotated('raw_loads', 'loads')}) a WHERE _rejection_rule IS NOT NULL""")
 def audit_rejection_log(t):
-    """The first 200 rejections by key, payload as JSON."""
+    """All rejections, payload as JSON."""
     _, rejected = quality.evaluate_table(t.raw_loads, "loads", BATCH)
     return control.rejection_rows(rejected, "loads").drop("rejected_at")
 
@@ -569,7 +599,7 @@ def audit_dq_metrics(t):
 
 
 @query("""SELECT table_name, stage, status, records_in, records_out, duration_seconds FROM pipeline_audit
-WHERE batch_id = 'batch_1997' AND stage = 'BRONZE' ORDER BY start_time DESC, table_name LIMIT 14""")
+WHERE batch_id = 'batch_1997' AND stage = 'BRONZE' ORDER BY start_time DESC, table_name""")
 def audit_latest_steps(t):
     return control.audit_steps(t.pipeline_audit, "batch_1997", "BRONZE")
 
@@ -604,7 +634,8 @@ def alerts_failed_steps(t):
   'Batch ''' || batch_id || ''' processed through Medallion architecture in ' || printf('%.2f', sum(duration_seconds)) || 's.' AS message,
   batch_id, count(*) FILTER (WHERE stage = 'GOLD') AS total_tables,
   sum(records_out) FILTER (WHERE stage = 'GOLD')::BIGINT AS total_rows_published
-FROM pipeline_audit GROUP BY batch_id
+FROM (SELECT * FROM pipeline_audit QUALIFY row_number() OVER (PARTITION BY batch_id, stage, table_name
+        ORDER BY end_time DESC, start_time DESC, status DESC) = 1) last GROUP BY batch_id
 HAVING count(*) FILTER (WHERE stage = 'GOLD') > 0
    AND count(*) FILTER (WHERE stage = 'GOLD' AND status <> 'COMPLETED') = 0""")
 def alerts_completed_batches(t):
@@ -901,6 +932,32 @@ def measures_by_customer_type_and_month(t):
         {"dim_customer": t.dim_customer})
 
 
+_BY_STATUS = ["total_revenue", "total_trips", "revenue_per_mile"]
+_STATUS_SQL = f"""SELECT d.employment_status AS driver_status, sum(f.total_revenue) AS total_revenue, count(*) AS total_trips,
+  {o.ratio0('sum(f.total_revenue)', 'sum(f.actual_distance_miles)')} AS revenue_per_mile
+FROM fact_trips f LEFT JOIN {{join}} GROUP BY 1"""
+
+
+def _by_status(t, at_event):
+    return measures.evaluate(_BY_STATUS, _facts(t, _BY_STATUS), Context(
+        attributes={"driver_status": ("dim_driver", "employment_status")},
+        at_event=frozenset({"driver_status"} if at_event else ())), {"dim_driver": t.dim_driver_three})
+
+
+@query(_STATUS_SQL.replace("{join}", "(SELECT * FROM dim_driver_three WHERE is_current) d ON d.driver_id = f.driver_id"),
+       _measure_digits(_BY_STATUS))
+def measures_by_driver_status_current(t):
+    """Sliced by a dimension with history, as it is now: each trip counts once."""
+    return _by_status(t, False)
+
+
+@query(_STATUS_SQL.replace("{join}", """dim_driver_three d ON d.driver_id = f.driver_id AND f.dispatch_date >= d.valid_from
+  AND (d.valid_to IS NULL OR f.dispatch_date < d.valid_to)"""), _measure_digits(_BY_STATUS))
+def measures_by_driver_status_at_event(t):
+    """Sliced by the version that was valid on the day of the trip."""
+    return _by_status(t, True)
+
+
 _TOTALS = [n for f in ("financial", "fleet", "service", "safety") for n in measures.FOLDERS[f]]
 
 
@@ -955,6 +1012,38 @@ def revenue_previous_month(t):
     return timeintel.previous_month(_trip_calendar(t), t.fact_trips)
 
 
+_COMPARED = {2: ("total_revenue", "total_revenue_before"), 6: ("total_revenue_growth_pct",)}
+
+
+def _compared_sql(key: str, join: str, months: int) -> str:
+    totals = f"""(SELECT {key} AS k, CAST(date_trunc('month', dispatch_date) AS DATE) AS month, sum(total_revenue) AS v
+  FROM fact_trips f {join} GROUP BY 1, 2)"""
+    before = f"(SELECT k, CAST(month + INTERVAL {months} MONTH AS DATE) AS month, v FROM {totals} x)"
+    change = "(coalesce(c.v, 0) - coalesce(b.v, 0))"
+    return f"""SELECT coalesce(c.k, b.k) AS {key.split('.')[-1]}, coalesce(c.month, b.month) AS month, c.v AS total_revenue,
+  b.v AS total_revenue_before, {o.ratio0(change, 'b.v')} AS total_revenue_growth_pct
+FROM {totals} c FULL JOIN {before} b ON c.k IS NOT DISTINCT FROM b.k AND c.month = b.month"""
+
+
+@query(_compared_sql("d.make", "LEFT JOIN dim_truck d USING (truck_id)", 12), _COMPARED)
+def revenue_prior_year_by_truck_make(t):
+    return timeintel.compared("total_revenue", {measures.TRIPS: t.fact_trips}, Context(
+        attributes={"make": ("dim_truck", "make")}), {"dim_truck": t.dim_truck}, 12)
+
+
+@query(_compared_sql("f.driver_id", "", 1), _COMPARED)
+def revenue_previous_month_by_driver(t):
+    return timeintel.compared("total_revenue", {measures.TRIPS: t.fact_trips}, Context(columns=("driver_id",)))
+
+
+@query("""SELECT *, sum(total_revenue) OVER (PARTITION BY customer_type, year(date) ORDER BY date) AS total_revenue_ytd
+FROM (SELECT c.customer_type, f.dispatch_date AS date, sum(f.total_revenue) AS total_revenue
+  FROM fact_trips f LEFT JOIN dim_customer c ON c.customer_id = f.customer_id GROUP BY 1, 2) d""", {2: ("total_revenue", "total_revenue_ytd")})
+def revenue_ytd_by_customer_type(t):
+    return timeintel.year_to_date_in("total_revenue", {measures.TRIPS: t.fact_trips}, Context(
+        attributes={"customer_type": ("dim_customer", "customer_type")}), {"dim_customer": t.dim_customer})
+
+
 @query("""SELECT CAST(date_trunc('month', load_date) AS DATE) AS month, sum(total_revenue) AS total_revenue
 FROM fact_trips GROUP BY 1""")
 def revenue_by_load_date(t):
@@ -1025,11 +1114,13 @@ def profile_types(t):
 
 
 @query(" UNION ALL ".join(f"""
-SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM loads
-WHERE {c} IS NOT NULL AND (SELECT count(DISTINCT {c}) FROM loads) <= 25 GROUP BY 1, 2"""
-    for c in _raw_columns("loads") if c not in ("revenue", "fuel_surcharge")))
+SELECT '{c}' AS column_name, CASE WHEN u <= 25 THEN CAST({c} AS VARCHAR) END AS value,
+  CASE WHEN u <= 25 THEN count(*) END AS n, u AS distinct_values
+FROM loads, (SELECT count(DISTINCT {c}) AS u FROM loads) d WHERE {c} IS NOT NULL GROUP BY 1, 2, u"""
+    for c in _raw_columns("loads")))
 def profile_enums(t):
-    return profiling.enum_values(t.loads.drop("revenue", "fuel_surcharge"))
+    """Value lists of all columns; a column with more than 25 values tells how many."""
+    return profiling.enum_values(t.loads)
 
 
 @query(" UNION ALL ".join(

@@ -76,8 +76,3 @@ def month_start(c: Column) -> Column:
 def record_key(columns: list[str]) -> Column:
     """Key columns joined by '_'; a null part reads 'None'."""
     return F.concat_ws("_", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in columns])
-
-
-def project_existing(df: DataFrame, names: list[str]) -> DataFrame:
-    """Keep the wanted columns that exist, in the wanted order."""
-    return df.select(*[n for n in names if n in df.columns])

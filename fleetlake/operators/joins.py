@@ -8,6 +8,7 @@ their rows spread over many tasks and the few matching lookup rows are repeated.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import MapType, VariantType
 
 # Bytes of the lookup side as the optimizer sees them (compressed files count as stored).
 BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
@@ -76,8 +77,10 @@ def lookup_join(
         return joined.select(*left.columns, *extra)
 
     hot = hot_keys(left if keys_from is None else keys_from, on)
+    # The salt is a hash of the row itself, so a task that runs again gives the same one.
+    hashed = [f.name for f in left.schema if not isinstance(f.dataType, (MapType, VariantType))]
     left_salted = _mark_hot(left, on, hot).withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashed), F.lit(SALTS)))
         .otherwise(F.lit(0)).cast("int"))
     right_salted = _mark_hot(right, list(keys.values()), hot).withColumn(
         "_r_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))

@@ -109,15 +109,17 @@ def inferred_types(df: DataFrame, enum_limit: int = ENUM_LIMIT) -> DataFrame:
 
 
 def enum_values(df: DataFrame, limit: int = ENUM_LIMIT) -> DataFrame:
-    """(column, value, rows) for columns with at most ``limit`` distinct non-null values.
+    """(column, value, rows, distinct values) for columns of at most ``limit`` distinct non-null ones.
 
-    One row per value: no list of values is ever built.
+    One row per value: no list of values is ever built. A column with more values is one row
+    without a value that tells how many there are.
     """
     counts = value_counts(df).where("value IS NOT NULL")
-    few = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("_u")).where(
-        F.col("_u") <= limit).select("column_name")
+    per_column = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
     # One row per column of the table, so the broadcast is bounded by the schema.
-    return counts.join(F.broadcast(few), "column_name", "left_semi")
+    listed = counts.join(F.broadcast(per_column.where(F.col("distinct_values") <= limit)), "column_name")
+    return listed.select("column_name", "value", "n", "distinct_values").unionByName(
+        per_column.where(F.col("distinct_values") > limit), allowMissingColumns=True)
 
 
 def temporal_scope(df: DataFrame, columns: list[str]) -> DataFrame:

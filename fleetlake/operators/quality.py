@@ -210,27 +210,10 @@ def check_gate(table: str, total: int, quarantined: int,
     rate = quarantined * 100.0 / total if total else 0.0
     if rate > threshold_pct:
         raise RejectionRateExceeded(
-            f"Table '{table}' exceeded maximum rejection threshold: "
-            f"{rate:.2f}% > {threshold_pct:.2f}%")
+            f"{table}: {rate:.2f}% of the rows are rejected, at most {threshold_pct:.2f}% may be")
 
 
 # ---------------------------------------------------------------- foreign keys
-def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                nullable: bool = True) -> DataFrame:
-    """Foreign-key values without a parent and the rows that hold each.
-
-    Child keys are counted before the join, so the join sees each value once. A null key
-    is no orphan where the key may be null; otherwise it is reported as one.
-    """
-    child_keys = child.groupBy(F.col(column).alias("fk_value")).agg(
-        F.count(F.lit(1)).alias("orphan_rows"))
-    if nullable:
-        child_keys = child_keys.where("fk_value IS NOT NULL")
-    parents = parent.select(F.col(parent_column).alias("_parent")).where(
-        "_parent IS NOT NULL").distinct()
-    return child_keys.join(parents, F.col("fk_value") == F.col("_parent"), "left_anti")
-
-
 def orphan_counts(tables: dict[str, DataFrame], table: str) -> DataFrame:
     """Orphan values and rows for each declared foreign key of ``table``.
 

@@ -27,7 +27,6 @@ DQ_METRICS_SCHEMA = (
 
 STATUS_FILE = "__STATUS__"
 REJECTION_RULE_TYPE = "DATA_QUALITY_RULE"
-REJECTIONS_PER_TABLE = 200
 
 
 def _now() -> datetime.datetime:
@@ -132,31 +131,25 @@ def dq_metric_rows(metrics: DataFrame, batch_id: str, at: Column | None = None)
         (F.current_timestamp() if at is None else at).alias("evaluated_at"))
 
 
-def rejection_rows(quarantined: DataFrame, table: str,
-                   limit: int | None = REJECTIONS_PER_TABLE) -> DataFrame:
-    """Log rows of quarantined records, the first ``limit`` by record key.
-
-    The payload is the raw row as JSON, lineage columns left out.
-    """
+def rejection_rows(quarantined: DataFrame, table: str) -> DataFrame:
+    """Log rows of all quarantined records: the payload is the raw row as JSON, lineage left out."""
     data = [c for c in quarantined.columns if not c.startswith("_")]
-    rows = quarantined.select(
+    return quarantined.select(
         F.col("_batch_id").alias("batch_id"), F.lit(table).alias("table_name"),
         F.col("_record_pk").alias("record_pk"), F.col("_rejection_rule").alias("rule_id"),
         F.lit(REJECTION_RULE_TYPE).alias("rule_type"),
         F.col("_rejection_reason").alias("rejection_reason"),
         F.to_json(F.struct(*data), {"ignoreNullFields": "false"}).alias("rejected_payload"),
         F.col("_rejected_at").alias("rejected_at"))
-    # Top-k by key: each task keeps ``limit`` rows, the payload breaks ties.
-    return rows if limit is None else rows.orderBy("record_pk", "rejected_payload").limit(limit)
 
 
 # ---------------------------------------------------------------- verification
-def audit_steps(pipeline_audit: DataFrame, batch_id: str, stage: str, limit: int = 14) -> DataFrame:
-    """Steps of a batch and stage, newest first."""
+def audit_steps(pipeline_audit: DataFrame, batch_id: str, stage: str) -> DataFrame:
+    """All steps of a batch and stage, newest first."""
     return (pipeline_audit.where((F.col("batch_id") == batch_id) & (F.col("stage") == stage))
             .select("table_name", "stage", "status", "records_in", "records_out",
                     "duration_seconds", "start_time")
-            .orderBy(F.desc("start_time"), "table_name").limit(limit).drop("start_time"))
+            .orderBy(F.desc("start_time"), "table_name").drop("start_time"))
 
 
 def latest_metrics(dq_metrics: DataFrame, batch_id: str, limit: int = 14) -> DataFrame:
@@ -210,8 +203,14 @@ def failure_alerts(pipeline_audit: DataFrame) -> DataFrame:
 
 
 def completion_alerts(pipeline_audit: DataFrame) -> DataFrame:
-    """INFO alert rows for batches whose Gold steps all completed."""
-    per_batch = pipeline_audit.groupBy("batch_id").agg(
+    """INFO alert rows for batches whose Gold steps all completed, each step as last run."""
+    last = pipeline_audit.groupBy("batch_id", "stage", "table_name").agg(F.max_by(
+        F.struct("status", "records_out", "duration_seconds"),
+        F.struct("end_time", "start_time", "status")).alias("_last"))
+    last = last.select("batch_id", "stage", "table_name", "_last.*")
+    # A failure of a whole stage is over once the stage's tables have completed.
+    last = last.where((F.col("table_name") != "ALL") | (F.col("status") == "COMPLETED"))
+    per_batch = last.groupBy("batch_id").agg(
         F.count_if(F.col("stage") == "GOLD").alias("_gold"),
         F.count_if((F.col("stage") == "GOLD") & (F.col("status") != "COMPLETED")).alias("_open"),
         F.sum(F.when(F.col("stage") == "GOLD", F.col("records_out"))).alias("total_rows_published"),
@@ -224,5 +223,11 @@ def completion_alerts(pipeline_audit: DataFrame) -> DataFrame:
         "batch_id", F.col("_gold").alias("total_tables"), "total_rows_published")
 
 
-def log(df: DataFrame, root: str, table: str) -> None:
-    store.append(df, root, table)
+# Alert levels, subjects, messages and the action above equal the original's.
+ALERT_SCHEMA = "level string, subject string, message string, batch_id string, raised_at timestamp"
+
+
+def alert_rows(alerts: DataFrame) -> DataFrame:
+    """Any alert rows in the form of the alert log."""
+    return alerts.select("level", "subject", "message", "batch_id",
+                         F.current_timestamp().alias("raised_at"))

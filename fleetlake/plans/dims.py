@@ -61,26 +61,6 @@ def snapshot_dim(name: str, silver: DataFrame) -> DataFrame:
     return conform(dense_key(silver, [key], sk).withColumn("_created_at", F.current_timestamp()), name)
 
 
-def dim_customer(silver: DataFrame) -> DataFrame:
-    return snapshot_dim("dim_customer", silver)
-
-
-def dim_truck(silver: DataFrame) -> DataFrame:
-    return snapshot_dim("dim_truck", silver)
-
-
-def dim_trailer(silver: DataFrame) -> DataFrame:
-    return snapshot_dim("dim_trailer", silver)
-
-
-def dim_facility(silver: DataFrame) -> DataFrame:
-    return snapshot_dim("dim_facility", silver)
-
-
-def dim_route(silver: DataFrame) -> DataFrame:
-    return snapshot_dim("dim_route", silver)
-
-
 def dim_driver(silver: DataFrame, existing: DataFrame | None = None,
                as_of: datetime.date | None = None,
                tracked: list[str] | None = None) -> DataFrame:

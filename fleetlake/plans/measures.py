@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fleetlake import registry
 from fleetlake.functions.text import divide_or_zero, month_start
 from fleetlake.operators.joins import lookup_join
+from fleetlake.operators.scd2 import current_rows, version_at
 
 TRIPS, FUEL, MAINTENANCE = "fact_trips", "fact_fuel_purchases", "fact_maintenance"
 EVENTS, SAFETY = "fact_delivery_events", "fact_safety_incidents"
@@ -177,13 +178,16 @@ class Context:
 
     ``periods`` maps an output column to a function of the fact's date; ``attributes`` maps
     an output column to (dimension, column); ``columns`` are columns all facts share.
-    ``date_columns`` replaces the date of a fact, e.g. load date for trips.
+    ``date_columns`` replaces the date of a fact, e.g. load date for trips. An attribute of a
+    dimension with history is that of the current version, or, if named in ``at_event``, that of
+    the version valid on the fact's date.
     """
 
     periods: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
     attributes: dict[str, tuple[str, str]] = field(default_factory=dict)
     columns: tuple[str, ...] = ()
     date_columns: dict[str, str] = field(default_factory=dict)
+    at_event: frozenset[str] = frozenset()
 
     @property
     def keys(self) -> list[str]:
@@ -219,6 +223,16 @@ def _column(name: str) -> Column:
     return measure.build(*[_column(i) for i in measure.inputs])
 
 
+def _one_per_key(dim: DataFrame, table: str, key: str, column: str, name: str) -> DataFrame:
+    """The attribute of each key; of a dimension with history, of its current rows. A key with
+    several rows would count facts twice, so it is an error when the query runs."""
+    if "is_current" in dim.columns:
+        dim = current_rows(dim)
+    several = F.concat(F.lit(f"{table} has several rows of {key} "), F.col("_ctx_key").cast("string"))
+    return (dim.groupBy(F.col(key).alias("_ctx_key")).agg(F.max(column).alias(name), F.count(F.lit(1)).alias("_n"))
+            .select("_ctx_key", F.when(F.col("_n") > 1, F.raise_error(several)).otherwise(F.col(name)).alias(name)))
+
+
 def in_context(fact_name: str, fact: DataFrame, context: Context,
                dims: dict[str, DataFrame]) -> DataFrame:
     """The fact with the context's key columns, dimension attributes looked up."""
@@ -226,9 +240,13 @@ def in_context(fact_name: str, fact: DataFrame, context: Context,
     base = fact
     for name, (dim, column) in context.attributes.items():
         link = registry.relationship(fact_name, dim)
-        lookup = dims[dim].select(F.col(link.dim_key).alias("_ctx_key"), F.col(column).alias(name))
-        fact = lookup_join(fact.withColumn("_ctx_key", F.col(link.fact_key)).drop(
-            *([name] if name in fact.columns else [])), lookup, on=["_ctx_key"],
+        fact = fact.withColumn("_ctx_key", F.col(link.fact_key)).drop(
+            *([name] if name in fact.columns else []))
+        if name in context.at_event:
+            versions = dims[dim].withColumn("_ctx_key", F.col(link.dim_key))
+            fact = version_at(fact, versions, "_ctx_key", date_column, {name: column}).drop("_ctx_key")
+            continue
+        fact = lookup_join(fact, _one_per_key(dims[dim], dim, link.dim_key, column, name), on=["_ctx_key"],
             keys_from=base.select(F.col(link.fact_key).alias("_ctx_key"))).drop("_ctx_key")
     return fact.withColumns({n: f(F.col(date_column)) for n, f in context.periods.items()}) \
         if context.periods else fact

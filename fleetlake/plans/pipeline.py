@@ -33,8 +33,8 @@ class Lake:
     max_rejection_rate_pct: float = registry.MAX_REJECTION_RATE_PCT
     quarantine_enabled: bool = True
     fail_on_threshold: bool = True
-    dimension_mode: str = "replace"  # or "upsert": keep keys the batch does not carry
-    first_batch: str = registry.BATCHES[0][0]
+    dimension_mode: str = "upsert"  # or "replace": only the keys that the batch carries
+    multi_line: frozenset[str] = frozenset()  # tables with line breaks inside quotes
     calendar_years: tuple[int, int] = dims.CALENDAR_YEARS
     parallel_tables: int = 4
 
@@ -55,6 +55,10 @@ def _each_table(lake: Lake, tables: list[str], step: Callable[[str], dict]) -> l
         return list(pool.map(step, tables))
 
 
+def _alert(spark: SparkSession, lake: Lake, alerts: DataFrame) -> None:
+    store.append(control.alert_rows(alerts), lake.zone("audit"), "alerts")
+
+
 def _log_step(spark: SparkSession, lake: Lake, *args, **kwargs) -> None:
     store.append(control.step_row(spark, *args, **kwargs), lake.zone("audit"), "pipeline_audit")
 
@@ -64,12 +68,17 @@ def ingest_table(spark: SparkSession, lake: Lake, batch_id: str, table: str) ->
     """Raw CSV of a table to its Bronze batch folder."""
     start = _now()
     counted = Observation(f"bronze_{table}")
-    rows = raw.read_raw_csv(spark, lake.raw_path(table, batch_id), with_file=True)
-    bronze = raw.with_lineage(rows, batch_id).observe(counted, F.count(F.lit(1)).alias("n"))
-    store.write_batch(bronze, lake.zone("bronze"), table, batch_id)
-    n = counted.get["n"]
-    _log_step(spark, lake, batch_id, "BRONZE", table, "COMPLETED", n, n, 0, start)
-    return {"table": table, "rows": n}
+    rows = raw.read_raw_csv(spark, lake.raw_path(table, batch_id), table in lake.multi_line,
+                            with_file=True, with_malformed=True)
+    bad = F.col(raw.MALFORMED).isNotNull()
+    lined = raw.with_lineage(rows, batch_id)
+    bronze = lined.observe(counted, F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"))
+    store.write_batch(bronze.where(~bad).drop(raw.MALFORMED), lake.zone("bronze"), table, batch_id)
+    n, malformed = counted.get["n"], counted.get["bad"]
+    store.write_batch(raw.malformed_rows(lined) if malformed else raw.malformed_rows(lined).limit(0),
+                      lake.zone("malformed"), table, batch_id)
+    _log_step(spark, lake, batch_id, "BRONZE", table, "COMPLETED", n, n - malformed, malformed, start)
+    return {"table": table, "rows": n - malformed, "malformed": malformed}
 
 
 def ingest_batch(spark: SparkSession, lake: Lake, batch_id: str,
@@ -128,6 +137,11 @@ def refine_table(spark: SparkSession, lake: Lake, batch_id: str, table: str) ->
     except quality.RejectionRateExceeded as breach:
         _log_step(spark, lake, batch_id, "SILVER", table, "FAILED", total, total - failed, failed,
                   start, error=str(breach))
+        breached = spark.createDataFrame(
+            [(table, batch_id, total, failed, failed * 100.0 / total, lake.max_rejection_rate_pct)],
+            "table_name string, batch_id string, total_records bigint, quarantined_records bigint, "
+            "rejection_rate_pct double, threshold_pct double")
+        _alert(spark, lake, control.breach_alerts(breached))
         raise
     _log_step(spark, lake, batch_id, "SILVER", table, "COMPLETED", total, total - failed, failed,
               start)
@@ -153,12 +167,14 @@ def _checked(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
 
 
 def _finish(spark: SparkSession, lake: Lake, batch_id: str, table: str, counted: Observation,
-            start: datetime.datetime) -> int:
+            start: datetime.datetime, release: Callable[[], None]) -> int:
+    """Show the written rows to readers if no required key is missing; else they never see them."""
     counts = dict(counted.get)
     n = counts.pop("n")
     missing = {c.removeprefix("null_"): v for c, v in counts.items() if v}
     if missing:
         raise MissingKeys(f"{table}: null in required columns {missing}")
+    release()
     _log_step(spark, lake, batch_id, "GOLD", table, "COMPLETED", n, n, 0, start)
     return n
 
@@ -167,7 +183,7 @@ def publish_dimension(spark: SparkSession, lake: Lake, batch_id: str, table: str
                       as_of: datetime.date) -> int:
     start = _now()
     gold = lake.zone("gold")
-    existing = None if batch_id == lake.first_batch else store.read_dimension(spark, gold, table)
+    existing = store.read_dimension(spark, gold, table)
     if table == "dim_date":
         df = dims.calendar(spark, *lake.calendar_years)
     elif table == "dim_driver":
@@ -183,9 +199,8 @@ def publish_dimension(spark: SparkSession, lake: Lake, batch_id: str, table: str
             df = dims.snapshot_dim(table, silver)
     checked, counted = _checked(df, table)
     version = store.write_dimension(checked, gold, table)
-    n = _finish(spark, lake, batch_id, table, counted, start)
-    store.release_dimension(spark, gold, table, version)
-    return n
+    return _finish(spark, lake, batch_id, table, counted, start,
+                   lambda: store.release_dimension(spark, gold, table, version))
 
 
 def publish_fact(spark: SparkSession, lake: Lake, batch_id: str, table: str) -> int:
@@ -200,14 +215,16 @@ def publish_fact(spark: SparkSession, lake: Lake, batch_id: str, table: str) ->
     # Counted before the range exchange: its sampling pass would count the rows twice.
     clustered = store.clustered(df, table)
     checked, counted = _checked(clustered, table)
-    store.write_batch(checked, lake.zone("gold"), table, batch_id)
-    return _finish(spark, lake, batch_id, table, counted, start)
+    gold = lake.zone("gold")
+    staged = store.stage_batch(checked, gold, table)
+    return _finish(spark, lake, batch_id, table, counted, start,
+                   lambda: store.release_batch(spark, staged, gold, table, batch_id))
 
 
 def publish_batch(spark: SparkSession, lake: Lake, batch_id: str,
                   as_of: datetime.date | None = None) -> dict:
     """All dimensions, facts and marts of a batch."""
-    as_of = as_of or _now().date()
+    as_of = as_of or effective_date(batch_id)
     published = {}
     for table in ("dim_date", *dims.SNAPSHOT_DIMS, "dim_driver"):
         published[table] = publish_dimension(spark, lake, batch_id, table, as_of)
@@ -217,6 +234,16 @@ def publish_batch(spark: SparkSession, lake: Lake, batch_id: str,
 
 
 # ----------------------------------------------------------------------- batch
+class ManifestMismatch(Exception):
+    """Files of a batch differ from its manifest."""
+
+
+def effective_date(batch_id: str) -> datetime.date:
+    """The date a batch's changes hold from: the first day of its year, else today."""
+    year = dict(registry.BATCHES).get(batch_id)
+    return datetime.date(year, 1, 1) if year else _now().date()
+
+
 def _set_status(spark, lake, batch_id, status, error=None) -> None:
     store.append(control.status_row(spark, batch_id, status, error), lake.zone("audit"),
                  "batch_control")
@@ -233,6 +260,12 @@ def run_batch(spark: SparkSession, lake: Lake, batch_id: str, force: bool = Fals
         year = dict(registry.BATCHES).get(batch_id, 0)
         manifest = raw.batch_manifest(spark, batch_id, year, {
             t: lake.raw_path(t, batch_id) for t in registry.TABLES})
+    elif manifest.get("tables"):
+        listed = {e["table"] for e in manifest["tables"]}
+        wrong = raw.verify_manifest(spark, manifest, {
+            t: lake.raw_path(t, batch_id) for t in registry.TABLES if t in listed})
+        if not wrong.isEmpty():
+            raise ManifestMismatch(f"batch {batch_id}: files differ from the manifest")
     store.append(control.arrival_rows(spark, manifest, f"{lake.raw_root}/{batch_id}"), audit,
                  "batch_control")
     stage = "BRONZE"
@@ -247,8 +280,12 @@ def run_batch(spark: SparkSession, lake: Lake, batch_id: str, force: bool = Fals
         _set_status(spark, lake, batch_id, "FAILED", str(error))
         if not isinstance(error, quality.RejectionRateExceeded):  # that one is logged already
             _log_step(spark, lake, batch_id, stage, "ALL", "FAILED", error=str(error))
+            failed = control.step_row(spark, batch_id, stage, "ALL", "FAILED", error=str(error))
+            _alert(spark, lake, control.failure_alerts(failed))
         raise
     _set_status(spark, lake, batch_id, "COMPLETED")
+    steps = store.read_log(spark, audit, "pipeline_audit", control.PIPELINE_AUDIT_SCHEMA)
+    _alert(spark, lake, control.completion_alerts(steps.where(F.col("batch_id") == batch_id)))
     return {"batch_id": batch_id, "status": "COMPLETED", "bronze": bronze, "silver": silver,
             "gold": gold}
 

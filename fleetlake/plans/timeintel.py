@@ -1,10 +1,13 @@
-"""Period comparisons of revenue. Rows are aggregated to days or months first."""
+"""Period comparisons. Rows are aggregated to days or months first."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetlake.functions.text import divide_or_zero, month_start
+from fleetlake.plans.measures import Context, PERIODS, evaluate
 
 
 def daily(fact: DataFrame, date_column: str, value: str) -> DataFrame:
@@ -65,3 +68,32 @@ def previous_month(calendar: DataFrame, fact: DataFrame, date_column: str = "dis
     months = calendar.select(month_start("full_date").alias("month")).distinct()
     return _compared(months, monthly(fact, date_column, value), "month",
                      1, "revenue_previous_month", "mom_growth_pct")
+
+
+def compared(measure: str, facts: dict[str, DataFrame], context: Context, dims: dict[str, DataFrame] | None = None,
+             months_before: int = 1) -> DataFrame:
+    """Any measure per context group and month, the month ``months_before`` earlier, and the growth.
+
+    Every group and month with a value on either side is a row; no calendar is crossed with the
+    groups. The shifted totals are laid beside the totals by one more grouping.
+    """
+    keys = [*context.keys, "month"]
+    totals = evaluate([measure], facts, replace(context, periods={**context.periods, "month": PERIODS["month"]}), dims)
+    moved = totals.select(*context.keys, F.add_months("month", months_before).alias("month"),
+                          F.col(measure).alias(f"{measure}_before"))
+    both = totals.unionByName(moved, allowMissingColumns=True).groupBy(*keys).agg(
+        F.max(measure).alias(measure), F.max(f"{measure}_before").alias(f"{measure}_before"))
+    change = F.coalesce(F.col(measure), F.lit(0.0)) - F.coalesce(F.col(f"{measure}_before"), F.lit(0.0))
+    return both.withColumn(f"{measure}_growth_pct", divide_or_zero(change, F.col(f"{measure}_before")))
+
+
+def year_to_date_in(measure: str, facts: dict[str, DataFrame], context: Context,
+                    dims: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Running total of an additive measure over the days of the year, per context group.
+
+    A window holds one group's days of one year: 366 rows at most.
+    """
+    totals = evaluate([measure], facts, replace(context, periods={**context.periods, "date": PERIODS["date"]}), dims)
+    running = (Window.partitionBy(*context.keys, F.year("date")).orderBy("date")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return totals.withColumn(f"{measure}_ytd", F.sum(measure).over(running))

@@ -441,6 +441,7 @@ RELATIONSHIPS: tuple[Relationship, ...] = (
     Relationship("dim_trailer", "trailer_id", "fact_trips", "trailer_id"),
     Relationship("dim_route", "route_id", "fact_trips", "route_id"),
     Relationship("dim_date", "full_date", "fact_delivery_events", "event_date"),
+    Relationship("dim_date", "full_date", "fact_delivery_events", "actual_datetime", active=False),
     Relationship("dim_facility", "facility_id", "fact_delivery_events", "facility_id"),
     Relationship("dim_date", "full_date", "fact_fuel_purchases", "purchase_date"),
     Relationship("dim_truck", "truck_id", "fact_fuel_purchases", "truck_id"),
@@ -487,11 +488,6 @@ def raw_schema(name: str) -> T.StructType:
         T.StructField(c.name, T.StringType(), True) for c in TABLES[name].columns])
 
 
-def gold_schema(name: str) -> T.StructType:
-    return T.StructType([
-        T.StructField(c.name, spark_type(c.type), c.nullable) for c in GOLD[name]])
-
-
 def relationship(fact: str, dim: str, fact_key: str | None = None) -> Relationship:
     """The declared link of ``fact`` to ``dim``: the active one, or the one on ``fact_key``."""
     for r in RELATIONSHIPS:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fleetlake import registry
 from fleetlake.functions import text
 
+# A raw line that has not as many fields as the header, whole.
+MALFORMED = "_malformed"
 LINEAGE = ("_batch_id", "_ingested_at", "_source_file")
 _HASH_CHUNK_BYTES = 1 << 20
 
@@ -17,21 +19,31 @@ _HASH_CHUNK_BYTES = 1 << 20
 # ----------------------------------------------------------------------- scan
 def _csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     """Columns by header name, all text, no inference pass. Every file's header is checked."""
-    return (spark.read.option("header", True).option("escape", '"')
-            .option("enforceSchema", False).option("multiLine", multi_line)
-            .option("recursiveFileLookup", True).csv(path))
+    reader = (spark.read.option("header", True).option("escape", '"')
+              .option("enforceSchema", False).option("multiLine", multi_line)
+              .option("recursiveFileLookup", True))
+    fields = [T.StructField(c, T.StringType()) for c in (*reader.csv(path).columns, MALFORMED)]
+    return reader.option("columnNameOfCorruptRecord", MALFORMED).schema(T.StructType(fields)).csv(path)
 
 
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
-                 with_file: bool = False) -> DataFrame:
+                 with_file: bool = False, with_malformed: bool = False) -> DataFrame:
     """CSV with header, every column as text, missing-value texts as null.
 
     ``multi_line`` allows line breaks inside quotes, at the price of unsplittable files.
     ``with_file`` adds ``_source_file``, the name of the file a row came from.
+    ``with_malformed`` adds ``_malformed``: the line itself where it has more or fewer fields than
+    the header, else null. Such rows are kept; the caller decides.
     """
     df = _csv(spark, path, multi_line)
-    extra = [source_file().alias("_source_file")] if with_file else []
-    return df.select(*[text.csv_null(F.col(c)).alias(c) for c in df.columns], *extra)
+    extra = [F.col(MALFORMED)] if with_malformed else []
+    extra += [source_file().alias("_source_file")] if with_file else []
+    return df.select(*[text.csv_null(F.col(c)).alias(c) for c in df.columns if c != MALFORMED], *extra)
+
+
+def malformed_rows(rows: DataFrame) -> DataFrame:
+    """The rows whose line did not fit the header: the line, what could be read of it, lineage."""
+    return rows.where(F.col(MALFORMED).isNotNull())
 
 
 def _file_name(path: Column) -> Column:
@@ -97,8 +109,11 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
             sums = []
             for uri in pdf["path"]:
                 local = uri.startswith("file:")
+                # Hadoop's names of object stores in the library's spelling.
+                scheme, _, rest = uri.partition("://")
+                known = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs", "gs": "gs"}
                 store, name = ((fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")) if local
-                               else fs.FileSystem.from_uri(uri))
+                               else fs.FileSystem.from_uri(f"{known.get(scheme, scheme)}://{rest}"))
                 sha = hashlib.sha256()
                 with store.open_input_stream(name) as stream:
                     while chunk := stream.read(_HASH_CHUNK_BYTES):
@@ -113,7 +128,7 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
 
 def file_row_counts(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Data rows of each CSV file below ``path``."""
-    return _csv(spark, path, multi_line).groupBy(
+    return _csv(spark, path, multi_line).drop(MALFORMED).groupBy(
         F.col("_metadata.file_path").alias("location")).agg(F.count(F.lit(1)).alias("row_count"))
 
 

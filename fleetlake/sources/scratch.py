@@ -12,11 +12,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
     ``spark.checkpoint.dir`` is read first. Only where neither it nor the context names a
-    folder (a plain local session, as in tests) is a local one set.
+    folder (a plain local session, as in tests) is a local one set. On a cluster that would be
+    a folder of one machine: there the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if configured is None and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="fleetlake-"))
         current = spark.sparkContext.getCheckpointDir()
     return configured or current

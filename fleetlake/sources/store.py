@@ -14,10 +14,32 @@ def batch_path(root: str, table: str, batch_id: str) -> str:
     return f"{root.rstrip('/')}/{table}/batch_id={batch_id}"
 
 
+def stage_batch(df: DataFrame, root: str, table: str) -> str:
+    """Write a batch beside the tables, where no reader looks, and return its folder."""
+    staged = f"{root.rstrip('/')}/_staged/{table}-{uuid.uuid4().hex}"
+    df.drop("batch_id").write.option("compression", "snappy").parquet(staged)
+    return staged
+
+
+def release_batch(spark: SparkSession, staged: str, root: str, table: str, batch_id: str) -> None:
+    """Put a staged batch in the place of the one before. Until then readers see the old one."""
+    jvm = spark.sparkContext._jvm
+    source = jvm.org.apache.hadoop.fs.Path(staged)
+    target = jvm.org.apache.hadoop.fs.Path(batch_path(root, table, batch_id))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"cannot move {staged} to {target}")
+
+
 def write_batch(df: DataFrame, root: str, table: str, batch_id: str) -> None:
-    """Replace exactly this batch of a table. An empty batch still leaves its schema behind."""
-    (df.drop("batch_id").write.mode("overwrite").option("compression", "snappy")
-     .parquet(batch_path(root, table, batch_id)))
+    """Replace exactly this batch of a table. An empty batch still leaves its schema behind.
+
+    The new batch is written whole before the old one goes, so a failed job changes nothing.
+    """
+    staged = stage_batch(df, root, table)
+    release_batch(df.sparkSession, staged, root, table, batch_id)
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -103,7 +125,7 @@ def read_dimension(spark: SparkSession, root: str, table: str) -> DataFrame | No
 
 def append(df: DataFrame, root: str, table: str) -> None:
     """Append log rows in a folder of their own: writers at the same time do not meet."""
-    df.coalesce(1).write.parquet(f"{root.rstrip('/')}/{table}/rows-{uuid.uuid4().hex}")
+    df.write.parquet(f"{root.rstrip('/')}/{table}/rows-{uuid.uuid4().hex}")
 
 
 def read_log(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:

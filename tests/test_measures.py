@@ -1,5 +1,7 @@
 import datetime
 
+import pytest
+
 from fleetlake.plans import measures, timeintel, dims
 from fleetlake.plans.measures import Context, PERIODS
 
@@ -46,3 +48,12 @@ def test_periods_skip_gaps(spark):
     assert day[D(2024, 2, 29)].revenue_prior_year == 5.0
     ytd = {r.full_date: r.revenue_ytd for r in timeintel.year_to_date(cal, t).collect()}
     assert ytd[D(2024, 12, 31)] == 40.0 and ytd[D(2024, 1, 4)] is None and ytd[D(2023, 12, 31)] == 5.0
+
+
+def test_a_lookup_key_with_several_rows_is_an_error(spark):
+    from fleetlake.plans.measures import Context, evaluate
+    trips = spark.createDataFrame([("k1", 1.0)], "truck_id string, total_revenue double")
+    trucks = spark.createDataFrame([("k1", "a"), ("k1", "b")], "truck_id string, make string")
+    with pytest.raises(Exception, match="several rows"):
+        evaluate(["total_revenue"], {"fact_trips": trips}, Context(attributes={"make": ("dim_truck", "make")}),
+                 {"dim_truck": trucks}).collect()

@@ -77,7 +77,60 @@ def test_two_batches_end_to_end(spark, lake):
     metrics = store.read_log(spark, lake.zone("audit"), "data_quality_metrics", control.DQ_METRICS_SCHEMA)
     assert metrics.where("batch_id = 'batch_001'").count() == 14
     rejected = store.read_log(spark, lake.zone("audit"), "rejection_log", control.REJECTION_LOG_SCHEMA)
-    assert rejected.groupBy("batch_id", "table_name").count().where("count > 400").isEmpty()
+    logged = {(r.batch_id, r.table_name): r["count"] for r in rejected.groupBy("batch_id", "table_name").count().collect()}
+    for batch_id, run in (("batch_001", first), ("batch_002", second)):
+        for t in run["silver"]["tables"]:
+            assert logged.get((batch_id, t["table"]), 0) == t["quarantined"]
+
+    # Keys of the first batch stay in the dimensions after the second.
+    for dim, key in (("dim_customer", "customer_id"), ("dim_truck", "truck_id")):
+        used = trips.where("batch_id = 'batch_001'").select(key).where(f"{key} IS NOT NULL")
+        known = store.read_dimension(spark, gold, dim).select(key)
+        early = store.read_batch(spark, lake.zone("silver"), dim[4:] + "s", "batch_001").select(key)
+        assert used.join(early, key, "left_semi").join(known, key, "left_anti").isEmpty()
+
+    alerts = store.read_log(spark, lake.zone("audit"), "alerts", control.ALERT_SCHEMA)
+    assert alerts.where("level = 'INFO'").count() == 2
+    done = control.completion_alerts(audit.where("batch_id = 'batch_002'")).first()
+    assert (done.total_tables, done.total_rows_published) == (14, second["gold"]["total_rows_published"])
+
+
+def test_a_bad_fact_is_never_seen(spark, lake, monkeypatch):
+    before = store.read_batch(spark, lake.zone("gold"), "fact_maintenance", "batch_001").count()
+    build, source = pipeline.facts.SINGLE_SOURCE["fact_maintenance"]
+    monkeypatch.setitem(pipeline.facts.SINGLE_SOURCE, "fact_maintenance", (
+        lambda df, b: build(df, b).withColumn("maintenance_id", F.lit(None).cast("string")), source))
+    with pytest.raises(pipeline.MissingKeys):
+        pipeline.publish_fact(spark, lake, "batch_001", "fact_maintenance")
+    after = store.read_batch(spark, lake.zone("gold"), "fact_maintenance", "batch_001")
+    assert after.count() == before > 0 and after.where("maintenance_id IS NULL").isEmpty()
+
+
+def test_short_and_long_lines_are_set_aside(spark, lake, tmp_path):
+    folder = tmp_path / "raw" / "b1"
+    folder.mkdir(parents=True)
+    head = registry.TABLES["routes"].column_names
+    good = ",".join(f"v{i}" for i in range(len(head)))
+    (folder / "routes_b1.csv").write_text("\n".join([",".join(head), good, good + ",extra", "only", good]) + "\n")
+    small = pipeline.Lake(str(tmp_path / "lake"), str(tmp_path / "raw"))
+    got = pipeline.ingest_table(spark, small, "b1", "routes")
+    assert (got["rows"], got["malformed"]) == (2, 2)
+    kept = store.read_batch(spark, small.zone("bronze"), "routes", "b1")
+    assert kept.count() == 2 and "_malformed" not in kept.columns
+    aside = store.read_batch(spark, small.zone("malformed"), "routes", "b1")
+    assert {r["_malformed"] for r in aside.collect()} == {good + ",extra", "only"}
+
+
+def test_batches_take_effect_on_their_own_dates():
+    dates = [pipeline.effective_date(b) for b, _ in registry.BATCHES]
+    assert dates == sorted(set(dates))
+
+
+def test_a_wrong_manifest_stops_the_batch(spark, lake):
+    manifest = {"batch_id": "batch_001", "tables": [
+        {"table": "routes", "file": "routes.csv", "row_count": 1, "file_size_bytes": 1, "sha256": "0"}]}
+    with pytest.raises(pipeline.ManifestMismatch):
+        pipeline.run_batch(spark, lake, "batch_001", force=True, manifest=manifest)
 
 
 def test_a_breach_stops_the_batch_and_is_logged_once(spark, lake):
