@@ -41,6 +41,7 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
            "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _HOLDS = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
           "th": {"tr", "table"}, "option": {"select"}}
+_CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")
 _SEMANTIC = {"article", "main"}
 _PARAGRAPH = {"p", "pre", "li", "td", "th", "dd", "dt", "blockquote", "figcaption",
               "h1", "h2", "h3", "h4", "h5", "h6"}
@@ -171,7 +172,8 @@ class _Page(HTMLParser):
 def main_text(html: str | None) -> str:
     """The article's blocks, white space folded, joined by two line feeds; empty if none."""
     page = _Page()
-    page.feed(html or "")
+    # A tag that the end of the page cuts off is no text.
+    page.feed(_CUT_TAG.sub("", html or ""))
     page.close()
     page.flush()
     if not page.blocks:
