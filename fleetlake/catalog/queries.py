@@ -450,7 +450,7 @@ _FK_TABLES = [t for t in registry.TABLES if registry.foreign_keys(t)]
 @query(" UNION ALL ".join(_orphans_sql(t) for t in _FK_TABLES))
 def fk_orphans(t):
     tables = {n: getattr(t, n) for n in registry.TABLES}
-    return reduce(DataFrame.unionByName, [quality.orphan_counts(tables, n) for n in _FK_TABLES])
+    return quality.orphan_counts(tables, _FK_TABLES)
 
 
 # ================================================================= D dimensions

@@ -214,30 +214,36 @@ def check_gate(table: str, total: int, quarantined: int,
 
 
 # ---------------------------------------------------------------- foreign keys
-def orphan_counts(tables: dict[str, DataFrame], table: str) -> DataFrame:
-    """Orphan values and rows for each declared foreign key of ``table``.
+def orphan_counts(tables: dict[str, DataFrame], names: list[str]) -> DataFrame:
+    """Orphan values and rows for each declared foreign key of the named tables.
 
-    One scan of the child for all its keys: they are unpivoted, counted per value (so a hot
-    value is one row per task) and only then compared with the parents' keys.
+    Each child is scanned once for all its keys, and each parent once for all its children: the
+    keys are unpivoted and counted per value (so a hot value is one row per task), and one anti
+    join compares them with the keys of all parents.
     """
-    links = registry.foreign_keys(table)
-    child = tables[table]
-    optional = [fk.column for fk in links if fk.nullable]
-    values = (child.select(*[F.col(fk.column).cast("string") for fk in links])
-              .unpivot([], [fk.column for fk in links], "fk_column", "fk_value")
-              .where(F.col("fk_value").isNotNull() | ~F.col("fk_column").isin(optional))
-              .groupBy("fk_column", "fk_value").agg(F.count(F.lit(1)).alias("_rows")))
+    links = [(n, fk) for n in names for fk in registry.foreign_keys(n)]
+    counted = []
+    for name in dict.fromkeys(n for n, _ in links):
+        own = [fk for n, fk in links if n == name]
+        optional = [fk.column for fk in own if fk.nullable]
+        counted.append(
+            tables[name].select(*[F.col(fk.column).cast("string") for fk in own])
+            .unpivot([], [fk.column for fk in own], "fk_column", "fk_value")
+            .where(F.col("fk_value").isNotNull() | ~F.col("fk_column").isin(optional))
+            .select(F.lit(name).alias("table_name"), "fk_column", "fk_value"))
+    spark = counted[0].sparkSession
+    declared = spark.createDataFrame(
+        [(n, fk.column, fk.parent_table, f"{fk.parent_table}.{fk.parent_column}") for n, fk in links],
+        "table_name string, fk_column string, parent_table string, _parent string")
+    # One row per declared key: bounded by the schema.
+    values = (reduce(DataFrame.unionByName, counted).join(F.broadcast(declared), ["table_name", "fk_column"])
+              .groupBy("table_name", "fk_column", "_parent", "fk_value").agg(F.count(F.lit(1)).alias("_rows")))
     parents = reduce(DataFrame.unionByName, [
-        tables[fk.parent_table].select(
-            F.lit(fk.column).alias("fk_column"),
-            F.col(fk.parent_column).cast("string").alias("fk_value"))
-        for fk in links]).where("fk_value IS NOT NULL").distinct()
-    found = values.join(parents, ["fk_column", "fk_value"], "left_anti").groupBy("fk_column").agg(
+        tables[t].select(F.lit(f"{t}.{c}").alias("_parent"), F.col(c).cast("string").alias("fk_value"))
+        for t, c in dict.fromkeys((fk.parent_table, fk.parent_column) for _, fk in links)])
+    found = values.join(parents, ["_parent", "fk_value"], "left_anti").groupBy("table_name", "fk_column").agg(
         F.count(F.lit(1)).alias("orphan_keys"), F.sum("_rows").alias("orphan_rows"))
-    declared = child.sparkSession.createDataFrame(
-        [(table, fk.column, fk.parent_table) for fk in links],
-        "table_name string, fk_column string, parent_table string")
-    return declared.join(found, "fk_column", "left").select(
+    return declared.join(found, ["table_name", "fk_column"], "left").select(
         "table_name", "fk_column", "parent_table",
         F.coalesce("orphan_keys", F.lit(0)).alias("orphan_keys"),
         F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows"))
