@@ -1,21 +1,11 @@
 import pytest
-
-SF = "/root/testdata/sf0.001"
-CLASHING = ("row", "node", "key", "n", "value", "text_key", "label", "gram", "part", "_row", "_key",
-            "kept", "score", "tokens", "unit", "cluster")
-
-
-def wide(df):
-    """The same rows among columns whose names operators might use themselves."""
-    from pyspark.sql import functions as F
-    return df.select(*[F.lit("x").alias(c) for c in CLASHING if c not in df.columns], *df.columns)
+from llm_helpers import SF, wide
 
 
 @pytest.fixture
 def docs(spark):
     def make(*rows):
-        data = [(i, t) for i, t in rows]
-        return wide(spark.createDataFrame(data, "doc_id long, text string")).repartition(3)
+        return wide(spark.createDataFrame([*rows], "doc_id long, text string")).repartition(3)
     return make
 
 

@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import wide
+from llm_helpers import wide
 
 from fleetlake.llm import bpe_sql as b
 

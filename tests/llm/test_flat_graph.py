@@ -1,5 +1,5 @@
 import numpy as np
-from conftest import wide
+from llm_helpers import wide
 
 from fleetlake.llm import flat_graph as g
 

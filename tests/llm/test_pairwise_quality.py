@@ -1,7 +1,7 @@
 import zlib
 
 import numpy as np
-from conftest import wide
+from llm_helpers import wide
 
 from fleetlake.llm import pairwise_quality as q
 

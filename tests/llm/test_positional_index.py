@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import wide
+from llm_helpers import wide
 
 from fleetlake.llm import positional_index as p
 

@@ -4,7 +4,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
-from conftest import wide
+from llm_helpers import wide
 
 from fleetlake.llm import prob_minhash as m
 

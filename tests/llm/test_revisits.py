@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import wide
+from llm_helpers import wide
 
 from fleetlake.llm import revisits as r
 

@@ -2,7 +2,7 @@ import random
 import re
 
 import numpy as np
-from conftest import wide
+from llm_helpers import wide
 
 from fleetlake.llm import skip_chain as s
 

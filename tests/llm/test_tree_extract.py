@@ -1,7 +1,7 @@
 import html
 import re
 
-from conftest import wide
+from llm_helpers import wide
 
 from fleetlake.llm import tree_extract as t
 

@@ -3,7 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
-from conftest import SF, wide
+from llm_helpers import SF, wide
 
 from fleetlake.llm import queries, url_markov as u
 
