@@ -113,6 +113,7 @@ def robust_pruned(x: np.ndarray) -> np.ndarray:
     back = np.full((n, DEGREE), -1)
     some = place < DEGREE
     back[target[some], place[some]] = source[some]
+    back[(back[:, :, None] == kept[:, None, :]).any(axis=2)] = -1
     return np.concatenate([kept, back], axis=1)
 
 
