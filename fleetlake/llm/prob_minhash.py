@@ -28,11 +28,16 @@ REGISTERS = BANDS * BAND_ROWS
 # Share of agreeing registers (four standard deviations below SIMILARITY) that calls for the
 # exact check; 8 bits of each register are compared.
 _AGREE = 0.8 - 4 * (0.8 * 0.2 / REGISTERS) ** 0.5
-# Members of an unresolved bucket that are compared with all others in one round.
-LEADERS = 16
+# Members of an unresolved bucket that one step compares with as many others.
+BLOCK_ROWS = 256
+# Best partners that a member of an unresolved bucket tries before it tries all.
+FIRST_TRIES = 16
+# Bits that hold the parity of a text's shingles: their exclusive or over two texts tells how many
+# shingles the texts do not share.
+PARITY_BITS = 1024
 _SHINGLES_AT_ONCE = 200_000
 _SKETCH = ("row long, doc_id long, text_key binary, bands array<long>, marks binary, "
-           "shingles binary, repeats binary")
+           "shingles binary, repeats binary, size int, parity binary")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -160,8 +165,27 @@ def _sketch(rows: list) -> pa.RecordBatch:
         pa.array([x.tobytes() for x in marks], pa.binary()),
         pa.array([(r[3] >> np.uint64(32)).astype(np.uint32).tobytes() for r in rows], pa.binary()),
         pa.array([r[4].astype(np.uint32).tobytes() if len(r[4]) and r[4].max() > 1 else None
-                  for r in rows], pa.binary())],
-        names=["row", "doc_id", "text_key", "bands", "marks", "shingles", "repeats"])
+                  for r in rows], pa.binary()),
+        pa.array(sizes, pa.int32()), pa.array([_parity(r[3]) for r in rows], pa.binary())],
+        names=["row", "doc_id", "text_key", "bands", "marks", "shingles", "repeats", "size", "parity"])
+
+
+def _parity(shingles: np.ndarray) -> bytes:
+    bits = np.bincount((shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((bits & 1).astype(np.uint8)).tobytes()
+
+
+def most_odd_bits(shingles: np.ndarray) -> np.ndarray:
+    """Differing parity bits of two texts with so many distinct shingles together, at most (four
+    standard deviations) where their Jaccard similarity reaches SIMILARITY.
+
+    Such texts differ in (1 - s) / (1 + s) of the sum; each difference flips a random bit.
+    """
+    n = PARITY_BITS
+    apart = shingles * (1 - SIMILARITY) / (1 + SIMILARITY)
+    two, four = np.exp(apart * np.log1p(-2 / n)), np.exp(apart * np.log1p(-4 / n))
+    variance = n / 4 * (1 - four) + n * (n - 1) / 4 * (four - two * two)
+    return n / 2 * (1 - two) + 4 * np.sqrt(np.maximum(variance, 0)) + 2
 
 
 @pandas_udf(T.BooleanType())
@@ -195,14 +219,17 @@ def _folded(x, n):
     return x, n
 
 
-def _verified(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """The (a, b) pairs of rows that are near duplicates; registers first, then the sets."""
+def _verified(pairs: DataFrame, sketch: DataFrame, agreeing: bool = False) -> DataFrame:
+    """The (a, b) pairs of rows that are near duplicates; registers first (unless they are known
+    to agree), then the sets."""
     def side(name, *cols):
         return sketch.select(F.col("row").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
 
-    close = (pairs.join(side("a", "marks"), "a").join(side("b", "marks"), "b")
-             .where(_agree("marks_a", "marks_b")).select("a", "b"))
-    close = materialised(close, "minhash-close")
+    close = pairs
+    if not agreeing:
+        close = (pairs.join(side("a", "marks"), "a").join(side("b", "marks"), "b")
+                 .where(_agree("marks_a", "marks_b")).select("a", "b"))
+        close = materialised(close, "minhash-close")
     return (close.join(side("a", "shingles", "repeats"), "a").join(side("b", "shingles", "repeats"), "b")
             .where(_near("shingles_a", "repeats_a", "shingles_b", "repeats_b")).select("a", "b"))
 
@@ -218,10 +245,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     such row is a group of its own. Repeated rows are copies.
 
     Equal texts collapse by a grouped count first, so a text may repeat without bound. A bucket
-    of equal bands is not paired off: its members are compared with its smallest one, and the
-    links give components. Only a bucket left with several components goes on: round by round
-    LEADERS of its members are compared with the members of other components, until each pair
-    is either tested or connected by others. No bucket is cut off.
+    of equal bands is not paired off: its members are compared with one of them, a different one
+    in each band, and the links give components. In buckets left with several components the
+    members outside the largest one are compared with those of other components, first with the
+    FIRST_TRIES that agree most, then with all. No bucket is cut off and no link is lost; what
+    components connect already is not compared again.
     """
     sketch = materialised(sketches(docs), "minhash-sketches")
     light = sketch.select("row", "doc_id", "text_key")
@@ -229,45 +257,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         light.where("text_key is not null").groupBy("text_key")
         .agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies"),
              F.min("doc_id").alias("least")), "minhash-classes")
-    one = sketch.where("bands is not null").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-    members = materialised(one.select(F.explode("bands").alias("bucket"), F.col("row").alias("node")),
-                           "minhash-buckets")
-    shared = (members.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size"))
-              .where("size > 1"))
+    one = materialised(sketch.where("bands is not null").select(F.col("row").alias("node"), "bands").join(
+        classes.select("node"), "node", "left_semi"), "minhash-bands")
+    members = one.select(F.explode("bands").alias("bucket"), "node")
+    shared = (members.groupBy("bucket").agg(
+        F.min_by("node", F.xxhash64("node", "bucket")).alias("head"), F.count(F.lit(1)).alias("size"))
+        .where("size > 1"))
     members = materialised(members.join(shared, "bucket"), "minhash-shared")
-    tested = materialised(members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-                          .distinct(), "minhash-pairs")
+    tested = materialised(members.where("node <> head").select(
+        F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct(), "minhash-pairs")
     links = materialised(_verified(tested, sketch), "minhash-links")
     label = components(links)
-
-    # Buckets of two are done: their only pair has been tested. The head is done in all others.
-    rest = members.where("size > 2 and node <> head").select("bucket", "node", "size", "head")
-    number = 0
-    while True:
-        named = _labelled(rest, label)
-        open_ = (named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                 .where("x <> y").select("bucket"))
-        rest = materialised(named.join(open_, "bucket", "left_semi").select(
-            "bucket", "node", "size", "component",
-            F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("size") / LEADERS)).alias("turn"))
-            .where(F.col("turn") >= number), "minhash-open")
-        if rest.isEmpty():
+    # Buckets of two are done: their only pair has been tested.
+    rest = materialised(members.where("size > 2").select("bucket", "node").join(
+        sketch.select(F.col("row").alias("node"), "marks", "parity", "bands",
+                      F.when(F.col("repeats").isNull(), F.col("size")).otherwise(0).alias("size")), "node"),
+        "minhash-rest")
+    for tries in (FIRST_TRIES, None):
+        pairs = materialised(_across(_labelled(rest, label), tries).join(tested, ["a", "b"], "left_anti"),
+                             "minhash-pairs")
+        if pairs.isEmpty():
             break
-        lead = rest.where(F.col("turn") == number).select(
-            "bucket", F.col("node").alias("a"), F.col("component").alias("of"))
-        pairs = (rest.join(lead, "bucket")
-                 .where((F.col("component") != F.col("of"))
-                        & ((F.col("turn") > number) | (F.col("a") < F.col("node"))))
-                 .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-                 .join(tested, ["a", "b"], "left_anti"))
-        pairs = materialised(pairs, "minhash-pairs")
-        found = materialised(_verified(pairs, sketch), "minhash-links")
+        found = materialised(_verified(pairs, sketch, True), "minhash-links")
         tested = tested.union(pairs)
         if not found.isEmpty():
             links = links.union(found)
             label = components(links)
-        number += 1
-        rest = rest.where(F.col("turn") >= number).select("bucket", "node", "size")
 
     named = _labelled(classes, label)
     group = named.groupBy("component").agg(F.min("least").alias("group_id"), F.count(F.lit(1)).alias("texts"))
@@ -287,6 +302,86 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                          F.coalesce("is_kept", F.lit(False)).alias("kept"), "copies", "grouped").union(alone)
 
 
+def _across(rows: DataFrame, tries: int | None) -> DataFrame:
+    """Distinct (a, b), a < b, of members of one bucket in different components whose registers
+    agree enough and whose parities differ little enough; the ``tries`` best of a member in each
+    step, or all. Parities judge plain Jaccard similarity, so they are asked only where no shingle
+    of either text repeats (``size`` is 0 elsewhere). A pair that shares several bands is given out
+    by the first of them only.
+
+    A step has one block of a bucket's members and one block of those outside its largest
+    component, so a bucket of any size is worked off in bounded pieces.
+    """
+    rows = rows.withColumnRenamed("size", "of")
+    kinds = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    per = (kinds.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
+                                       F.sum("n").alias("size"), F.max("n").alias("most"),
+                                       F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
+    per = per.select("bucket", "main", F.ceil(F.col("size") / BLOCK_ROWS).alias("blocks"),
+                     F.ceil((F.col("size") - F.col("most")) / BLOCK_ROWS).alias("asking"))
+
+    def spread(n, i, j, role):
+        return F.transform(F.sequence(F.lit(0).cast("long"), F.col(n) - 1), lambda x: F.struct(
+            i(x).cast("int").alias("i"), j(x).cast("int").alias("j"), F.lit(role).alias("role")))
+
+    own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks"))
+    asks = F.pmod(F.xxhash64("bucket", "node"), F.col("asking"))
+    base = spread("asking", lambda x: own, lambda x: x, 0)
+    asked = spread("blocks", lambda x: x, lambda x: asks, 1)
+    steps = (rows.join(per, "bucket").select(
+        "bucket", "node", "component", "marks", "parity", "bands", "of",
+        F.explode(F.when(F.col("component") == F.col("main"), base).otherwise(F.concat(base, asked))).alias("g"))
+        .select("bucket", "g.i", "g.j", "g.role", "node", "component", "marks", "parity", "bands", "of")
+        .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"))
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            group = np.stack([table.column(c).to_numpy() for c in ("bucket", "i", "j")], axis=1)
+            cuts = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
+            # The last group may go on in the next batch.
+            for lo, hi in zip([0, *cuts[:-1]], cuts):
+                yield from _step(table.slice(lo, hi - lo), tries)
+            held = table.slice(cuts[-1] if len(cuts) else 0)
+        if held is not None and held.num_rows:
+            yield from _step(held, tries)
+
+    return steps.mapInArrow(run, "a long, b long").distinct()
+
+
+def _step(table: pa.Table, tries: int | None):
+    asks = table.column("role").to_numpy() == 1
+    node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(node), REGISTERS)
+    q, b = np.flatnonzero(asks), np.flatnonzero(~asks)
+    if not len(q) or not len(b):
+        return
+    agree = np.stack([(marks[b] == marks[i]).sum(axis=1) for i in q])
+    agree[component[q][:, None] == component[b][None]] = 0
+    size = table.column("of").to_numpy().astype(np.float64)
+    parity = np.frombuffer(b"".join(table.column("parity").to_pylist()), np.uint64).reshape(len(node), -1)
+    i, j = np.nonzero(agree >= _AGREE * REGISTERS)
+    odd = np.bitwise_count(parity[q[i]] ^ parity[b[j]]).sum(axis=1)
+    a, c = size[q[i]], size[b[j]]
+    near = (a == 0) | (c == 0) | (odd <= most_odd_bits(a + c))
+    i, j = i[near], j[near]
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), BANDS)
+    first = (bands[q[i]] == bands[b[j]]).argmax(axis=1)
+    here = bands[q[i], first] == table.column("bucket")[0].as_py()
+    i, j = i[here], j[here]
+    if tries is not None and len(i):
+        # The best of each asking member come first in its run.
+        order = np.lexsort((-agree[i, j], i))
+        i, j = i[order], j[order]
+        top = np.arange(len(i)) - np.searchsorted(i, i) < tries
+        i, j = i[top], j[top]
+    if len(i):
+        x, y = node[q[i]], node[b[j]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+
 def _by_text(light: DataFrame, texts: DataFrame) -> DataFrame:
     """Rows with what their text has. A third of all rows may share one text: the join is an
     inner one whose heavy partitions the adaptive planner splits."""
