@@ -44,7 +44,7 @@ with recursive step(word, slot, pos, id, round) as (
     where s.pos <> best + 1
 )
 select word, list(id order by pos) as ids
-from step join (select word, max(round) as round from step group by word) using (word, round)
+from step join (select word, max(round) as round from step where pos = 0 group by word) using (word, round)
 group by word
 """
 DECODE = """
