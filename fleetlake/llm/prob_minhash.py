@@ -52,7 +52,7 @@ class _WordHash(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000:
+        if len(self) < 200_000:
             self[word] = value
         return value
 
@@ -133,12 +133,14 @@ def sketches(docs: DataFrame) -> DataFrame:
         hashes = _WordHash()
         for batch in batches:
             held, rows = 0, []
-            for row, doc, key, body in zip(*(c.to_pylist() for c in batch.columns)):
-                rows.append((row, doc, key, *shingle_counts(words(body), hashes)))
-                held += len(rows[-1][3])
-                if held >= _SHINGLES_AT_ONCE:
-                    yield _sketch(rows)
-                    held, rows = 0, []
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                for row, doc, key, body in zip(*(c.to_pylist() for c in part.columns)):
+                    rows.append((row, doc, key, *shingle_counts(words(body), hashes)))
+                    held += len(rows[-1][3])
+                    if held >= _SHINGLES_AT_ONCE:
+                        yield _sketch(rows)
+                        held, rows = 0, []
             if rows:
                 yield _sketch(rows)
 
