@@ -4,7 +4,10 @@ Each paragraph gives points, for being there, for its length and its commas, to
 full and to further ancestors in falling shares. A container's points are cut by its link
 density. The best container and those of its siblings that score well are the article; their
 blocks of text are returned in page order. Parts that cannot be article (menus, forms, adverts,
-comments and the like, told by tag, role or class) are left out before scoring.
+comments and the like) are left out before scoring where tag or role tell it. Where only class
+or id do, they are weighed against the prose: wrappers that hold most of the page, headings and
+sections of prose inside the article stay, and a page that would lose most of its prose is read
+again without the names.
 """
 
 from __future__ import annotations
@@ -26,14 +29,22 @@ _LEFT_OUT = {"script", "style", "noscript", "template", "head", "title", "nav",
              "object", "audio", "video", "dialog", "menu", "fieldset", "datalist"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "dialog", "alertdialog", "alert",
           "search", "menu", "menubar", "form", "toolbar"}
-# Words that name parts beside the article, in class or id; compared with whole words of them.
+# Words that name parts beside the article, in class or id; compared with whole words of them. The
+# first may as well be an article's subject, the others hardly.
+_MAYBE = re.compile(
+    r"^(promos?|promotions?|banners?|aside|rail|foot|masthead|discussion|notices?|notifications?|alerts?|"
+    r"overlay|toast|paywall|subscription|login|search|share|sharing|social|related|recommended|"
+    r"recommendations|widgets?|skip|disclaimer|copyright)$")
 _BESIDE = re.compile(
-    r"^(ads?|adverts?|advertisements?|advertising|adsense|adslot|adbox|adunit|sponsor(ed|s|ship)?|promos?|promotions?|"
-    r"banners?|nav|navbar|navigation|menus?|submenu|breadcrumbs?|sidebar|sidebars|aside|rail|footer|"
-    r"foot|masthead|topbar|toolbar|comments?|commentlist|respond|replies|disqus|discussion|cookies?|"
-    r"consent|gdpr|notices?|notifications?|alerts?|popup|popups|modal|overlay|toast|paywall|subscribe|"
-    r"subscription|newsletter|signup|login|search|share|sharing|social|related|recommended|"
-    r"recommendations|widgets?|pagination|pager|skip|disclaimer|copyright|hidden)$")
+    r"^(nav|navbar|navigation|menus?|submenu|breadcrumbs?|sidebar|sidebars|footer|topbar|toolbar|popup|"
+    r"popups|modal|subscribe|newsletter|signup|pagination|pager|hidden)$")
+_ADVERT = re.compile(
+    r"^(ads?|adverts?|advertisements?|advertising|adsense|adslot|adbox|adunit|sponsor(ed|s|ship)?|cookies?|"
+    r"consent|gdpr)$")
+_COMMENT = re.compile(r"^(comments?|commentlist|respond|replies|disqus)$")
+# With one of these in it, a name tells about an element ("with-sidebar"), it is not its name.
+_ABOUT = {"with", "without", "has", "have", "no", "non", "not", "is", "layout", "free", "open", "closed",
+          "enabled", "disabled", "on", "off", "xs", "sm", "md", "lg", "xl", "print", "mobile", "desktop"}
 _ARTICLE = re.compile(r"^(article|post|entry|story|content|main|body|text|page)$")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 # An open element that a new one of the same list closes by itself.
@@ -51,6 +62,13 @@ _LEVELS = 5
 _LEAST_CHARS = 25
 _SIBLING_SHARE = 0.2
 _SIBLING_POINTS = 10
+_LINKED = 0.25
+# Characters of prose that clear a part of a doubtful name.
+_MUCH_PROSE = 140
+_MOST = 0.5
+# A page is read again if this much prose, and so many times the result, is lost by names.
+_LOST_CHARS = 500
+_LOST_TIMES = 3
 
 
 def _left_out(tag: str, attrs: dict, inside_article: bool) -> bool:
@@ -62,12 +80,35 @@ def _left_out(tag: str, attrs: dict, inside_article: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or ""):
         return True
-    if tag in ("html", "body", "article", "main"):
-        names = f"{attrs.get('class') or ''}"
-        return tag == "article" and any(w in ("comment", "comments", "reply") for w in
-                                        map(str.lower, _WORD.findall(names)))
-    names = [w.lower() for w in _WORD.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")]
-    return any(map(_BESIDE.match, names))
+    # Inline elements have no block of their own to be weighed by: their class alone tells.
+    return tag in _INLINE and _level(attrs.get("class")) > (tag != "a")
+
+
+def _level(names: str | None) -> int:
+    """How surely class or id name a part beside the article: 0 not at all, 1 maybe, 2 by one of
+    several words, 3 by the whole name, 4 adverts and consents, 5 comments."""
+    level = 0
+    for name in (names or "").split():
+        found = [w.lower() for w in _WORD.findall(name)]
+        if not _ABOUT.isdisjoint(found):
+            continue
+        for w in found:
+            level = max(level, 5 if _COMMENT.match(w) else 4 if _ADVERT.match(w) else
+                        1 if _MAYBE.match(w) else 0 if not _BESIDE.match(w) else 3 if len(found) == 1 else 2)
+    return level
+
+
+def _named(tag: str, attrs: dict) -> tuple[int, bool]:
+    """Level of an element, and whether it is a section that only its id names."""
+    if tag in ("html", "body", "main", "h1", "h2", "h3", "h4", "h5", "h6") or tag in _INLINE:
+        return 0, False
+    by_class = _level(attrs.get("class"))
+    if tag == "article":
+        reply = {"reply", "comment", "comments"}
+        return (5 if any(not reply.isdisjoint(w) and _ABOUT.isdisjoint(w) for w in (
+            {x.lower() for x in _WORD.findall(name)} for name in (attrs.get("class") or "").split())) else 0), False
+    by_id = _level(attrs.get("id"))
+    return max(by_class, by_id), tag == "section" and by_class == 0 and by_id > 0
 
 
 class _Page(HTMLParser):
@@ -76,11 +117,12 @@ class _Page(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.points = [-1], ["#root"], [0.0]
+        self.named: dict[int, tuple[int, bool, bool]] = {}  # level, section by id, inside an article
         self.open = [0]
         self.out: int | None = None  # depth of the open part that is left out
         self.blocks: list[tuple[int, str, int]] = []
         self.text: list[str] = []
-        self.links = self.link_chars = self.articles = 0
+        self.links = self.link_chars = self.articles = self.mains = 0
 
     def handle_starttag(self, tag, attrs):
         if tag in _VOID:
@@ -102,7 +144,11 @@ class _Page(HTMLParser):
         self.links += tag == "a"
         if self.out is None and _left_out(tag, attrs, self.articles > 0):
             self.out = len(self.open)
+        level, by_id = _named(tag, attrs)
+        if level:
+            self.named[node] = level, by_id, self.articles + self.mains > 0
         self.articles += tag == "article"
+        self.mains += tag == "main"
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -136,6 +182,7 @@ class _Page(HTMLParser):
             name = self.tag[self.open.pop()]
             self.links -= name == "a"
             self.articles -= name == "article"
+            self.mains -= name == "main"
             if self.out is not None and len(self.open) < self.out:
                 self.out = None
                 self.text = []
@@ -178,9 +225,72 @@ def main_text(html: str | None) -> str:
     page.flush()
     if not page.blocks:
         return ""
+    if not page.named:
+        return _article(page, set(), set())
+    beside, restored, prose = _beside(page)
+    text = _article(page, beside, restored)
+    lost = sum(prose[i] for i in beside if page.named[i][0] < 4)
+    if lost >= _LOST_CHARS and lost > _LOST_TIMES * len(text) or not text and lost >= _MUCH_PROSE:
+        text = max(text, _article(page, {i for i in beside if page.named[i][0] > 3}, set()), key=len)
+    if not text and sum(prose[i] for i in beside) >= _MUCH_PROSE:
+        text = _article(page, set(), set())
+    return text
+
+
+def _prose(block: tuple[int, str, int]) -> bool:
+    return len(block[1]) >= _LEAST_CHARS and block[2] < _LINKED * len(block[1])
+
+
+def _beside(page: _Page) -> tuple[set, set, list]:
+    """Named elements that are not article, outermost only; those of them that are if they turn up
+    inside the best container; characters of prose of every element."""
     n = len(page.tag)
+    comment = [False] * n
+    for node in range(1, n):
+        comment[node] = comment[page.parent[node]] or page.named.get(node, (0,))[0] > 3
+    chars, links, prose, judged = [0] * n, [0] * n, [0] * n, [0] * n
+    for block in page.blocks:
+        node, text, link = block
+        chars[node] += len(text)
+        links[node] += link
+        if _prose(block):
+            prose[node] += len(text)
+            judged[node] += 0 if comment[node] else len(text)
+    for node in range(n - 1, 0, -1):
+        for value in (chars, links, prose, judged):
+            value[page.parent[node]] += value[node]
+    beside, restored, within = set(), set(), [False] * n
+    for node in range(1, n):
+        within[node] = within[page.parent[node]]
+        level, by_id, inside = page.named.get(node, (0, False, False))
+        if not level or within[node]:
+            continue
+        low = links[node] < _LINKED * chars[node]
+        rich = level == 1 and low and prose[node] >= _MUCH_PROSE
+        section = by_id and level < 5 and low and prose[node] > 0
+        most = level < 3 and judged[node] > 0 and judged[node] >= _MOST * judged[0]
+        if most or inside and (rich or section) or section and level == 1:
+            continue
+        beside.add(node)
+        if rich or section:
+            restored.add(node)
+        else:
+            within[node] = True
+    return beside, restored, prose
+
+
+def _article(page: _Page, beside: set, restored: set) -> str:
+    """The article without the elements ``beside``; the ``restored`` ones of them are given out
+    where they lie in it, but not scored."""
+    n = len(page.tag)
+    out, gone = [False] * n, [False] * n
+    for node in range(1, n):
+        out[node] = out[page.parent[node]] or node in beside
+        gone[node] = gone[page.parent[node]] or node in beside and node not in restored
     score, chars, links, last = [0.0] * n, [0] * n, [0] * n, list(range(n))
     for node, text, link in page.blocks:
+        if out[node]:
+            continue
         chars[node] += len(text)
         links[node] += link
         if len(text) < _LEAST_CHARS:
@@ -201,6 +311,8 @@ def main_text(html: str | None) -> str:
         last[up] = max(last[up], last[node])
     total = [(s + p) * (1 - links[i] / chars[i]) if s > 0 else 0.0
              for i, (s, p) in enumerate(zip(score, page.points))]
+    if not chars[0]:
+        return ""
     best = max(range(n), key=lambda i: (total[i], -i))
     up = best
     while up > 0 and page.tag[up] not in _SEMANTIC:
@@ -227,7 +339,7 @@ def main_text(html: str | None) -> str:
     for node, text, _ in sorted(enumerate_blocks(page.blocks)):
         while at < len(spans) and spans[at][1] < node:
             at += 1
-        if at < len(spans) and spans[at][0] <= node:
+        if at < len(spans) and spans[at][0] <= node and not gone[node]:
             kept.append((_, text))
     return "\n\n".join(text for _, text in sorted(kept, key=lambda x: x[0]))
 

@@ -39,6 +39,29 @@ def test_parts_beside_the_article_go():
         "Second & last one, with bold and a link in it, surely enough.", "one", "two"])
 
 
+LONG = "<p>" + "A sentence of the paper that goes on for a while, as sentences do. " * 4 + "</p>"
+
+
+def test_names_about_a_part_do_not_take_the_article():
+    for name in ("content with-sidebar", "has-sidebar", "no-sidebar", "social-layout", "two-col-sidebar"):
+        page = f'<body>{BESIDE}<div class="{name}">{PROSE * 3}<div class=sidebar>Some, words, beside.</div></div></body>'
+        assert t.main_text(page).count("First paragraph") == 3 and "beside" not in t.main_text(page)
+    page = f"""<article class="post comments-open"><h1>T</h1>{LONG}<h2 id="related-work">Related work</h2>{LONG}
+    <h2><span id=search>Search</span></h2><section id="discussion"><h2 id=login>Discussion</h2>{PROSE}</section>
+    <div class="related"><a href=/1>Another, one, to read, with a long name</a></div><div class=notice>{LONG}</div>
+    <section id=comments>{LONG * 9}</section><div class=ad>{LONG}</div></article>"""
+    blocks = t.main_text(page).split("\n\n")
+    assert [b for b in blocks if len(b) < 30] == ["T", "Related work", "Search", "Discussion"]
+    assert len(blocks) == 8 and "Another" not in t.main_text(page)
+
+
+def test_a_page_that_names_would_empty_is_read_again():
+    assert t.main_text(f"<body>{BESIDE}<div class=sidebar>{LONG * 3}</div></body>").count("A sentence") == 12
+    page = f"<body><div><p>Short, but first of all.</p></div><div id=menu>{LONG * 5}</div><div id=comments>{LONG * 9}</div>"
+    assert t.main_text(page).count("A sentence") == 20
+    assert t.main_text("<body><div class=ad>Buy, buy, and buy again, today, please.</div></body>") == ""
+
+
 def test_link_lists_lose_to_prose():
     links = "".join(f"<p><a href=/{i}>A link, with commas, and a long enough text to score well</a></p>" for i in range(30))
     assert t.main_text(f"<body><div>{links}</div><div>{PROSE * 2}</div></body>").count("First paragraph") == 2
