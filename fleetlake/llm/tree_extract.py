@@ -2,7 +2,8 @@
 
 Each paragraph gives points, for being there, for its length and its commas, to its parent in
 full and to further ancestors in falling shares. A container's points are cut by its link
-density. The best container and those of its siblings that score well are the article; their
+density. The best container, and around it the siblings of it and of its ancestors that hold prose
+of the same kind or score well, are the article; their
 blocks of text are returned in page order. Parts that cannot be article (menus, forms, adverts,
 comments and the like) are left out before scoring where tag or role tell it. Where only class
 or id do, they are weighed against the prose: wrappers that hold most of the page, headings and
@@ -13,6 +14,7 @@ again without the names.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -56,6 +58,7 @@ _CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")
 _SEMANTIC = {"article", "main"}
 _PARAGRAPH = {"p", "pre", "li", "td", "th", "dd", "dt", "blockquote", "figcaption",
               "h1", "h2", "h3", "h4", "h5", "h6"}
+_OWN_PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
 _TAG_POINTS = {"article": 25, "main": 15, "section": 3, "div": 5, "td": 3, "pre": 3,
                "blockquote": 3, "ul": -3, "ol": -3, "dl": -3}
 _LEVELS = 5
@@ -117,6 +120,7 @@ class _Page(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.points = [-1], ["#root"], [0.0]
+        self.name = [""]  # class
         self.named: dict[int, tuple[int, bool, bool]] = {}  # level, section by id, inside an article
         self.open = [0]
         self.out: int | None = None  # depth of the open part that is left out
@@ -138,6 +142,7 @@ class _Page(HTMLParser):
         node = len(self.tag)
         self.parent.append(self.open[-1])
         self.tag.append(tag)
+        self.name.append(attrs.get("class") or "")
         named = [w.lower() for w in _WORD.findall(attrs.get("class") or "")]
         self.points.append(_TAG_POINTS.get(tag, 0) + 10 * any(map(_ARTICLE.match, named)))
         self.open.append(node)
@@ -320,30 +325,72 @@ def _article(page: _Page, beside: set, restored: set) -> str:
     semantic = up > 0
     if semantic:
         best = up
-    chosen = {best}
+    chosen, direct = {best}, set()
     bar = max(_SIBLING_POINTS, _SIBLING_SHARE * total[best])
-    for node in range(1, n):
-        if page.parent[node] != page.parent[best] or node == best:
-            continue
-        name = page.tag[node]
-        if semantic:
-            good = name == page.tag[best] and total[node] >= bar
-        else:
-            prose = (name in ("p", "h1", "h2", "h3", "blockquote", "pre") and chars[node]
-                     and links[node] / chars[node] < 0.25)
-            good = prose or total[node] >= bar
-        if good:
-            chosen.add(node)
+    if semantic:
+        chosen |= {node for node in range(1, n) if page.parent[node] == page.parent[best]
+                   and page.tag[node] == page.tag[best] and total[node] >= bar}
+    else:
+        _widen(page, best, bar, total, chars, links, last, out, chosen, direct)
     spans = sorted((c, last[c]) for c in chosen)
     kept, at = [], 0
     for node, text, _ in sorted(enumerate_blocks(page.blocks)):
         while at < len(spans) and spans[at][1] < node:
             at += 1
-        if at < len(spans) and spans[at][0] <= node and not gone[node]:
+        if (at < len(spans) and spans[at][0] <= node or node in direct) and not gone[node]:
             kept.append((_, text))
     return "\n\n".join(text for _, text in sorted(kept, key=lambda x: x[0]))
 
 
+def _widen(page, best, bar, total, chars, links, last, out, chosen, direct):
+    """Add to ``chosen`` what belongs to the best container: from it up to the highest ancestor
+    that adds a fair share of prose or parts of the same tag and class, the siblings that hold
+    prose or score well, and what lies between such. ``direct`` gets the ancestors whose own
+    text counts.
+
+    Prose beside counts if it is set like that of the best container: in paragraphs, or in the
+    same elements.
+    """
+    n = len(page.tag)
+    prose = [0] * n
+    kinds = {page.tag[b[0]] for b in page.blocks if _prose(b) and not out[b[0]] and best <= b[0] <= last[best]}
+    kinds |= _PARAGRAPH if kinds & _PARAGRAPH else set()
+    for block in page.blocks:
+        if _prose(block) and not out[block[0]] and page.tag[block[0]] in kinds:
+            prose[block[0]] += len(block[1])
+    for node in range(n - 1, 0, -1):
+        # A part that is mostly links has no prose to give.
+        if links[node] < _LINKED * chars[node] or best >= node and best <= last[node]:
+            prose[page.parent[node]] += prose[node]
+    alike = Counter((page.parent[i], page.tag[i], page.name[i]) for i in range(1, n) if prose[i] and page.name[i])
+    path, top, child, up = [], best, best, page.parent[best]
+    while up >= 0:
+        path.append(up)
+        if (prose[up] - prose[top] >= _SIBLING_SHARE * max(prose[top], 1)
+                or alike[up, page.tag[child], page.name[child]] > 1):
+            top = up
+        child, up = up, page.parent[up]
+    # The siblings of the best container are judged even if they add little.
+    reach = max(1, path.index(top) + 1 if top != best else 1)
+    under = {page.parent[best]: best} | {p: c for c, p in zip(path, path[1:reach])}
+    direct.update(p for p in path[:reach] if top != best)
+    rows: dict[int, list[int]] = {p: [] for p in under}
+    for node in range(1, n):
+        if page.parent[node] in rows:
+            rows[page.parent[node]].append(node)
+    for parent, row in rows.items():
+        good = []
+        for at, node in enumerate(row):
+            plain = chars[node] and links[node] < _LINKED * chars[node]
+            if node == under[parent] or plain and (
+                    page.tag[node] in _OWN_PROSE or prose[node]) or total[node] >= bar:
+                good.append(at)
+        for at in range(good[0], good[-1] + 1) if good else ():
+            node = row[at]
+            if node != under[parent] and (at in good or chars[node] and links[node] < _MOST * chars[node]):
+                chosen.add(node)
+
+
 def enumerate_blocks(blocks):
     """(element, text, place in the page) of each block."""
     return ((node, text, place) for place, (node, text, _) in enumerate(blocks))

@@ -62,6 +62,20 @@ def test_a_page_that_names_would_empty_is_read_again():
     assert t.main_text("<body><div class=ad>Buy, buy, and buy again, today, please.</div></body>") == ""
 
 
+def test_sections_in_wrappers_are_one_article():
+    def section(i, n):
+        return f"<div class=sec><h4>Part {i}</h4><div class=inner>{f'<p>Section {i}, with, commas, and some more words.</p>' * n}</div></div>"
+    links = "<div>" + "<p><a href=/1>A link, with commas, and a long enough text</a></p>" * 9 + "</div>"
+    for parts in ((4, 4, 4, 4), (9, 1, 1, 4), (3, 3), (1, 12, 1)):
+        inner = "<ul><li>an item</ul>".join(section(i, n) for i, n in enumerate(parts))
+        for page in (f"<body>{BESIDE}<div><div class=wrap>{inner}</div></div>{links}</body>", f"<body>{links}{inner}{links}</body>", inner):
+            text = t.main_text(page)
+            assert [text.count(f"Section {i}") for i in range(len(parts))] == [*parts]
+            assert text.count("Part") == len(parts) and text.count("an item") == len(parts) - 1 and "A link" not in text
+    small = f"<body><div>{PROSE * 9}</div><div><p>One plain paragraph of the same article.</p></div></body>"
+    assert t.main_text(small).endswith("One plain paragraph of the same article.")
+
+
 def test_link_lists_lose_to_prose():
     links = "".join(f"<p><a href=/{i}>A link, with commas, and a long enough text to score well</a></p>" for i in range(30))
     assert t.main_text(f"<body><div>{links}</div><div>{PROSE * 2}</div></body>").count("First paragraph") == 2
