@@ -1,14 +1,18 @@
 """Near-duplicate embeddings by a robust-pruned flat graph over overlapping cluster shards.
 
 Centroids are fitted on a bounded sample; every vector goes to its few nearest ones, so shards
-overlap. Each shard builds a pruned neighbour graph, the lists of a vector from all its shards
-are united, and every vector is sought by a greedy search from the shard's medoid that goes on,
-within the range, until no neighbour of a hit is new. Hits are checked in double precision. A
-sample is compared with brute force; too low a recall repeats the work with more overlap.
+overlap. Each shard builds a pruned neighbour graph with a few far links, the lists of a vector
+from all its shards are united, and every vector is sought by a greedy search that goes on,
+within the range, until no neighbour of a hit is new. It starts from the shard's medoid, from
+one more node of each part that cannot be reached from there, and from the vector itself where
+the shard holds it. Hits are checked in double precision. A sample is compared with brute force;
+too low a recall repeats the work with more overlap, then with exact comparison in the shards.
 """
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -27,13 +31,19 @@ BLOCK_ROWS = 2048
 OVERLAP = 2
 DEGREE = 24
 CANDIDATES = 64
+# Links of a node to random members of its block, the medoid among them, whatever their distance.
+FAR = 4
 ALPHA = 1.2
 BEAM = 32
 # How far below the wanted cosine a node may lie and still be passed through.
 SLACK = 0.07
 AUDIT_ROWS = 256
+# The audited sample grows until so many of its rows have links, or to so many rows.
+AUDIT_LINKED = 64
+MOST_AUDITED = 4096
 RECALL = 0.9
 _EDGE = 1e-12
+_log = logging.getLogger(__name__)
 
 
 def unit_rows(vectors: DataFrame) -> DataFrame:
@@ -79,8 +89,9 @@ def robust_pruned(x: np.ndarray) -> np.ndarray:
     """Neighbour lists (n x width, -1 for none) of a block of unit vectors.
 
     Of the nearest candidates a node keeps the nearest, drops every other that is ALPHA times
-    nearer to the kept one than to the node, and so on up to DEGREE. Nearest reverse edges fill
-    up to as many again.
+    nearer to the kept one than to the node, and so on up to DEGREE. FAR links lead elsewhere in
+    the block, so groups of near copies larger than CANDIDATES hang together. Nearest reverse
+    edges fill up to as many again as DEGREE.
     """
     n = len(x)
     near = x @ x.T
@@ -110,16 +121,43 @@ def robust_pruned(x: np.ndarray) -> np.ndarray:
     by = np.lexsort((-near[target, source], target))
     source, target = source[by], target[by]
     place = np.arange(len(target)) - np.searchsorted(target, target)
-    back = np.full((n, DEGREE), -1)
-    some = place < DEGREE
+    back = np.full((n, DEGREE - FAR), -1)
+    some = place < DEGREE - FAR
     back[target[some], place[some]] = source[some]
     back[(back[:, :, None] == kept[:, None, :]).any(axis=2)] = -1
-    return np.concatenate([kept, back], axis=1)
-
-
-def range_search(base: np.ndarray, lists: np.ndarray, queries: np.ndarray, cosine: float):
-    """(query, base, cosine) of hits: greedy with a beam from the medoid, then outward in range."""
-    start = int(np.argmax(base @ base.mean(axis=0)))
+    far = np.random.default_rng(n).integers(0, n, (n, FAR))
+    far[:, 0] = np.argmax(x @ x.mean(axis=0))
+    far[far == every[:, None]] = -1
+    for i in range(FAR):
+        known = np.concatenate([kept, back, far[:, :i]], axis=1)
+        far[(known == far[:, i:i + 1]).any(axis=1), i] = -1
+    return np.concatenate([kept, back, far], axis=1)
+
+
+def entries(base: np.ndarray, lists: np.ndarray) -> np.ndarray:
+    """The medoid, then the medoid of what links do not reach from there, and so on: every node
+    can be reached from one of them."""
+    left = np.ones(len(base), bool)
+    starts = []
+    while left.any():
+        ids = np.flatnonzero(left)
+        front = ids[[np.argmax(base[ids] @ base[ids].mean(axis=0))]]
+        starts.append(front[0])
+        while len(front):
+            left[front] = False
+            around = lists[front]
+            front = np.unique(around[around >= 0])
+            front = front[left[front]]
+    return np.array(starts)
+
+
+def range_search(base: np.ndarray, lists: np.ndarray, queries: np.ndarray, cosine: float,
+                 own: np.ndarray | None = None):
+    """(query, base, cosine) of hits: greedy with a beam from the entries, then outward in range.
+
+    ``own`` is a query's own place in the base, -1 if it has none; the search starts there too.
+    """
+    starts = entries(base, lists)
     n, width = len(queries), min(BEAM, len(base))
     seen = np.zeros((n, len(base)), bool)
     hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -135,8 +173,17 @@ def range_search(base: np.ndarray, lists: np.ndarray, queries: np.ndarray, cosin
     value = np.full((n, width), -np.inf)
     done = np.ones((n, width), bool)
     every = np.arange(n)
-    ids[:, 0], done[:, 0] = start, False
-    value[:, 0] = visit(every, np.full(n, start))
+    seen[:, starts] = True
+    first = queries @ base[starts].T
+    hits.append((np.repeat(every, len(starts)), np.tile(starts, n), first.ravel()))
+    top = np.argsort(-first, axis=1, kind="stable")[:, :width]
+    ids[:, :top.shape[1]] = starts[top]
+    value[:, :top.shape[1]] = np.take_along_axis(first, top, axis=1)
+    done[:, :top.shape[1]] = False
+    if own is not None:
+        q = np.flatnonzero((own >= 0) & ~seen[every, own])
+        ids[q, -1], done[q, -1] = own[q], False
+        value[q, -1] = visit(q, own[q])
     active = every
     while len(active):
         todo = np.where(done[active], -np.inf, value[active])
@@ -200,28 +247,36 @@ def _graph(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": node, "near": [np.unique(node[x[x >= 0]]).tolist() for x in lists]})
 
 
-def _found(cosine: float):
+def _found(cosine: float, exact: bool):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         base = group[group["role"] != 1]
         asked = group[group["role"] != 0]
         if not len(base) or not len(asked):
             return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
         node, other = base["node"].to_numpy(), asked["node"].to_numpy()
+        if exact:
+            q, b = np.nonzero(_matrix(asked["unit"]) @ _matrix(base["unit"]).T >= cosine - _EDGE)
+            return pairs(other[q], node[b])
         local = {v: i for i, v in enumerate(node.tolist())}
         near = [[local[v] for v in x if v in local] for x in base["near"].tolist()]
         lists = np.full((len(node), max(1, max(map(len, near)))), -1)
         for i, x in enumerate(near):
             lists[i, :len(x)] = x
-        q, b, _ = range_search(_matrix(base["unit"]), lists, _matrix(asked["unit"]), cosine - _EDGE)
-        x, y = other[q], node[b]
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y], axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        own = np.array([local.get(v, -1) for v in other.tolist()])
+        q, b, _ = range_search(_matrix(base["unit"]), lists, _matrix(asked["unit"]), cosine - _EDGE, own)
+        return pairs(other[q], node[b])
+
+    def pairs(x, y):
+        both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y], axis=0)
+        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
     return run
 
 
 def search_links(nodes: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP,
-                 shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(a, b) pairs, a < b, of (node, unit) rows found at ``cosine`` or more.
+                 shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS,
+                 *, exact: bool = False) -> DataFrame:
+    """(a, b) pairs, a < b, of (node, unit) rows found at ``cosine`` or more; ``exact`` compares
+    the blocks of a shard instead of searching their graphs.
 
     ``nodes`` must be a written table. A cluster may hold most rows: it is cut into blocks by a
     hash, and each pair of blocks is a group of its own, so no task gets more than two blocks.
@@ -238,9 +293,10 @@ def search_links(nodes: DataFrame, cosine: float = COSINE, overlap: int = OVERLA
     blocks = placed.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
     placed = placed.join(F.broadcast(blocks), "cluster").withColumn(
         "block", F.pmod(F.xxhash64("node", "cluster"), F.col("blocks")).cast("int"))
-    lists = (placed.groupBy("cluster", "block").applyInPandas(_graph, "node long, near array<long>")
+    lists = None if exact else (placed.groupBy("cluster", "block").applyInPandas(_graph, "node long, near array<long>")
              .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
-    rows = placed.join(materialised(lists, "graph-lists"), "node")
+    rows = (placed.withColumn("near", F.array().cast("array<long>")) if exact
+            else placed.join(materialised(lists, "graph-lists"), "node"))
     last = F.col("blocks") - 1
     role = F.when(F.col("blocks") == 1, F.array(F.struct(F.col("block").alias("i"), F.col("block").alias("j"),
                                                          F.lit(2).alias("role"))))
@@ -250,30 +306,59 @@ def search_links(nodes: DataFrame, cosine: float = COSINE, overlap: int = OVERLA
         i.alias("i"), F.col("block").alias("j"), F.lit(1).alias("role")))
     rows = rows.select("node", "unit", "near", "cluster", F.explode(
         F.coalesce(role, F.concat(base, asked))).alias("g")).select("*", "g.*").drop("g")
-    return (rows.groupBy("cluster", "i", "j").applyInPandas(_found(cosine), "a long, b long").distinct())
+    return (rows.groupBy("cluster", "i", "j").applyInPandas(_found(cosine, exact), "a long, b long").distinct())
 
 
 def audit(nodes: DataFrame, links: DataFrame, cosine: float = COSINE, rows: int = AUDIT_ROWS) -> float:
-    """Share of the true links of about ``rows`` vectors that are in ``links``; 1 without any."""
-    part = min(1.0, rows / max(nodes.count(), 1))
+    """Recall of ``links`` on about ``rows`` vectors: the mean over vectors of the share of a
+    vector's true links, or the share of all their true links if that is lower; 1 without any.
+
+    The sample grows fourfold while few of its vectors have links.
+    """
+    n = max(nodes.count(), 1)
+    while True:
+        linked, recall = _audited(nodes, links, cosine, min(1.0, rows / n))
+        if linked >= AUDIT_LINKED or rows >= min(n, MOST_AUDITED):
+            return recall
+        rows *= 4
+
+
+def _audited(nodes: DataFrame, links: DataFrame, cosine: float, part: float) -> tuple[int, float]:
     picked = nodes.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) < int(part * (1 << 30)))
     sample = picked.toPandas()
     if not len(sample):
-        return 1.0
+        return 0, 1.0
     ids, x = sample["node"].to_numpy(), _matrix(sample["unit"])
 
     def run(batches):
         for batch in batches:
-            node = np.array(batch.column(0).to_pylist(), np.int64)
-            q, b = np.nonzero(x @ _matrix(batch.column(1).to_pylist()).reshape(len(node), -1).T >= cosine)
-            keep = ids[q] != node[b]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[q][keep]), pa.array(node[b][keep])], names=["q", "o"])
+            for lo in range(0, batch.num_rows, 1024):
+                piece = batch.slice(lo, 1024)
+                node = np.array(piece.column(0).to_pylist(), np.int64)
+                q, b = np.nonzero(x @ _matrix(piece.column(1).to_pylist()).reshape(len(node), -1).T >= cosine)
+                keep = ids[q] != node[b]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[q][keep]), pa.array(node[b][keep])], names=["q", "o"])
 
     true = nodes.select("node", "unit").mapInArrow(run, "q long, o long").select(
-        F.least("q", "o").alias("a"), F.greatest("q", "o").alias("b")).distinct()
-    wanted, found = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(
-        F.count(F.lit(1)), F.count("hit")).first()
-    return found / wanted if wanted else 1.0
+        "q", F.least("q", "o").alias("a"), F.greatest("q", "o").alias("b"))
+    each = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").groupBy("q").agg(
+        F.count(F.lit(1)).alias("wanted"), F.count("hit").alias("found"))
+    linked, mean, wanted, found = each.agg(F.count(F.lit(1)), F.avg(F.col("found") / F.col("wanted")),
+                                           F.sum("wanted"), F.sum("found")).first()
+    return linked, min(mean, found / wanted) if linked else 1.0
+
+
+def _tries(n: int):
+    """Ways of ``search_links`` to try in turn; the last compares all pairs."""
+    k = min(MOST_SHARDS, max(n // SHARD_ROWS, 1))
+    for overlap in range(OVERLAP, OVERLAP + 4):
+        if overlap == OVERLAP or overlap <= k:
+            yield {"overlap": overlap}
+    overlap = OVERLAP + 3
+    while overlap < k:
+        yield {"overlap": overlap, "exact": True}
+        overlap *= 2
+    yield {"overlap": 1, "exact": True, "shard_rows": n + 1}
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
@@ -296,9 +381,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     links = None
     for length in lengths:
         same = nodes if len(lengths) == 1 else materialised(nodes.where(F.size("unit") == length), "graph-nodes")
-        for overlap in range(OVERLAP, OVERLAP + 4):
-            found = materialised(search_links(same, cosine, overlap), "graph-links")
-            if audit(same, found, cosine) >= recall:
+        for how in _tries(same.count()):
+            found = materialised(search_links(same, cosine, **how), "graph-links")
+            reached = audit(same, found, cosine)
+            _log.log(logging.INFO if reached >= recall else logging.WARNING,
+                     "recall %.4f of vectors of length %d, %s", reached, length, how)
+            if reached >= recall:
                 break
         links = found if links is None else links.union(found)
     if links is None:

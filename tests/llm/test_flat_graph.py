@@ -78,3 +78,45 @@ def test_lists_hold_no_node_twice_and_few():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     lists = g.robust_pruned(x)
     assert lists.shape[1] <= 2 * g.DEGREE
+
+
+def tight_groups(groups=10, each=100, seed=7):
+    """Unit vectors in groups: cosine 0.95 or more within one, below 0.4 between."""
+    draw = np.random.default_rng(seed)
+    centre = np.linalg.qr(draw.normal(size=(32, 32)))[0][:groups]
+    x = np.repeat(centre, each, axis=0) + 0.02 * draw.normal(size=(groups * each, 32))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_tight_groups_larger_than_the_candidates_keep_their_links(spark):
+    x = tight_groups()
+    true = x @ x.T >= 0.95
+    q, b, _ = g.range_search(x, g.robust_pruned(x), x, 0.95)
+    assert len(q) >= 0.97 * true.sum() and true[q, b].all()
+    rows = [(i, np.float32(v).astype(float).tolist()) for i, v in enumerate(x)]
+    found = g.near_duplicates(frame(spark, rows)).collect()
+    assert {r["component_id"] for r in found} == set(range(0, 1000, 100))
+    assert sum(r["n_links"] for r in found) >= 0.97 * (true.sum() - 1000)
+
+
+def test_parts_without_links_have_entries_of_their_own():
+    x = tight_groups(3, 5)
+    lists = np.array([[i // 5 * 5 + (i + 1) % 5] for i in range(15)])
+    assert sorted(i // 5 for i in g.entries(x, lists)) == [0, 1, 2]
+    q, _, _ = g.range_search(x, lists, x, 0.95)
+    assert len(q) == 15 * 5
+
+
+def test_low_recall_ends_in_exact_comparison(spark, monkeypatch):
+    x = tight_groups(6, 20)
+    rows = [(i, np.float32(v).astype(float).tolist()) for i, v in enumerate(x)]
+    none = np.empty(0, int)
+    monkeypatch.setattr(g, "range_search", lambda *_: (none, none, none))
+    assert got(frame(spark, rows)) == brute(rows)
+
+
+def test_audit_counts_rows_not_pairs(spark):
+    x = np.repeat(np.eye(8)[:5], [40, 2, 2, 2, 2], axis=0)
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, unit array<double>")
+    links = spark.createDataFrame([(i, j) for j in range(40) for i in range(j)], "a long, b long")
+    assert abs(g.audit(nodes, links) - 40 / 48) < 1e-9
