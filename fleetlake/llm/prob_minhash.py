@@ -5,7 +5,8 @@ shingle's weight; every arrival falls on one of M registers, and a register keep
 that reaches it first. An element stops as soon as its next arrival lies beyond the latest
 register. Two documents agree in a register with the probability Jaccard similarity of their
 weights. Registers are banded for candidates; agreement over all registers sorts out most of
-them; the rest is verified on the shingle sets.
+them; the rest is verified on the shingle sets. A text with repeated shingles has a second set of
+registers, of weight 1 throughout, for plain Jaccard similarity; elsewhere the sets are the same.
 """
 
 from __future__ import annotations
@@ -127,7 +128,8 @@ def similarity(a, count_a, b, count_b) -> float:
 def sketches(docs: DataFrame) -> DataFrame:
     """One row per document, in one pass: bands, 8-bit registers and 32-bit shingles.
 
-    Texts without words have null bands. ``repeats`` holds the counts where any exceeds one.
+    Texts without words have null bands. ``repeats`` holds the counts where any exceeds one; then
+    bands and registers of weight 1 follow the weighted ones.
     """
     def run(batches):
         hashes = _WordHash()
@@ -155,16 +157,19 @@ def _sketch(rows: list) -> pa.RecordBatch:
     owner = np.repeat(np.arange(len(rows)), sizes)
     element = np.concatenate([r[3] for r in rows])
     won = registers(owner, element, weights(np.concatenate([r[4] for r in rows])), len(rows))
-    band = np.zeros((len(rows), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
-    for i in range(BAND_ROWS):
-        band = _mix(band * np.uint64(0x9E3779B97F4A7C15) + won[:, i::BAND_ROWS])
-    bands = band.view(np.int64).tolist()
-    marks = (won & np.uint64(255)).astype(np.uint8)
+    bands, marks = _bands(won), [x.tobytes() for x in (won & np.uint64(255)).astype(np.uint8)]
+    again = [i for i, r in enumerate(rows) if len(r[4]) and r[4].max() > 1]
+    if again:
+        owner = np.repeat(np.arange(len(again)), [sizes[i] for i in again])
+        won = registers(owner, np.concatenate([rows[i][3] for i in again]), np.ones(len(owner)), len(again))
+        for i, band, mark in zip(again, _bands(won), (won & np.uint64(255)).astype(np.uint8)):
+            bands[i] = bands[i] + band
+            marks[i] += mark.tobytes()
     return pa.RecordBatch.from_arrays([
         pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
         pa.array([r[2] for r in rows], pa.binary()),
         pa.array([b if n else None for b, n in zip(bands, sizes)], pa.list_(pa.int64())),
-        pa.array([x.tobytes() for x in marks], pa.binary()),
+        pa.array(marks, pa.binary()),
         pa.array([(r[3] >> np.uint64(32)).astype(np.uint32).tobytes() for r in rows], pa.binary()),
         pa.array([r[4].astype(np.uint32).tobytes() if len(r[4]) and r[4].max() > 1 else None
                   for r in rows], pa.binary()),
@@ -172,6 +177,19 @@ def _sketch(rows: list) -> pa.RecordBatch:
         names=["row", "doc_id", "text_key", "bands", "marks", "shingles", "repeats", "size", "parity"])
 
 
+def _bands(won: np.ndarray) -> list[list[int]]:
+    band = np.zeros((len(won), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
+    for i in range(BAND_ROWS):
+        band = _mix(band * np.uint64(0x9E3779B97F4A7C15) + won[:, i::BAND_ROWS])
+    return band.view(np.int64).tolist()
+
+
+def _both(values: list) -> list:
+    """Weighted and plain bands or marks of every text: where there is one set it is both."""
+    most = max(map(len, values), default=0)
+    return [v if len(v) == most else v + v for v in values]
+
+
 def _parity(shingles: np.ndarray) -> bytes:
     bits = np.bincount((shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
     return np.packbits((bits & 1).astype(np.uint8)).tobytes()
@@ -192,10 +210,13 @@ def most_odd_bits(shingles: np.ndarray) -> np.ndarray:
 
 @pandas_udf(T.BooleanType())
 def _agree(a, b):
-    """Do enough 8-bit registers agree? Chance agreement is allowed for on the safe side."""
-    same = (np.frombuffer(b"".join(a), np.uint8) == np.frombuffer(b"".join(b), np.uint8))
+    """Do enough 8-bit registers agree, weighted or plain? Chance agreement is allowed for on the
+    safe side."""
     import pandas as pd
-    return pd.Series(same.reshape(len(a), REGISTERS).mean(axis=1) >= _AGREE)
+    if not len(a):
+        return pd.Series([], dtype=bool)
+    sides = np.frombuffer(b"".join(_both([*a, *b])), np.uint8).reshape(2, len(a), -1, REGISTERS)
+    return pd.Series((sides[0] == sides[1]).mean(axis=2).max(axis=1) >= _AGREE)
 
 
 @pandas_udf(T.BooleanType())
@@ -261,7 +282,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
              F.min("doc_id").alias("least")), "minhash-classes")
     one = materialised(sketch.where("bands is not null").select(F.col("row").alias("node"), "bands").join(
         classes.select("node"), "node", "left_semi"), "minhash-bands")
-    members = one.select(F.explode("bands").alias("bucket"), "node")
+    members = one.select(F.explode(F.array_distinct("bands")).alias("bucket"), "node")
     shared = (members.groupBy("bucket").agg(
         F.min_by("node", F.xxhash64("node", "bucket")).alias("head"), F.count(F.lit(1)).alias("size"))
         .where("size > 1"))
@@ -356,11 +377,11 @@ def _across(rows: DataFrame, tries: int | None) -> DataFrame:
 def _step(table: pa.Table, tries: int | None):
     asks = table.column("role").to_numpy() == 1
     node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
-    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(node), REGISTERS)
+    marks = np.frombuffer(b"".join(_both(table.column("marks").to_pylist())), np.uint8).reshape(len(node), -1, REGISTERS)
     q, b = np.flatnonzero(asks), np.flatnonzero(~asks)
     if not len(q) or not len(b):
         return
-    agree = np.stack([(marks[b] == marks[i]).sum(axis=1) for i in q])
+    agree = np.stack([(marks[b] == marks[i]).sum(axis=2).max(axis=1) for i in q])
     agree[component[q][:, None] == component[b][None]] = 0
     size = table.column("of").to_numpy().astype(np.float64)
     parity = np.frombuffer(b"".join(table.column("parity").to_pylist()), np.uint64).reshape(len(node), -1)
@@ -369,7 +390,7 @@ def _step(table: pa.Table, tries: int | None):
     a, c = size[q[i]], size[b[j]]
     near = (a == 0) | (c == 0) | (odd <= most_odd_bits(a + c))
     i, j = i[near], j[near]
-    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), BANDS)
+    bands = np.array(_both(table.column("bands").to_pylist()))
     first = (bands[q[i]] == bands[b[j]]).argmax(axis=1)
     here = bands[q[i], first] == table.column("bucket")[0].as_py()
     i, j = i[here], j[here]

@@ -107,3 +107,14 @@ def test_deduplicated_keeps_columns_and_one_row_per_group(docs):
     assert sorted(r["doc_id"] for r in out.collect()) == [1, 3, 3, 4]
     assert {r["_key"] for r in out.collect()} == {"x"}
     assert m.deduplicated(wide(df.limit(0))).count() == 0
+
+
+def test_repeats_do_not_hide_plain_similarity(docs):
+    rows = []
+    for i in range(12):
+        words = [f"t{i}w{k}" for k in range(300)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + words[:90] * 30))]
+    for i in range(12, 18):
+        words = [f"t{i}w{k}" for k in range(300)]
+        rows += [(2 * i, " ".join(words + words[:60] * 100)), (2 * i + 1, " ".join(words + words[200:260] * 100))]
+    assert groups(docs(*rows)) == brute_groups(rows) and len(brute_groups(rows)) == 18
