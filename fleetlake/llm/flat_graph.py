@@ -335,7 +335,7 @@ def _audited(nodes: DataFrame, links: DataFrame, cosine: float, part: float) ->
             for lo in range(0, batch.num_rows, 1024):
                 piece = batch.slice(lo, 1024)
                 node = np.array(piece.column(0).to_pylist(), np.int64)
-                q, b = np.nonzero(x @ _matrix(piece.column(1).to_pylist()).reshape(len(node), -1).T >= cosine)
+                q, b = np.nonzero(x @ piece.column(1).flatten().to_numpy().reshape(len(node), -1).T >= cosine)
                 keep = ids[q] != node[b]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[q][keep]), pa.array(node[b][keep])], names=["q", "o"])
 
