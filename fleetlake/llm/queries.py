@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlake.llm import (bpe_sql, flat_graph, jump_shards, pairwise_quality, positional_index, prob_minhash,
-                           revisits, skip_chain, tree_extract, url_markov)
+from fleetlake.llm import (boundary_bpe, bpe_sql, flat_graph, jump_shards, pairwise_quality, positional_index,
+                           prob_minhash, revisits, skip_chain, spectrum_whitening, tree_extract, url_markov,
+                           zone_kmeans)
 
-# The rank file is a parameter of the coder; this is the installed one.
+# The vocabulary files are parameters of the coders; these are the installed ones.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -220,3 +222,55 @@ def op10_bpe_sql(spark, sf_dir):
 @query
 def op9_flat_graph(spark, sf_dir):
     return flat_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_zone_kmeans(spark, sf_dir):
+    found = zone_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _kmeans_sql(k: int, rounds: int) -> str:
+    """The rounds one after another; floor of a mean by the remainder that is not negative."""
+    parts = ["""kept as materialized (
+  select row_number() over () as n, vec_id, list_transform(embedding, lambda v: floor(256 * v::double)::bigint) as x
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda v: v is not null and isfinite(v))) = 64),
+flat as materialized (select n, i, x[i] as v from kept, range(1, 65) t(i)),
+c0 as materialized (
+  select (row_number() over (order by sha256('2:' || vec_id) nulls last, x) - 1)::int as c, x as z
+  from kept order by c limit """ + str(k) + ")"]
+    for r in range(rounds + 1):
+        parts.append(f"""near{r} as materialized (
+  select n, c, d from (
+    select n, c, list_sum(list_transform(list_zip(x, z), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d
+    from kept, c{r}) qualify row_number() over (partition by n order by d, c) = 1)""")
+        if r < rounds:
+            parts.append(f"""sums{r} as (
+  select c, i, sum(v)::bigint as s, count(*) as m from near{r} join flat using (n) group by c, i),
+c{r + 1} as materialized (
+  select c, coalesce(g.z, c{r}.z) as z from c{r} left join (
+    select c, list((s - (s % m + m) % m) // m order by i) as z from sums{r} group by c) g using (c))""")
+    last = rounds
+    return "with " + ",\n".join(parts) + f"""
+select vec_id, c as cluster, d as distance, sum(d) over (partition by c)::bigint as cluster_inertia,
+       sum(d) over ()::bigint as inertia, sha256(array_to_string(z, ',')) as centroid_sha256
+from near{last} join kept using (n) join c{last} using (c)"""
+
+
+ORACLES["op11_zone_kmeans"] = _kmeans_sql(40, 5)
+
+
+@query
+def op12_boundary_bpe(spark, sf_dir):
+    coded = boundary_bpe.encode(table(spark, sf_dir, "documents"), WORDS)
+    return coded.select("doc_id", "n_tokens", F.sha2("tokens", 256).alias("ids_sha256"),
+                        F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
+
+
+@query
+def op13_spectrum_whitening(spark, sf_dir):
+    found = spectrum_whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.select("*", F.posexplode("whitened").alias("pos", "value")).select(
+        "vec_id", (F.col("pos") + 1).alias("component"), "n", "deviation", F.col("value").alias("whitened"),
+        F.col("explained")[F.col("pos")].alias("explained"), "identity_error")
