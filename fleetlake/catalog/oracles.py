@@ -111,29 +111,43 @@ def _named(source):
 
 
 def scd2_sql(existing: str, incoming: str, as_of: str) -> str:
-    """A merge of one batch into a driver history."""
+    """A merge of one batch, true at a date, into a driver history.
+
+    The version in force at the date is the one with the latest start not after it; where there is
+    none, the key's first version stands behind the date.
+    """
     fresh = ", ".join(f"i.{c.strip()}" for c in _DRIVER_COLUMNS.split(","))
     return f"""
 SELECT e.driver_sk, {', '.join('e.' + c.strip() for c in _DRIVER_COLUMNS.split(','))}, e.valid_from,
-  CASE WHEN c.driver_id IS NOT NULL AND e.is_current THEN DATE '{as_of}' ELSE e.valid_to END AS valid_to,
-  e.is_current AND c.driver_id IS NULL AS is_current
-FROM {existing} e LEFT JOIN (
-  SELECT o.driver_id FROM {existing} o JOIN {incoming} n ON o.driver_id = n.driver_id AND o.is_current
-  WHERE o.employment_status IS DISTINCT FROM n.employment_status
-     OR o.termination_date IS DISTINCT FROM n.termination_date) c ON e.driver_id = c.driver_id
+  CASE WHEN s.driver_sk IS NOT NULL AND NOT s.early THEN DATE '{as_of}' ELSE e.valid_to END AS valid_to,
+  e.is_current AND (s.driver_sk IS NULL OR s.early) AS is_current
+FROM {existing} e LEFT JOIN ({_spliced(existing, incoming, as_of)}) s ON s.driver_sk = e.driver_sk
 UNION ALL
 SELECT (SELECT max(driver_sk) FROM {existing}) + row_number() OVER (ORDER BY i.kind, i.driver_id), {fresh},
-  i.valid_from, CAST(NULL AS DATE), TRUE
+  i.valid_from, i.valid_to, i.is_current
 FROM (
-  SELECT n.*, 1 AS kind, DATE '{as_of}' AS valid_from FROM ({_named(incoming)}) n
-  JOIN {existing} o ON o.driver_id = n.driver_id AND o.is_current
-  WHERE o.employment_status IS DISTINCT FROM n.employment_status
-     OR o.termination_date IS DISTINCT FROM n.termination_date
+  SELECT n.*, 1 AS kind, DATE '{as_of}' AS valid_from,
+    CASE WHEN s.early THEN s.valid_from ELSE s.valid_to END AS valid_to, s.is_current AND NOT s.early AS is_current
+  FROM ({_named(incoming)}) n JOIN ({_spliced(existing, incoming, as_of)}) s ON s.driver_id = n.driver_id
   UNION ALL
-  SELECT n.*, 2 AS kind, coalesce(n.hire_date, DATE '{as_of}') AS valid_from FROM ({_named(incoming)}) n
+  SELECT n.*, 2 AS kind, coalesce(n.hire_date, DATE '{as_of}') AS valid_from, CAST(NULL AS DATE), TRUE
+  FROM ({_named(incoming)}) n
   WHERE NOT EXISTS (SELECT 1 FROM {existing} o WHERE o.driver_id = n.driver_id)) i"""
 
 
+def _spliced(existing: str, incoming: str, as_of: str) -> str:
+    """One version per changed key: the one in force, or the first one if the date is before it."""
+    return f"""
+  SELECT p.*, p.valid_from > DATE '{as_of}' AS early FROM (
+    SELECT o.* FROM {existing} o WHERE o.valid_to IS NULL OR o.valid_to > o.valid_from
+    QUALIFY row_number() OVER (PARTITION BY o.driver_id ORDER BY o.valid_from > DATE '{as_of}',
+      CASE WHEN o.valid_from <= DATE '{as_of}' THEN o.valid_from END DESC, o.valid_from) = 1) p
+  JOIN {incoming} n ON n.driver_id = p.driver_id
+  WHERE (p.valid_to IS NULL OR p.valid_to > DATE '{as_of}' OR p.valid_from > DATE '{as_of}')
+    AND (p.employment_status IS DISTINCT FROM n.employment_status
+      OR p.termination_date IS DISTINCT FROM n.termination_date)"""
+
+
 GOLD = {
     "dim_customer": _dim("customers", "customer_id", "customer_sk",
         "customer_id, customer_name, customer_type, credit_terms_days, primary_freight_type, "
@@ -156,6 +170,11 @@ SELECT row_number() OVER (ORDER BY driver_id) AS driver_sk, {_DRIVER_COLUMNS},
 FROM ({_named('drivers')}) named""",
     "dim_driver_two": scd2_sql("dim_driver", "drivers_next", "1997-06-30"),
     "dim_driver_three": scd2_sql("dim_driver_two", "drivers_last", "1999-06-30"),
+    # The third snapshot once more, dated between the first two and before most of the first.
+    "dim_driver_late": scd2_sql("dim_driver_three", "drivers_last", "1998-06-30"),
+    "dim_driver_early": scd2_sql("dim_driver_late", "drivers_next", "1996-01-31"),
+    # The first snapshot forced again after the others.
+    "dim_driver_forced": scd2_sql("dim_driver_three", "drivers", "1997-01-01"),
     "fact_trips": """
 SELECT t.trip_id, t.load_id, l.customer_id, l.route_id, t.driver_id, t.truck_id, t.trailer_id,
   t.dispatch_date, l.load_date, l.load_type, l.booking_type, l.load_status, t.trip_status,

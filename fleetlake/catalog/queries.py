@@ -49,6 +49,12 @@ class Tables:
             return dims.dim_driver(self.drivers_next, self.dim_driver, FIRST_MERGE)
         if name == "dim_driver_three":
             return dims.dim_driver(self.drivers_last, self.dim_driver_two, SECOND_MERGE)
+        if name == "dim_driver_late":
+            return dims.dim_driver(self.drivers_last, self.dim_driver_three, datetime.date(1998, 6, 30))
+        if name == "dim_driver_early":
+            return dims.dim_driver(self.drivers_next, self.dim_driver_late, datetime.date(1996, 1, 31))
+        if name == "dim_driver_forced":
+            return dims.dim_driver(self.drivers, self.dim_driver_three, datetime.date(1997, 1, 1))
         if name in dims.SNAPSHOT_DIMS:
             return dims.snapshot_dim(name, getattr(self, dims.SNAPSHOT_DIMS[name][0]))
         if name == "fact_trips":
@@ -500,6 +506,24 @@ def scd2_current_state(t):
     return scd2.current_rows(t.dim_driver_three)
 
 
+@query("SELECT * FROM dim_driver_late")
+def scd2_late_batch(t):
+    """A batch dated inside history splits the versions that hold its date."""
+    return t.dim_driver_late
+
+
+@query("SELECT * FROM dim_driver_early")
+def scd2_early_batch(t):
+    """A batch dated before the first version of many keys, on top of a late one."""
+    return t.dim_driver_early
+
+
+@query("SELECT * FROM dim_driver_forced")
+def scd2_forced_first_batch(t):
+    """The first batch again after the others: later versions stay in force."""
+    return t.dim_driver_forced
+
+
 @query(_UPSERT)
 def type1_upsert(t):
     return scd2.type1_upsert(t.dim_truck.drop("_created_at"), t.trucks_next, "truck_id", "truck_sk")

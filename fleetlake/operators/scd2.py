@@ -34,26 +34,41 @@ def scd2_initial(incoming: DataFrame, key: str, sk: str, start_column: str,
 
 def scd2_merge(existing: DataFrame, incoming: DataFrame, key: str, sk: str,
                tracked: list[str], as_of: datetime.date, start_column: str) -> DataFrame:
-    """Merge a batch into a versioned dimension.
-
-    A current row whose tracked columns differ (null-safe) is closed at ``as_of`` and gets a
-    new version from the batch. Keys never seen before are added, valid from their start
-    date or ``as_of``. History and keys absent from the batch stay. Surrogate keys continue
-    after the largest one: changed keys first, then new keys, each in key order.
+    """Merge a batch of the state at ``as_of`` into a versioned dimension.
+
+    ``as_of`` may lie anywhere: the version that holds it is compared with the batch. Where tracked
+    columns differ (null-safe) that version ends at ``as_of`` and one from the batch takes the rest
+    of its interval: up to the next version, or open and current if it was. A date before a key's
+    first version puts a version in front of it, if they differ. So intervals of a key never overlap
+    or run backwards, and a batch that comes late or again cannot undo a later one.
+    Keys never seen before are added, valid from their start date or ``as_of``. Other history, keys
+    absent from the batch and keys that no version holds at ``as_of`` (ended without a successor)
+    stay. Surrogate keys continue after the largest one: changed keys first, then new keys, each in
+    key order.
     """
     columns = existing.columns
     batch = one_row_per_key(incoming, key)
     attributes = [c for c in columns
                   if c in batch.columns and c not in (sk, "valid_from", "valid_to", "is_current")]
-
-    old = existing.select(*[F.col(c).alias(f"_o_{c}") for c in columns])
+    day = F.lit(as_of)
+
+    # Versions replaced on the day they began hold no date.
+    held = F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to"))
+    first = (existing.where(held).groupBy(F.col(key).alias("_f_key"))
+             .agg(F.min(F.struct("valid_from", sk)).alias("_first")))
+    old = existing.join(first, F.col(key) == F.col("_f_key"), "left").select(
+        *[F.col(c).alias(f"_o_{c}") for c in columns], "_first")
     new = batch.select(*[F.col(c).alias(f"_n_{c}") for c in batch.columns])
     joined = old.join(new, F.col(f"_o_{key}") == F.col(f"_n_{key}"), "full_outer")
 
     known = F.col(f"_o_{key}").isNotNull()
     differs = reduce(lambda a, b: a | b, [
         ~F.col(f"_o_{c}").eqNullSafe(F.col(f"_n_{c}")) for c in tracked])
-    changed = (known & F.col("_o_is_current") & F.col(f"_n_{key}").isNotNull() & differs)
+    start, end, current = F.col("_o_valid_from"), F.col("_o_valid_to"), F.col("_o_is_current")
+    candidate = known & F.col(f"_n_{key}").isNotNull() & differs
+    changed = candidate & (start <= day) & ((end.isNull() & current) | (day < end))
+    early = (candidate & (day < start) & (F.col("_first.valid_from") == start)
+             & (F.col(f"_first.{sk}") == F.col(f"_o_{sk}")))
 
     fields = {f.name: f.dataType for f in existing.schema}
 
@@ -62,15 +77,17 @@ def scd2_merge(existing: DataFrame, incoming: DataFrame, key: str, sk: str,
             values[c].cast(fields[c]).alias(c) for c in columns])
 
     kept = {c: F.col(f"_o_{c}") for c in columns}
-    closed = {**kept, "valid_to": F.lit(as_of), "is_current": F.lit(False)}
+    closed = {**kept, "valid_to": day, "is_current": F.lit(False)}
     null = F.lit(None)
     fresh = {c: F.col(f"_n_{c}") if c in attributes else null for c in columns}
-    fresh.update({"valid_to": null, "is_current": F.lit(True)})
-    replacement = {**fresh, "valid_from": F.lit(as_of)}
-    addition = {**fresh, "valid_from": F.coalesce(F.col(f"_n_{start_column}"), F.lit(as_of))}
+    rest = {**fresh, "valid_from": day, "valid_to": end, "is_current": current}
+    front = {**fresh, "valid_from": day, "valid_to": start, "is_current": F.lit(False)}
+    addition = {**fresh, "valid_from": F.coalesce(F.col(f"_n_{start_column}"), day),
+                "valid_to": null, "is_current": F.lit(True)}
 
     versions = materialised(joined.select(F.explode(
-        F.when(changed, F.array(version(_KEPT, closed), version(_CHANGED, replacement)))
+        F.when(changed, F.array(version(_KEPT, closed), version(_CHANGED, rest)))
+        .when(early, F.array(version(_KEPT, kept), version(_CHANGED, front)))
         .when(~known, F.array(version(_NEW, addition)))
         .otherwise(F.array(version(_KEPT, kept)))).alias("_v")).select("_v.*"), "versions")
 

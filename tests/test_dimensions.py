@@ -69,6 +69,55 @@ def test_scd2(spark):
             ("D1", D(2023, 7, 1), 4)]
 
 
+def history(dim, *extra):
+    return sorted((r.driver_id, r.valid_from, r.valid_to or D(9999, 1, 1), r.is_current, *[r[c] for c in extra])
+                  for r in dim.collect())
+
+
+def test_late_batches_split_history(spark):
+    status = lambda *rows: drivers(spark, *[(k, "A", "B", D(2020, 1, 1), None, v) for k, v in rows])
+    dim = dims.dim_driver(status(("D1", "Active"), ("D2", "Active")))
+    dim = dims.dim_driver(status(("D1", "Leave"), ("D2", "Active")), dim, D(2022, 1, 1))
+    end = D(9999, 1, 1)
+    # Inside a closed version, inside the current one, before the first, on a change day.
+    late = dims.dim_driver(status(("D1", "Ill"), ("D2", "Ill")), dim, D(2021, 1, 1))
+    assert history(late, "employment_status") == [
+        ("D1", D(2020, 1, 1), D(2021, 1, 1), False, "Active"), ("D1", D(2021, 1, 1), D(2022, 1, 1), False, "Ill"),
+        ("D1", D(2022, 1, 1), end, True, "Leave"),
+        ("D2", D(2020, 1, 1), D(2021, 1, 1), False, "Active"), ("D2", D(2021, 1, 1), end, True, "Ill")]
+    front = dims.dim_driver(status(("D1", "New"), ("D2", "Active")), dim, D(2019, 1, 1))
+    assert history(front, "employment_status")[:2] == [
+        ("D1", D(2019, 1, 1), D(2020, 1, 1), False, "New"), ("D1", D(2020, 1, 1), D(2022, 1, 1), False, "Active")]
+    assert front.count() == 4
+    same_day = dims.dim_driver(status(("D1", "Gone")), dim, D(2022, 1, 1))
+    assert history(same_day, "employment_status")[1:3] == [
+        ("D1", D(2022, 1, 1), D(2022, 1, 1), False, "Leave"), ("D1", D(2022, 1, 1), end, True, "Gone")]
+    assert sorted(r.driver_sk for r in late.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_intervals_never_overlap_or_run_backwards(spark):
+    import random
+    draw = random.Random(5)
+    dim, seen = None, {}
+    for _ in range(7):
+        day = D(2020, 1, 1) + datetime.timedelta(days=draw.randrange(900))
+        rows = [(f"D{k}", "A", "B", D(2020, 3, 1), None, draw.choice("XYZ")) for k in range(6) if draw.random() < 0.8]
+        dim = dims.dim_driver(drivers(spark, *rows), dim, day)
+        per_key = {}
+        for key, start, end, current, _ in history(dim, "driver_sk"):
+            per_key.setdefault(key, []).append((start, end, current))
+        for spans in per_key.values():
+            assert all(start <= end for start, end, _ in spans)
+            spans = sorted(s for s in spans if s[0] < s[1])
+            assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+            assert [c for _, _, c in spans] == [False] * (len(spans) - 1) + [True]
+        if seen:  # what the batch said holds on its day
+            now = {r.driver_id: r.employment_status for r in dim.where(
+                (F.col("valid_from") <= day) & (F.col("valid_to").isNull() | (F.col("valid_to") > day))).collect()}
+            assert all(now.get(r[0], r[5]) == r[5] for r in rows)
+        seen[day] = rows
+
+
 def test_scd2_leaves_a_key_without_current_version_alone(spark):
     dim = dims.dim_driver(drivers(spark, ("D1", "A", "B", None, None, "Active"))).withColumn(
         "is_current", F.lit(False))
