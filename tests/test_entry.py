@@ -9,9 +9,12 @@ REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 COUNT = "import __spark_entry__ as e; print(len(e.queries()), set(e.oracle_sql()) <= set(e.queries()))"
 
 
-def registered(folder):
-    done = subprocess.run([sys.executable, "-B", "-c", COUNT], cwd=folder, capture_output=True, text=True,
-                          env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+HIDE = "import sys; sys.modules[{!r}] = None; "
+
+
+def registered(folder, hidden=None):
+    code = (HIDE.format(hidden) if hidden else "") + COUNT
+    done = subprocess.run([sys.executable, "-B", "-c", code], cwd=folder, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr[-800:]
     n, known = done.stdout.split()
     assert known == "True"
@@ -26,3 +29,9 @@ def test_the_rest_stands_alone(tmp_path):
     (bare / "fleetlake" / "llm").mkdir()  # an empty folder is no package either
     assert registered(bare) == len(QUERIES)
     assert registered(REPO) >= len(QUERIES)
+
+
+def test_a_missing_library_costs_its_operators_only():
+    from fleetlake.catalog.queries import QUERIES
+    for name in ("duckdb", "xxhash", "public_tokenizers", "tokenizers", "regex"):
+        assert registered(REPO, name) == len(QUERIES)
