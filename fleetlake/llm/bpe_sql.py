@@ -19,12 +19,21 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-# Longer pieces (in bytes) take the linked-list form of the same rule: rows of the recursion
-# grow with the square of a piece.
-LONG_PIECE = 256
-# Bytes of text that are split at once, and pieces that a worker remembers.
-_CHUNK = 2_000_000
-_REMEMBER = 600_000
+from fleetlake.llm.common import released
+
+# Longer pieces (in bytes) take the linked-list form of the same rule: the recursion has a round for
+# every merge, so its time grows with the square of a piece (README has figures).
+LONG_PIECE = 8192
+# Rounds of one statement, after which the rows go on as the start of the next one, and rows that
+# all rounds of a statement may have: memory does not grow with the square of a piece.
+ROUNDS = 64
+_ROWS = 1_500_000
+# Bytes of text that are split at once, bytes of the pieces that a worker remembers, and what an
+# entry takes besides its bytes.
+_CHUNK = 1_000_000
+_REMEMBER = 96_000_000
+_ENTRY = 260
+_DUCKDB = "160MB"
 
 # slot: piece and position in one number, so that neighbours meet in a join on one key.
 ENCODE = """
@@ -41,9 +50,9 @@ with recursive step(word, slot, pos, id, round) as (
         join merges m on m.l = a.id and m.r = b.id
         group by a.word
     ) c on c.word = s.word
-    where s.pos <> best + 1
+    where s.pos <> best + 1 and s.round < {rounds}
 )
-select word, list(id order by pos) as ids
+select word, any_value(round) as round, list(id order by pos) as ids
 from step join (select word, max(round) as round from step where pos = 0 group by word) using (word, round)
 group by word
 """
@@ -59,7 +68,7 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern).findall
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB",
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": _DUCKDB,
                                                      "temp_directory": ""})
         self._load("vocabulary", id=pa.array(ranks.values(), pa.int32()),
                    bytes=pa.array(ranks.keys(), pa.binary()))
@@ -68,55 +77,80 @@ class Coder:
         left, right, merged = zip(*pairs) if pairs else ((), (), ())
         self._load("merges", l=pa.array(left, pa.int32()), r=pa.array(right, pa.int32()),
                    id=pa.array(merged, pa.int32()))
-        # Piece to (ids as 32-bit numbers, decoded bytes).
+        # Piece to (ids as 32-bit numbers, decoded bytes), and the bytes these take.
         self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.held = 0
 
     def _load(self, name: str, **data):
         self.db.register("incoming", pa.table(data))
         self.db.execute(f"create table {name} as select * from incoming")
         self.db.unregister("incoming")
 
-    def _run(self, name: str, sql: str, **data) -> dict:
+    def _run(self, name: str, sql: str, **data) -> list[tuple]:
         self.db.register(name, pa.table(data))
         rows = self.db.execute(sql).fetchall()
         self.db.unregister(name)
-        return dict(rows)
+        return rows
 
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each piece. A piece that is a token as a whole is that token."""
         out: list[list[int]] = [[self.ranks[p]] if p in self.ranks else [] for p in pieces]
         todo = [i for i, ids in enumerate(out) if not ids and pieces[i]]
-        short = [i for i in todo if len(pieces[i]) <= LONG_PIECE]
-        if short:
-            lengths = np.array([len(pieces[i]) for i in short])
-            body = np.frombuffer(b"".join(pieces[i] for i in short), np.uint8)
-            first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-            found = self._run("start", ENCODE, word=np.repeat(short, lengths).astype(np.int32),
-                              pos=(np.arange(len(body)) - first).astype(np.int32),
-                              id=self.byte[body])
-            for word, ids in found.items():
-                out[word] = ids
+        state = {i: self.byte[np.frombuffer(pieces[i], np.uint8)] for i in todo if len(pieces[i]) <= LONG_PIECE}
+        while state:
+            state = self._contract(state, out)
         for i in todo:
             if len(pieces[i]) > LONG_PIECE:
                 out[i] = merge_long(pieces[i], self.ranks)
         return out
 
+    def _contract(self, state: dict[int, np.ndarray], out: list[list[int]]) -> dict[int, np.ndarray]:
+        """ROUNDS rounds for each piece of ``state``, in blocks of bounded rows. Finished pieces go
+        to ``out``; what is left comes back."""
+        left: dict[int, np.ndarray] = {}
+        block: list[int] = []
+        rows = 0
+        for word in sorted(state, key=lambda w: len(state[w])):
+            more = len(state[word]) * min(len(state[word]), ROUNDS)
+            if block and rows + more > _ROWS:
+                self._statement(block, state, out, left)
+                block, rows = [], 0
+            block.append(word)
+            rows += more
+        self._statement(block, state, out, left)
+        return left
+
+    def _statement(self, block, state, out, left) -> None:
+        lengths = np.array([len(state[w]) for w in block])
+        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        for word, done, ids in self._run(
+                "start", ENCODE.format(rounds=ROUNDS), word=np.repeat(block, lengths).astype(np.int32),
+                pos=(np.arange(len(first)) - first).astype(np.int32),
+                id=np.concatenate([state[w] for w in block])):
+            if done < ROUNDS:
+                out[word] = ids
+            else:
+                left[word] = np.array(ids, np.int32)
+
     def decode_ids(self, sequences: list[list[int]]) -> list[bytes]:
         """Bytes of each id sequence, by ordered aggregation."""
         lengths = np.array([len(s) for s in sequences], np.int64)
         first = np.repeat(np.cumsum(lengths) - lengths, lengths)
         ids = np.fromiter(chain.from_iterable(sequences), np.int32, int(lengths.sum()))
-        found = self._run("tokens", DECODE,
-                          word=np.repeat(np.arange(len(sequences)), lengths).astype(np.int32),
-                          pos=(np.arange(len(ids)) - first).astype(np.int32), id=ids)
+        found = dict(self._run(
+            "tokens", DECODE, word=np.repeat(np.arange(len(sequences)), lengths).astype(np.int32),
+            pos=(np.arange(len(ids)) - first).astype(np.int32), id=ids))
         return [bytes.fromhex(found.get(i, "")) for i in range(len(sequences))]
 
     def learn(self, pieces: set[str]) -> None:
         new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > _REMEMBER:
+        size = sum(map(len, new)) * 9 + len(new) * _ENTRY
+        if self.held + size > _REMEMBER:
             self.known.clear()
             new = list(pieces)
+            self.held, size = 0, sum(map(len, new)) * 9 + len(new) * _ENTRY
         if new:
+            self.held += size
             ids = self.encode_pieces([p.encode("utf-8") for p in new])
             packed = [np.array(x, np.int32).tobytes() for x in ids]
             self.known.update(zip(new, zip(packed, self.decode_ids(ids))))
@@ -175,8 +209,9 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id",
     """doc_id, tokens array<int>, decoded binary; one row per row of ``docs``.
 
     ``path`` names the rank file on every machine; it is opened once per worker. A null text is
-    empty: no tokens, no bytes. Repeated rows each get theirs; further columns are ignored.
-    Nothing is shuffled, and a lost task just runs again.
+    empty: no tokens, no bytes. Texts may have any length. Repeated rows each get theirs; further
+    columns are ignored; an empty table gives no rows. Nothing is shuffled, and a lost task just
+    runs again.
     """
     def run(batches):
         work = coder(path, pattern)
@@ -192,8 +227,8 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id",
 
         for batch in batches:
             ids, texts, held = [], [], 0
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids.append(doc)
+            for doc, body in zip(batch.column(0), batch.column(1)):
+                ids.append(doc.as_py())
                 texts.append((body.as_py() or b"").decode("utf-8", "replace"))
                 held += len(texts[-1])
                 if held >= _CHUNK:
@@ -203,7 +238,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id",
                 yield done(ids, texts)
 
     rows = docs.select(F.col(f"`{key}`").cast("long"), F.encode(F.col(f"`{text}`"), "utf-8"))
-    return rows.mapInArrow(run, f"`{key}` long, tokens array<int>, decoded binary")
+    return rows.mapInArrow(released(run), f"`{key}` long, tokens array<int>, decoded binary")
 
 
 def decode(rows: DataFrame, path: str, pattern: str, key: str = "doc_id",
@@ -220,4 +255,4 @@ def decode(rows: DataFrame, path: str, pattern: str, key: str = "doc_id",
                     names=[key, "decoded"])
 
     rows = rows.select(F.col(f"`{key}`").cast("long"), F.col(f"`{tokens}`").cast("array<int>"))
-    return rows.mapInArrow(run, f"`{key}` long, decoded binary")
+    return rows.mapInArrow(released(run), f"`{key}` long, decoded binary")

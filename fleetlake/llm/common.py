@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlake.sources.scratch import materialised
@@ -28,6 +31,25 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def sliced(batches, rows: int = 512):
+    """Arrow batches cut into smaller ones: a task holds what it makes of so many rows only."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def released(run):
+    """``run`` over Arrow batches, after which freed memory goes back to the machine.
+
+    Workers outlive their tasks: what one stage held would else add to what the next one needs.
+    """
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return wrapped
 
 
 def _state(edges: DataFrame) -> tuple:

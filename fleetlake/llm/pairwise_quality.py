@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetlake.llm.common import columns, text_key
+from fleetlake.llm.common import columns, released, text_key
 from fleetlake.sources.scratch import materialised
 
 # Bound of the labelled sample that the weights are fitted on, and of its preference pairs.
@@ -97,11 +97,11 @@ def _map_features(rows: DataFrame, out: str, make) -> DataFrame:
     """mapInArrow over (key, hash, text): ``make`` turns a feature matrix into the last column."""
     def run(batches):
         for batch in batches:
-            x = [features(b) for b in batch.column(2).to_pylist()]
+            x = [features(b.as_py()) for b in batch.column(2)]
             last = make(np.array(x).reshape(len(x), FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), last],
                                              names=["doc_id", "text_key", "value"])
-    return rows.mapInArrow(run, f"doc_id long, text_key binary, value {out}")
+    return rows.mapInArrow(released(run), f"doc_id long, text_key binary, value {out}")
 
 
 def _texts(docs: DataFrame) -> DataFrame:

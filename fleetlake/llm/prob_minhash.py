@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
-from fleetlake.llm.common import columns, components, text_key, words
+from fleetlake.llm.common import columns, components, released, text_key, words
 from fleetlake.sources.scratch import materialised
 
 SHINGLE_WORDS = 5
@@ -149,7 +149,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     keyed = columns(docs, "doc_id", "text").select(
         F.monotonically_increasing_id(), F.col("doc_id").cast("long"), text_key(F.col("text")),
         F.encode(F.col("text"), "utf-8"))
-    return keyed.mapInArrow(run, _SKETCH)
+    return keyed.mapInArrow(released(run), _SKETCH)
 
 
 def _sketch(rows: list) -> pa.RecordBatch:
@@ -299,8 +299,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for tries in (FIRST_TRIES, None):
         pairs = materialised(_across(_labelled(rest, label), tries).join(tested, ["a", "b"], "left_anti"),
                              "minhash-pairs")
-        if pairs.isEmpty():
-            break
+        if pairs.isEmpty():  # the best partners may all have been tested: the others are still to come
+            continue
         found = materialised(_verified(pairs, sketch, True), "minhash-links")
         tested = tested.union(pairs)
         if not found.isEmpty():
@@ -371,7 +371,7 @@ def _across(rows: DataFrame, tries: int | None) -> DataFrame:
         if held is not None and held.num_rows:
             yield from _step(held, tries)
 
-    return steps.mapInArrow(run, "a long, b long").distinct()
+    return steps.mapInArrow(released(run), "a long, b long").distinct()
 
 
 def _step(table: pa.Table, tries: int | None):

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetlake.llm.common import columns, text_key
+from fleetlake.llm.common import columns, released, sliced, text_key
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
@@ -292,14 +292,14 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Potentials:
     def run(batches):
         for batch in batches:
             total: Counter = Counter()
-            for body in batch.column(0).to_pylist():
-                total.update(_statistics((body or b"").decode("utf-8", "replace")))
+            for body in batch.column(0):
+                total.update(_statistics((body.as_py() or b"").decode("utf-8", "replace")))
             keys = list(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([["snk".index(k[0]), *k[1:]] for k in keys], pa.list_(pa.int32())),
                  pa.array([total[k] for k in keys], pa.int64())], names=["key", "n"])
 
-    counts = (picked.select(F.encode("text", "utf-8")).mapInArrow(run, "key array<int>, n long")
+    counts = (picked.select(F.encode("text", "utf-8")).mapInArrow(released(run), "key array<int>, n long")
               .groupBy("key").agg(F.sum("n").alias("n")))
     return Potentials({("snk"[k[0]], *map(int, k[1:])): float(n)
                        for k, n in counts.toPandas().itertuples(index=False)})
@@ -316,10 +316,10 @@ def detect(docs: DataFrame, model: Potentials | None = None) -> DataFrame:
     model = model or fit(docs)
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             base, added, masked = [], [], []
-            for body in batch.column(2).to_pylist():
-                text = body.decode("utf-8", "replace") if body is not None else None
+            for body in batch.column(2):
+                text = body.as_py().decode("utf-8", "replace") if body.is_valid else None
                 fixed = base_spans(text)
                 more = added_spans(text, fixed, model) if fixed else []
                 base.append(_rows(fixed))
@@ -332,7 +332,7 @@ def detect(docs: DataFrame, model: Potentials | None = None) -> DataFrame:
     rows = columns(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long"), text_key(F.col("text")), F.encode(F.col("text"), "utf-8"))
     spans = "array<struct<kind:string,start:int,end:int>>"
-    return rows.mapInArrow(run, f"doc_id long, text_key binary, base {spans}, added {spans}, masked string")
+    return rows.mapInArrow(released(run), f"doc_id long, text_key binary, base {spans}, added {spans}, masked string")
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -359,12 +359,12 @@ def redacted(docs: DataFrame) -> DataFrame:
     schema = docs.schema
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [mask(t, fixed + added_spans(t, fixed, model)) if (fixed := base_spans(t)) else t
-                     for t in batch.column(place).to_pylist()]
+                     for t in map(pa.Scalar.as_py, batch.column(place))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, batch.column(place).type) if i == place else c
                  for i, c in enumerate(batch.columns)], names=batch.schema.names)
 
-    out = docs.mapInArrow(run, schema)
+    out = docs.mapInArrow(released(run), schema)
     return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else out

@@ -43,17 +43,29 @@ def test_edges(spark, docs, reference):
 def test_long_pieces_merge_like_short_ones(reference):
     coder = b.coder(PATH, PATTERN)
     draw = random.Random(1)
-    for length in (2, 3, 10, 60, 250, 300, 1000):
-        for letters in ("ab", "abcdefghij", "aeiou", " "):
-            piece = "".join(draw.choice(letters) for _ in range(length)).encode()
-            expected = reference._core_bpe.encode_single_piece(piece)
-            assert coder.encode_pieces([piece]) == [expected]
-            if piece not in coder.ranks:
-                assert b.merge_long(piece, coder.ranks) == expected
+    pieces = ["".join(draw.choice(letters) for _ in range(length)).encode()
+              for length in (2, 3, 10, 60, 250, 300, 1000, 4096)
+              for letters in ("ab", "abcdefghij", "aeiou", " ")]
+    expected = [reference._core_bpe.encode_single_piece(p) for p in pieces]
+    assert coder.encode_pieces(pieces) == expected
+    for piece, ids in zip(pieces, expected):
+        assert coder.encode_pieces([piece]) == [ids]
+        if piece not in coder.ranks:
+            assert b.merge_long(piece, coder.ranks) == ids
+    longest = "".join(draw.choice("abcdefghij") for _ in range(20_000)).encode()
+    assert coder.encode_pieces([longest]) == [reference._core_bpe.encode_single_piece(longest)]
+
+
+def test_statements_of_few_rounds_and_rows_change_nothing(monkeypatch, reference):
+    monkeypatch.setattr(b, "ROUNDS", 3)
+    monkeypatch.setattr(b, "_ROWS", 50)
+    coder = b.coder(PATH, PATTERN)
+    pieces = [p.encode() for p in ("x", "internationalisation", "zzzzzzzz", "antidisestablishmentarianism", "qq")]
+    assert coder.encode_pieces(pieces) == [reference._core_bpe.encode_single_piece(p) for p in pieces]
 
 
 def test_a_full_memory_of_pieces_changes_nothing(monkeypatch, reference):
-    monkeypatch.setattr(b, "_REMEMBER", 3)
+    monkeypatch.setattr(b, "_REMEMBER", 900)
     coder = b.coder(PATH, PATTERN)
     texts = ["one two three four five", "six seven one two", "one"]
     for text, (ids, body) in zip(texts, [coder.run([t])[0] for t in texts]):
