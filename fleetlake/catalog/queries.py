@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -203,6 +204,23 @@ def gold_publish_rerun(t):
         F.count(F.lit(1)).alias("trips"), F.sum("actual_distance_miles").alias("miles"))
 
 
+@query("""SELECT 'batch_' || year(dispatch_date) AS batch_id, count(*) AS trips,
+  sum(actual_distance_miles)::BIGINT AS miles FROM fact_trips
+WHERE year(dispatch_date) BETWEEN 1995 AND 1998 GROUP BY 1""")
+def gold_publish_concurrent(t):
+    """Writers of different batches and of the same batch at once: each batch is there once and whole."""
+    root = t.folder("gold")
+
+    def publish(year):
+        store.publish_fact(t.fact_trips.where(F.year("dispatch_date") == year), root, "fact_trips", f"batch_{year}")
+
+    t.fact_trips  # built before the threads ask for it
+    with ThreadPoolExecutor(4) as writers:
+        list(writers.map(publish, (1995, 1996, 1997, 1998, 1995, 1996)))
+    return store.read_table(t.spark, root, "fact_trips").groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("actual_distance_miles").alias("miles"))
+
+
 _TRUCK_COLUMNS = [c.name for c in registry.GOLD["dim_truck"]
                   if c.name not in ("truck_sk", "_created_at")]
 _UPSERT = f"""
@@ -237,6 +255,30 @@ def gold_clustered_layout(t):
         F.count(F.lit(1)).alias("purchases"), F.sum("gallons").alias("gallons"))
 
 
+def _layout_sql(table: str) -> str:
+    layout = registry.LAYOUTS[table]
+    first = layout.cluster[0]
+    return f"""SELECT '{table}' AS table_name, CAST(date_trunc('month', {layout.partition}) AS DATE) AS month,
+  count(*) AS n, count(DISTINCT {first}) AS clustered_values, min({first}) AS least, max({first}) AS greatest
+FROM {table} WHERE {layout.partition} BETWEEN DATE '1996-02-01' AND DATE '1997-03-31' GROUP BY 2"""
+
+
+@query(" UNION ALL ".join(map(_layout_sql, registry.LAYOUTS)))
+def gold_layouts(t):
+    """Publish every table that has a layout, read a range of dates back through its file index."""
+    root, parts = t.folder("gold"), []
+    for name, layout in registry.LAYOUTS.items():
+        store.publish_fact(getattr(t, name), root, name, BATCH)
+        found = store.read_where(t.spark, root, name, **{
+            layout.partition: (datetime.date(1996, 2, 1), datetime.date(1997, 3, 31))})
+        first = layout.cluster[0]
+        parts.append(found.groupBy(F.trunc(layout.partition, "month").alias("month")).agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct(first).alias("clustered_values"),
+            F.min(first).alias("least"), F.max(first).alias("greatest"))
+            .select(F.lit(name).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 _CONTRACT_TABLES = ("fact_trips", *facts.SINGLE_SOURCE)
 _ALL_CONTRACTS = (*_CONTRACT_TABLES, *dims.SNAPSHOT_DIMS, "dim_driver")
 

@@ -183,7 +183,8 @@ def publish_dimension(spark: SparkSession, lake: Lake, batch_id: str, table: str
                       as_of: datetime.date) -> int:
     start = _now()
     gold = lake.zone("gold")
-    existing = store.read_dimension(spark, gold, table)
+    based_on = store.current_version(spark, gold, table)
+    existing = store.read_dimension(spark, gold, table, based_on) if based_on else None
     if table == "dim_date":
         df = dims.calendar(spark, *lake.calendar_years)
     elif table == "dim_driver":
@@ -200,7 +201,7 @@ def publish_dimension(spark: SparkSession, lake: Lake, batch_id: str, table: str
     checked, counted = _checked(df, table)
     version = store.write_dimension(checked, gold, table)
     return _finish(spark, lake, batch_id, table, counted, start,
-                   lambda: store.release_dimension(spark, gold, table, version))
+                   lambda: store.release_dimension(spark, gold, table, version, based_on))
 
 
 def publish_fact(spark: SparkSession, lake: Lake, batch_id: str, table: str) -> int:
@@ -213,12 +214,11 @@ def publish_fact(spark: SparkSession, lake: Lake, batch_id: str, table: str) ->
         build, source = facts.SINGLE_SOURCE[table]
         df = build(store.read_batch(spark, silver, source, batch_id), batch_id)
     # Counted before the range exchange: its sampling pass would count the rows twice.
-    clustered = store.clustered(df, table)
-    checked, counted = _checked(clustered, table)
+    checked, counted = _checked(store.laid_out(df, table), table)
     gold = lake.zone("gold")
-    staged = store.stage_batch(checked, gold, table)
+    version = store.stage_batch(checked, gold, table, batch_id)
     return _finish(spark, lake, batch_id, table, counted, start,
-                   lambda: store.release_batch(spark, staged, gold, table, batch_id))
+                   lambda: store.release_batch(spark, version, gold, table, batch_id))
 
 
 def publish_batch(spark: SparkSession, lake: Lake, batch_id: str,

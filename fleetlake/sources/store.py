@@ -1,66 +1,170 @@
-"""Tables at rest: one folder per table and batch, written whole, read pruned."""
+"""Tables at rest: a folder per table, batch and version, and a log of commits that names the ones in force.
+
+A writer puts a new version beside the others, where no reader looks, and then adds one small marker
+to the table's log. Readers take, for each batch, the version of its newest marker. Nothing is renamed
+or deleted, so a writer that fails at any point leaves readers on what was there before, and queries
+that run keep their files. Markers are numbered; a number that is taken makes the writer take the next.
+"""
 
 from __future__ import annotations
 
+import time
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetlake import registry
 
+# Partition column of tables with a declared layout: month of the layout's date.
+PERIOD = "_period"
+# Rows of a file of such a table, about.
+FILE_ROWS = 4_000_000
+# More files than this are not named one by one: the scan then finds them by its own filters.
+MOST_FILES = 10_000
+_COMMIT = "seq bigint, batch_id string, version string"
+# The one batch of a table that is replaced as a whole.
+_WHOLE = "all"
+_RETRIES = 50
+
+
+class Conflict(Exception):
+    """The table has a newer version than the one a change was made from."""
+
+
+def _base(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{table}"
+
+
+def version_path(root: str, table: str, batch_id: str, version: str) -> str:
+    return f"{_base(root, table)}/batch_id={batch_id}/version={version}"
+
+
+# -------------------------------------------------------------------- commits
+def commits(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The log (seq, batch_id, version) of a table, empty before its first commit."""
+    try:
+        return spark.read.schema(_COMMIT).option("recursiveFileLookup", True).json(
+            f"{_base(root, table)}/_commits")
+    except AnalysisException:
+        return spark.createDataFrame([], _COMMIT)
+
+
+def snapshot(spark: SparkSession, root: str, table: str, at: int | None = None) -> dict[str, str]:
+    """Version in force of each batch, now or as of commit ``at``. It holds batches, not rows.
+
+    Writers that took the same number at the same time are ordered by their versions' names, so all
+    readers see the same one.
+    """
+    log = commits(spark, root, table)
+    if at is not None:
+        log = log.where(F.col("seq") <= at)
+    newest = log.groupBy("batch_id").agg(F.max(F.struct("seq", "version")).alias("last"))
+    return {r["batch_id"]: r["last"]["version"] for r in newest.collect()}
+
+
+def superseded(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Versions no reader takes any more (batch_id, version, path), for a retention job."""
+    log = commits(spark, root, table)
+    newest = log.groupBy("batch_id").agg(F.max_by("version", F.struct("seq", "version")).alias("version"))
+    old = log.join(newest, ["batch_id", "version"], "left_anti")
+    return old.select("batch_id", "version", F.format_string(
+        f"{_base(root, table)}/batch_id=%s/version=%s", "batch_id", "version").alias("path"))
 
-def batch_path(root: str, table: str, batch_id: str) -> str:
-    return f"{root.rstrip('/')}/{table}/batch_id={batch_id}"
 
+def commit(spark: SparkSession, root: str, table: str, batch_id: str, version: str,
+           based_on: str | None = None, checked: bool = False) -> int:
+    """Put a written version in force and return the number of its commit.
 
-def stage_batch(df: DataFrame, root: str, table: str) -> str:
-    """Write a batch beside the tables, where no reader looks, and return its folder."""
-    staged = f"{root.rstrip('/')}/_staged/{table}-{uuid.uuid4().hex}"
-    df.drop("batch_id").write.option("compression", "snappy").parquet(staged)
-    return staged
+    With ``checked`` the version in force must still be ``based_on`` (None: there is none), else
+    Conflict: a change that was made from another state must not replace this one.
+    """
+    for attempt in range(_RETRIES):
+        last = commits(spark, root, table).agg(F.max("seq")).first()[0] or 0
+        if checked and snapshot(spark, root, table).get(batch_id) != based_on:
+            raise Conflict(f"{table}: version {based_on} is no longer in force")
+        seq = last + 1
+        try:
+            _mark(spark, f"{_base(root, table)}/_commits/seq={seq:012d}", seq, batch_id, version)
+            return seq
+        except PySparkException:
+            if (commits(spark, root, table).agg(F.max("seq")).first()[0] or 0) < seq:
+                raise  # no other writer took the number: the storage failed
+        time.sleep(0.05 * attempt)
+    raise Conflict(f"{table}: no free commit number in {_RETRIES} attempts")
+
+
+def _mark(spark: SparkSession, path: str, seq: int, batch_id: str, version: str) -> None:
+    """Write one marker; an error if the number is taken."""
+    spark.createDataFrame([(seq, batch_id, version)], _COMMIT).coalesce(1).write.mode("errorifexists").json(path)
+
+
+# -------------------------------------------------------------------- batches
+def stage_batch(df: DataFrame, root: str, table: str, batch_id: str) -> str:
+    """Write a version of a batch that no reader sees yet and return its name."""
+    version = f"v{uuid.uuid4().hex}"
+    path = version_path(root, table, batch_id, version)
+    rows = df.drop("batch_id")
+    writer = rows.write.option("compression", "snappy")
+    if PERIOD not in df.columns:
+        writer.parquet(path)
+        return version
+    writer.partitionBy(PERIOD).parquet(path)
+    try:
+        df.sparkSession.read.parquet(path)
+    except AnalysisException:  # no rows, no months: the schema alone
+        schema = rows.drop(PERIOD).schema
+        df.sparkSession.createDataFrame([], schema).coalesce(1).write.parquet(f"{path}/{PERIOD}=none")
+    return version
 
 
-def release_batch(spark: SparkSession, staged: str, root: str, table: str, batch_id: str) -> None:
-    """Put a staged batch in the place of the one before. Until then readers see the old one."""
-    jvm = spark.sparkContext._jvm
-    source = jvm.org.apache.hadoop.fs.Path(staged)
-    target = jvm.org.apache.hadoop.fs.Path(batch_path(root, table, batch_id))
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(target.getParent())
-    files.delete(target, True)
-    if not files.rename(source, target):
-        raise OSError(f"cannot move {staged} to {target}")
+def release_batch(spark: SparkSession, version: str, root: str, table: str, batch_id: str) -> None:
+    """Point readers to a staged version of a batch. Until then they see the one before."""
+    if table in registry.LAYOUTS:
+        _index_files(spark, root, table, batch_id, version)
+    commit(spark, root, table, batch_id, version)
 
 
 def write_batch(df: DataFrame, root: str, table: str, batch_id: str) -> None:
     """Replace exactly this batch of a table. An empty batch still leaves its schema behind.
 
-    The new batch is written whole before the old one goes, so a failed job changes nothing.
+    The new version is whole before readers are pointed to it, so a failed job changes nothing.
     """
-    staged = stage_batch(df, root, table)
-    release_batch(df.sparkSession, staged, root, table, batch_id)
+    release_batch(df.sparkSession, stage_batch(df, root, table, batch_id), root, table, batch_id)
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All batches of a table; ``batch_id`` is the partition column, so filters on it prune."""
-    return spark.read.option("basePath", f"{root.rstrip('/')}/{table}").parquet(
-        f"{root.rstrip('/')}/{table}")
+def read_table(spark: SparkSession, root: str, table: str, at: int | None = None) -> DataFrame:
+    """All batches of a table, now or as of commit ``at``; filters on ``batch_id`` prune.
+
+    A table without a log (one that a stream appends to) is read as it lies.
+    """
+    base = _base(root, table)
+    versions = snapshot(spark, root, table, at)
+    paths = [version_path(root, table, b, v) for b, v in sorted(versions.items())]
+    return spark.read.option("basePath", base).parquet(*(paths or [base])).drop("version", PERIOD)
 
 
 def read_batch(spark: SparkSession, root: str, table: str, batch_id: str) -> DataFrame:
     """One batch of a table. A batch that was never written is an error, not an empty table."""
+    versions = snapshot(spark, root, table)
     try:
-        return (spark.read.option("basePath", f"{root.rstrip('/')}/{table}")
-                .parquet(batch_path(root, table, batch_id))
-                .withColumn("batch_id", F.lit(batch_id)))
-    except AnalysisException as missing:
+        path = (version_path(root, table, batch_id, versions[batch_id]) if batch_id in versions
+                else f"{_base(root, table)}/batch_id={batch_id}")
+        if versions and batch_id not in versions:
+            raise KeyError(batch_id)
+        return spark.read.parquet(path).drop(PERIOD).withColumn("batch_id", F.lit(batch_id))
+    except (AnalysisException, KeyError) as missing:
         raise FileNotFoundError(
             f"no data for table {table!r}, batch {batch_id!r} below {root}") from missing
 
 
+# ---------------------------------------------------------- layout, file index
+def _period(date_column: str) -> Column:
+    return F.date_format(F.col(date_column), "yyyy-MM")
+
+
 def clustered(df: DataFrame, table: str, partitions: int | None = None) -> DataFrame:
-    """Order rows for the declared layout so that row-group statistics can skip data.
+    """Order rows for the declared layout so that file and row-group statistics can skip data.
 
     Ranges run over date, cluster columns and the row key together: a date or a truck that
     holds most rows is cut into several ranges instead of filling one task.
@@ -74,64 +178,135 @@ def clustered(df: DataFrame, table: str, partitions: int | None = None) -> DataF
     return ranged.sortWithinPartitions(*columns)
 
 
+def laid_out(df: DataFrame, table: str, file_rows: int = FILE_ROWS) -> DataFrame:
+    """``clustered``, with the month as ``_period`` to partition by and a bounded number of files.
+
+    Rows per month are counted first (one row a month reaches the driver): a month gets a file per
+    ``file_rows`` rows, and two at its borders with other months at most. Within a month the cluster
+    columns come before the date, so that a file holds few of their values.
+    """
+    layout = registry.LAYOUTS.get(table)
+    if layout is None:
+        return df
+    months = df.groupBy(_period(layout.partition).alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()
+    files = max(1, sum(-(-r["n"] // file_rows) for r in months))
+    order = [PERIOD, *[c for c in (*layout.cluster, layout.partition, *layout.key) if c in df.columns]]
+    return (df.withColumn(PERIOD, _period(layout.partition)).repartitionByRange(files, *order)
+            .sortWithinPartitions(*order))
+
+
+def _indexed_columns(df: DataFrame, table: str) -> list[str]:
+    layout = registry.LAYOUTS[table]
+    return [c for c in (layout.partition, *layout.cluster) if c in df.columns]
+
+
+def _index_files(spark: SparkSession, root: str, table: str, batch_id: str, version: str) -> None:
+    """Least and greatest value of each layout column per file, read from those columns alone."""
+    written = spark.read.parquet(version_path(root, table, batch_id, version))
+    columns = _indexed_columns(written, table)
+    bounds = [f(c).cast("string").alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
+    counts = [F.count(c).alias(f"n_{c}") for c in columns]
+    (written.groupBy(F.col("_metadata.file_path").alias("file"))
+     .agg(F.count(F.lit(1)).alias("n"), *bounds, *counts)
+     .write.parquet(f"{_base(root, table)}/_files/batch_id={batch_id}/version={version}"))
+
+
+def file_index(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """file, n and min_*, max_*, n_* (values that are not null) of the layout columns, for the versions
+    in force; None where a table has none."""
+    versions = snapshot(spark, root, table)
+    if not versions or table not in registry.LAYOUTS:
+        return None
+    return spark.read.parquet(*[f"{_base(root, table)}/_files/batch_id={b}/version={v}"
+                                for b, v in sorted(versions.items())])
+
+
+def read_where(spark: SparkSession, root: str, table: str, **wanted) -> DataFrame:
+    """Rows of a table whose layout columns have wanted values: one value, or a (least, greatest) pair.
+
+    The file index says which files can hold such rows; the scan is given those alone. If they are
+    more than MOST_FILES, it is given the table and the months of the date range instead.
+    """
+    layout = registry.LAYOUTS[table]
+    span = {c: v if isinstance(v, tuple) else (v, v) for c, v in wanted.items()}
+    versions = snapshot(spark, root, table)
+    base = _base(root, table)
+    index = file_index(spark, root, table)
+    if index is None:
+        raise FileNotFoundError(f"no data for table {table!r} below {root}")
+    for c, (low, high) in span.items():
+        index = index.where((F.col(f"max_{c}") >= str(low)) & (F.col(f"min_{c}") <= str(high)))
+    files = [r["file"] for r in index.select("file").limit(MOST_FILES + 1).collect()]
+    if len(files) > MOST_FILES or not files:
+        paths = [version_path(root, table, b, v) for b, v in sorted(versions.items())]
+        rows = spark.read.option("basePath", base).parquet(*paths)
+        if not files:
+            rows = rows.limit(0)
+    else:
+        whole = spark.read.option("basePath", base).parquet(
+            *[version_path(root, table, b, v) for b, v in sorted(versions.items())])
+        rows = spark.read.option("basePath", base).schema(whole.schema).parquet(*files)
+    for c, (low, high) in span.items():
+        rows = rows.where(F.col(c).between(F.lit(low), F.lit(high)))
+        if c == layout.partition:
+            rows = rows.where(F.col(PERIOD).between(str(low)[:7], str(high)[:7]))
+    return rows.drop("version", PERIOD)
+
+
 def publish_fact(df: DataFrame, root: str, table: str, batch_id: str) -> None:
-    """Publish a fact or mart batch: its folder is replaced, other batches are untouched.
+    """Publish a fact or mart batch: its version is replaced, other batches are untouched.
 
     Running a batch again changes nothing, also when the new run has fewer dates.
     """
-    write_batch(clustered(df, table), root, table, batch_id)
+    write_batch(laid_out(df, table), root, table, batch_id)
 
 
-def write_dimension(df: DataFrame, root: str, table: str) -> int:
-    """Write a dimension as a new complete version and return its number. Readers do not see it.
+# ----------------------------------------------------------------- dimensions
+def write_dimension(df: DataFrame, root: str, table: str) -> str:
+    """Write a dimension as a new complete version and return its name. Readers do not see it.
 
     A merge reads the table it replaces, so a new version always goes to its own folder.
     """
-    version = current_version(df.sparkSession, root, table) + 1
-    df.write.mode("overwrite").option("compression", "snappy").parquet(
-        f"{root.rstrip('/')}/{table}/version={version}")
-    return version
+    return stage_batch(df, root, table, _WHOLE)
 
 
-def release_dimension(spark: SparkSession, root: str, table: str, version: int) -> None:
-    """Point readers to a version by adding its marker."""
-    spark.createDataFrame([(version,)], "version bigint").coalesce(1).write.mode("append").json(
-        f"{root.rstrip('/')}/{table}/_current")
+def release_dimension(spark: SparkSession, root: str, table: str, version: str,
+                      based_on: str | None = None) -> None:
+    """Point readers to a version made from version ``based_on`` (None: the first). Conflict if
+    another one has come between."""
+    commit(spark, root, table, _WHOLE, version, based_on, checked=True)
 
 
-def publish_dimension(df: DataFrame, root: str, table: str) -> int:
-    """Write a new version of a dimension, then point readers to it."""
+def publish_dimension(df: DataFrame, root: str, table: str) -> str:
+    """Write a new version of a dimension, then point readers to it, whatever is in force."""
     version = write_dimension(df, root, table)
-    release_dimension(df.sparkSession, root, table, version)
+    commit(df.sparkSession, root, table, _WHOLE, version)
     return version
 
 
-def current_version(spark: SparkSession, root: str, table: str) -> int:
-    """Newest published version of a dimension; 0 when there is none."""
-    try:
-        markers = spark.read.schema("version bigint").json(f"{root.rstrip('/')}/{table}/_current")
-    except AnalysisException:
-        return 0
-    return markers.agg(F.max("version")).first()[0] or 0
+def current_version(spark: SparkSession, root: str, table: str) -> str | None:
+    """Version of a dimension in force; None before the first."""
+    return snapshot(spark, root, table).get(_WHOLE)
 
 
-def read_dimension(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """Current version of a dimension, or None before the first publish."""
-    version = current_version(spark, root, table)
-    if version == 0:
+def read_dimension(spark: SparkSession, root: str, table: str,
+                   version: str | None = None) -> DataFrame | None:
+    """Current (or given) version of a dimension, or None before the first publish."""
+    version = version or current_version(spark, root, table)
+    if version is None:
         return None
-    return spark.read.parquet(f"{root.rstrip('/')}/{table}/version={version}")
+    return spark.read.parquet(version_path(root, table, _WHOLE, version))
 
 
+# ----------------------------------------------------------------------- logs
 def append(df: DataFrame, root: str, table: str) -> None:
     """Append log rows in a folder of their own: writers at the same time do not meet."""
-    df.write.parquet(f"{root.rstrip('/')}/{table}/rows-{uuid.uuid4().hex}")
+    df.write.parquet(f"{_base(root, table)}/rows-{uuid.uuid4().hex}")
 
 
 def read_log(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
     """A log table, empty before its first row."""
     try:
-        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(
-            f"{root.rstrip('/')}/{table}")
+        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(_base(root, table))
     except AnalysisException:
         return spark.createDataFrame([], schema)

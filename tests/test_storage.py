@@ -80,6 +80,80 @@ def test_fact_publish_is_idempotent_per_batch(spark, tmp_path):
         store.read_batch(spark, root, "fact_maintenance", "b9")
 
 
+def maintenance(spark, n=2000):
+    return spark.range(n).select(
+        F.format_string("m%05d", "id").alias("maintenance_id"), F.format_string("t%02d", F.col("id") % 20).alias("truck_id"),
+        F.date_add(F.lit("2022-01-01").cast("date"), (F.col("id") % 360).cast("int")).alias("maintenance_date"),
+        F.when(F.col("id") % 7 == 0, "Tire").alias("maintenance_type"))
+
+
+def test_a_writer_that_dies_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    store.publish_fact(maintenance(spark, 10), root, "fact_maintenance", "b1")
+    running = store.read_table(spark, root, "fact_maintenance")
+    monkeypatch.setattr(store, "commit", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.publish_fact(maintenance(spark, 3), root, "fact_maintenance", "b1")
+    monkeypatch.undo()
+    assert store.read_table(spark, root, "fact_maintenance").count() == 10
+    store.publish_fact(maintenance(spark, 4), root, "fact_maintenance", "b1")
+    assert store.read_table(spark, root, "fact_maintenance").count() == 4
+    assert running.count() == 10  # a query that started before keeps its files
+    assert store.read_table(spark, root, "fact_maintenance", at=1).count() == 10
+    assert store.superseded(spark, root, "fact_maintenance").count() == 1
+
+
+def test_a_taken_commit_number_makes_the_writer_take_the_next(spark, tmp_path, monkeypatch):
+    root, mark, taken = str(tmp_path), store._mark, []
+
+    def rival(spark, path, seq, batch_id, version):
+        if not taken:
+            taken.append(seq)
+            mark(spark, path, seq, "b2", "other")
+        mark(spark, path, seq, batch_id, version)
+
+    monkeypatch.setattr(store, "_mark", rival)
+    assert store.commit(spark, root, "t", "b1", "mine") == 2
+    assert store.snapshot(spark, root, "t") == {"b1": "mine", "b2": "other"}
+
+
+def test_a_dimension_made_from_an_old_version_is_refused(spark, tmp_path):
+    root = str(tmp_path)
+    first = store.write_dimension(spark.range(1), root, "d")
+    store.release_dimension(spark, root, "d", first)
+    mine, theirs = (store.write_dimension(spark.range(n), root, "d") for n in (2, 3))
+    store.release_dimension(spark, root, "d", theirs, first)
+    with pytest.raises(store.Conflict):
+        store.release_dimension(spark, root, "d", mine, first)
+    assert store.read_dimension(spark, root, "d").count() == 3
+
+
+def test_date_ranges_and_cluster_values_read_few_files(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    rows = maintenance(spark)
+    monkeypatch.setattr(store, "FILE_ROWS", 50)
+    store.write_batch(store.laid_out(rows, "fact_maintenance", 50), root, "fact_maintenance", "b1")
+    store.write_batch(store.laid_out(rows.limit(0), "fact_maintenance"), root, "fact_maintenance", "b2")
+    every = len(store.read_table(spark, root, "fact_maintenance").inputFiles())
+    per_month = {}
+    for r in store.file_index(spark, root, "fact_maintenance").collect():
+        per_month.setdefault(r["file"].split("_period=")[1][:7], []).append(r["n"])
+    assert len(per_month) == 12 and all(len(f) <= sum(f) // 50 + 3 for f in per_month.values())
+    day = __import__("datetime").date
+    some = store.read_where(spark, root, "fact_maintenance", truck_id="t03",
+                            maintenance_date=(day(2022, 3, 5), day(2022, 4, 2)))
+    keep = (F.col("truck_id") == "t03") & F.col("maintenance_date").between(day(2022, 3, 5), day(2022, 4, 2))
+    assert sorted(some.drop("batch_id").collect()) == sorted(rows.where(keep).collect()) != []
+    assert len(some.inputFiles()) <= 4 < 40 <= every
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_period" in plan
+    rare = store.read_where(spark, root, "fact_maintenance", maintenance_type="Tire", truck_id="t07")
+    assert rare.count() == rows.where("truck_id = 't07' and maintenance_type = 'Tire'").count() > 0
+    assert store.read_where(spark, root, "fact_maintenance", truck_id="none").count() == 0
+    monkeypatch.setattr(store, "MOST_FILES", 1)
+    assert store.read_where(spark, root, "fact_maintenance", truck_id="t03").count() == 100
+
+
 def test_dimension_publish_keeps_readers_on_a_whole_version(spark, tmp_path):
     root = str(tmp_path)
     assert store.read_dimension(spark, root, "d") is None
