@@ -17,7 +17,7 @@ from fleetlake.operators import profiling, quality, scd2
 from fleetlake.plans import control, dims, facts, measures, timeintel, views
 from fleetlake.plans.measures import Context, PERIODS
 from fleetlake.session import configure
-from fleetlake.sources import raw, store
+from fleetlake.sources import batch_sink, raw, store
 from fleetlake.sources.scratch import materialised, run_folder
 from fleetlake.streaming import arrivals
 
@@ -165,6 +165,35 @@ def batch_manifest(t):
         F.bool_and(F.col("file_size_bytes") > 0).alias("sized"))
 
 
+_SPLIT = (("loads", "load_date"), ("trips", "dispatch_date"), ("delivery_events", "scheduled_datetime"))
+
+
+def _split_sql(table: str, date: str) -> str:
+    return f"""SELECT '{table}' AS "table", 'batch_' || least({date}[1:4], '2000') AS batch_id,
+  count(*) AS row_count, TRUE AS intact FROM raw_{table} WHERE {date} >= '1995' GROUP BY 1, 2"""
+
+
+@query(" UNION ALL ".join(_split_sql(*s) for s in _SPLIT) + """ UNION ALL
+SELECT 'customers', 'batch_' || y, (SELECT count(*) FROM raw_customers), TRUE FROM range(1995, 2001) r(y)""")
+def split_to_manifest(t):
+    """Unsplit CSV to batches: rows of the manifest, and whether the files, read again, have its
+    sizes and hashes and hold its rows."""
+    source, root = t.folder("unsplit"), t.folder("batches")
+    tables = [name for name, _ in _SPLIT] + ["customers"]
+    for name in tables:
+        _write_csv(getattr(t, f"raw_{name}"), f"{source}/{name}.csv")
+        batch_sink.split_table(t.spark, f"{source}/{name}.csv", name, root, DATA_BATCHES)
+    listed = batch_sink.manifest(t.spark, root)
+    again = reduce(DataFrame.unionByName, [
+        raw.file_hashes(t.spark, f"{root}/{b}").join(raw.file_row_counts(t.spark, f"{root}/{b}"), "location", "left")
+        for b, _ in DATA_BATCHES]).select("file", F.col("sha256").alias("s"), F.col("file_size_bytes").alias("b"),
+                                          F.coalesce("row_count", F.lit(0)).alias("n"))
+    same = (F.col("sha256").eqNullSafe(F.col("s")) & F.col("file_size_bytes").eqNullSafe(F.col("b"))
+            & F.col("row_count").eqNullSafe(F.col("n")))
+    return (listed.join(again, "file", "full_outer").groupBy("table", "batch_id")
+            .agg(F.sum("row_count").alias("row_count"), F.bool_and(same).alias("intact")).where("row_count > 0"))
+
+
 _VALID_CUSTOMERS = (f"SELECT * FROM ({o.annotated('raw_customers', 'customers')}) a "
                     "WHERE _rejection_rule IS NULL")
 _REJECTED_CUSTOMERS = (f"SELECT * FROM ({o.annotated('raw_customers', 'customers')}) a "

@@ -45,6 +45,18 @@ def arrival_rows(spark: SparkSession, manifest: dict, raw_root: str = "",
     return spark.createDataFrame(rows, BATCH_CONTROL_SCHEMA)
 
 
+def arrivals_of(manifest: DataFrame, raw_root: str, at: datetime.datetime | None = None) -> DataFrame:
+    """One PENDING row per row of a manifest table; nothing passes through the driver."""
+    time = F.lit(at or _now()).cast("timestamp")
+    none = F.lit(None).cast("timestamp")
+    place = F.format_string(f"{raw_root.rstrip('/')}/%s/%s_%s.csv/%s", "batch_id", "table", "batch_id", "file")
+    return manifest.select(
+        "batch_id", F.col("file").alias("source_file"), F.col("table").alias("table_name"),
+        place.alias("gcs_raw_path"), time.alias("arrival_time"), none.alias("processing_start"),
+        none.alias("processing_end"), F.col("row_count").alias("records_in_file"),
+        F.lit("PENDING").alias("status"), F.lit(None).cast("string").alias("error_message"))
+
+
 def status_row(spark: SparkSession, batch_id: str, status: str, error: str | None = None,
                at: datetime.datetime | None = None) -> DataFrame:
     """A status change: PROCESSING sets the start, COMPLETED, FAILED and SKIPPED the end."""

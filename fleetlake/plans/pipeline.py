@@ -17,7 +17,7 @@ from fleetlake.functions.casting import cast_table, conform, missing_required
 from fleetlake.operators import quality
 from fleetlake.operators.scd2 import type1_upsert
 from fleetlake.plans import control, dims, facts
-from fleetlake.sources import raw, store
+from fleetlake.sources import batch_sink, raw, store
 
 
 class MissingKeys(Exception):
@@ -256,18 +256,24 @@ def run_batch(spark: SparkSession, lake: Lake, batch_id: str, force: bool = Fals
     log = store.read_log(spark, audit, "batch_control", control.BATCH_CONTROL_SCHEMA)
     if not force and control.is_completed(log, batch_id):
         return {"batch_id": batch_id, "status": "SKIPPED", "reason": "ALREADY_COMPLETED"}
-    if manifest is None:
+    if manifest is None and batch_sink.arrived(spark, lake.raw_root, batch_id):
+        listed = batch_sink.manifest(spark, lake.raw_root, batch_id)
+        if not batch_sink.differing(spark, lake.raw_root, listed, batch_id).isEmpty():
+            raise ManifestMismatch(f"batch {batch_id}: files differ from the manifest")
+        arrivals = control.arrivals_of(listed, lake.raw_root)
+    elif manifest is None:
         year = dict(registry.BATCHES).get(batch_id, 0)
         manifest = raw.batch_manifest(spark, batch_id, year, {
             t: lake.raw_path(t, batch_id) for t in registry.TABLES})
-    elif manifest.get("tables"):
+        arrivals = control.arrival_rows(spark, manifest, f"{lake.raw_root}/{batch_id}")
+    else:
         listed = {e["table"] for e in manifest["tables"]}
         wrong = raw.verify_manifest(spark, manifest, {
             t: lake.raw_path(t, batch_id) for t in registry.TABLES if t in listed})
         if not wrong.isEmpty():
             raise ManifestMismatch(f"batch {batch_id}: files differ from the manifest")
-    store.append(control.arrival_rows(spark, manifest, f"{lake.raw_root}/{batch_id}"), audit,
-                 "batch_control")
+        arrivals = control.arrival_rows(spark, manifest, f"{lake.raw_root}/{batch_id}")
+    store.append(arrivals, audit, "batch_control")
     stage = "BRONZE"
     try:
         bronze = ingest_batch(spark, lake, batch_id)
@@ -290,8 +296,26 @@ def run_batch(spark: SparkSession, lake: Lake, batch_id: str, force: bool = Fals
             "gold": gold}
 
 
+def split_all(spark: SparkSession, lake: Lake, source_root: str,
+              batches: tuple[tuple[str, int], ...] = registry.BATCHES) -> None:
+    """Split the unsplit CSV of every table (``<source_root>/<table>.csv``) into the lake's batches.
+
+    One table after another: a Python sink is found through the session of the calling thread.
+    """
+    for table in registry.TABLES:
+        batch_sink.split_table(spark, f"{source_root.rstrip('/')}/{table}.csv", table, lake.raw_root, batches,
+                               table in lake.multi_line)
+
+
 def run_all_batches(spark: SparkSession, lake: Lake, force: bool = False,
-                    batches: list[str] | None = None) -> list[dict]:
-    """Run batches in order; a later batch builds on the dimensions of an earlier one."""
-    return [run_batch(spark, lake, b, force)
-            for b in (batches or [b for b, _ in registry.BATCHES])]
+                    batches: list[str] | None = None, source_root: str | None = None,
+                    split: tuple[tuple[str, int], ...] = registry.BATCHES) -> list[dict]:
+    """Run batches in order; a later batch builds on the dimensions of an earlier one.
+
+    With ``source_root`` the batches are made from the unsplit folder first if any of them has not
+    arrived.
+    """
+    wanted = batches or [b for b, _ in split]
+    if source_root and not all(batch_sink.arrived(spark, lake.raw_root, b) for b in wanted):
+        split_all(spark, lake, source_root, split)
+    return [run_batch(spark, lake, b, force) for b in wanted]

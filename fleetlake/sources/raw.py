@@ -26,6 +26,11 @@ def _csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     return reader.option("columnNameOfCorruptRecord", MALFORMED).schema(T.StructType(fields)).csv(path)
 
 
+def raw_rows(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Every text of a CSV as it is, and ``_malformed`` (the line where it does not fit the header)."""
+    return _csv(spark, path, multi_line)
+
+
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
                  with_file: bool = False, with_malformed: bool = False) -> DataFrame:
     """CSV with header, every column as text, missing-value texts as null.
@@ -103,17 +108,12 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     def digest(batches):
         import hashlib
 
-        from pyarrow import fs
+        from fleetlake.sources.batch_sink import file_system
 
         for pdf in batches:
             sums = []
             for uri in pdf["path"]:
-                local = uri.startswith("file:")
-                # Hadoop's names of object stores in the library's spelling.
-                scheme, _, rest = uri.partition("://")
-                known = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs", "gs": "gs"}
-                store, name = ((fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")) if local
-                               else fs.FileSystem.from_uri(f"{known.get(scheme, scheme)}://{rest}"))
+                store, name = file_system(uri)
                 sha = hashlib.sha256()
                 with store.open_input_stream(name) as stream:
                     while chunk := stream.read(_HASH_CHUNK_BYTES):
