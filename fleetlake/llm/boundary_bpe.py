@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -23,9 +24,12 @@ from tokenizers import Tokenizer
 
 # Bytes of text that are cut at once, and bytes of fragments and ids that a worker keeps.
 _CHUNK = 1_000_000
-_REMEMBER = 24_000_000
+_REMEMBER = 80_000_000
 # What an entry of that memory takes besides its bytes.
 _ENTRY = 200
+# Fragments of more symbols are merged over a heap.
+_SHORT = 48
+_NO_MERGE = 1 << 62
 
 
 def byte_letters() -> list[str]:
@@ -36,12 +40,6 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(others)) for b in range(256)]
 
 
-@lru_cache(maxsize=1)
-def _lower() -> dict[int, str]:
-    """Lower case of each code point by itself, whatever stands around it."""
-    return {c: chr(c).lower() for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).lower() != chr(c)}
-
-
 @lru_cache(maxsize=1)
 def _new() -> np.ndarray:
     """Which code points have no entry in Python's tables."""
@@ -63,8 +61,6 @@ class Coder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = {i: t for t, i in [*vocab.items(), *self.special.items()]}
         self.split_special = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
-        steps = spec["normalizer"]["normalizers"]
-        self.blank = regex.compile(steps[1]["pattern"]["Regex"])
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         # Symbols: 0 to 255 are bytes, 256 to 511 bytes that end a word.
         self.unit = np.array([vocab[a] for a in letters] + [vocab[a + self.suffix] for a in letters])
@@ -75,32 +71,40 @@ class Coder:
             if end:
                 body[-1] += 256
             self.inside[body[:-1], body[1:]] = True
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # Both ids of a pair in one number, to its rank and the new id in one number.
+        self.merges: dict[int, int] = {}
         for rank, (a, b) in enumerate(model["merges"]):
-            self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.merges.setdefault(vocab[a] << 32 | vocab[b], rank << 32 | vocab[a + b])
         self.known: dict[bytes, bytes] = {}
         self.held = 0
 
-    def normal(self, text: str) -> str:
-        text = self.blank.sub(" ", unicodedata.normalize("NFC", text))
-        return text.lower() if text.isascii() else text.translate(_lower())
-
-    def split(self, text: str) -> list[bytes]:
-        """The words of ``text``. Where it holds code points that Python's tables do not know yet,
-        the tokenizer file's own normalizer and splitter say what they are."""
-        if text.isascii() or not _new()[np.frombuffer(text.encode("utf-32-le"), "<u4")].any():
-            return [w.encode("utf-8") for w in self.words.findall(self.normal(text))]
+    def split(self, text: str) -> bytes:
+        """The words of ``text``, each with a line feed behind it.
+
+        Composed and in lower case, each letter by itself (no final sigma). Blanks are in no word, so
+        they need not be made one. Where the text holds code points that Python's tables do not know
+        yet, the tokenizer file's own normalizer and splitter say what they are.
+        """
+        if not text.isascii():
+            if _new()[np.frombuffer(text.encode("utf-32-le"), "<u4")].any():
+                return self._split_new(text)
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
+        words = self.words.findall(text.lower())
+        return "\n".join([*words, ""]).encode("utf-8")
+
+    def _split_new(self, text: str) -> bytes:
         if self.rules is None:
             self.rules = Tokenizer.from_str(self.spec)
         words = self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(text))
-        return [bytes(map(self.symbol.__getitem__, w)) for w, _ in words]
+        return b"".join(bytes(map(self.symbol.__getitem__, w)) + b"\n" for w, _ in words)
 
     def symbols(self, text: str) -> np.ndarray:
         """The symbols of all words of ``text`` in one row."""
-        words = self.split(text)
-        row = np.frombuffer(b"".join(words), np.uint8).astype(np.uint16)
-        row[np.cumsum([len(w) for w in words], dtype=np.int64) - 1] += 256
-        return row
+        row = np.frombuffer(self.split(text), np.uint8)
+        feed = np.flatnonzero(row == 10)
+        row = row.astype(np.uint16)
+        row[feed - 1] += 256
+        return np.delete(row, feed)
 
     def cuts(self, row: np.ndarray) -> np.ndarray:
         """First positions of the fragments of ``row``, and its end."""
@@ -109,39 +113,60 @@ class Coder:
 
     def merged(self, fragment: bytes) -> bytes:
         """Ids (little-endian 32-bit) of one fragment (16-bit symbols): the pair of least rank first,
-        the leftmost of equals; over a heap and linked parts, so long fragments stay cheap."""
+        the leftmost of equals."""
         ids = self.unit[np.frombuffer(fragment, np.uint16)].tolist()
+        return array("I", self._few(ids) if len(ids) <= _SHORT else self._many(ids)).tobytes()
+
+    def _few(self, ids: list[int]) -> list[int]:
+        find = self.merges.get
+        pairs = [find(a << 32 | b, _NO_MERGE) for a, b in zip(ids, ids[1:])]
+        while pairs and (least := min(pairs)) < _NO_MERGE:
+            i = pairs.index(least)
+            ids[i:i + 2] = [least & 0xFFFFFFFF]
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = find(ids[i] << 32 | ids[i + 1], _NO_MERGE)
+            if i:
+                pairs[i - 1] = find(ids[i - 1] << 32 | ids[i], _NO_MERGE)
+        return ids
+
+    def _many(self, ids: list[int]) -> list[int]:
+        """The same over a heap and linked parts, so that long fragments stay cheap."""
         n, merges = len(ids), self.merges
-        heap = [(*merges[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
+        heap = [(merges[p], i, *ab) for i, ab in enumerate(zip(ids, ids[1:]))
+                if (p := ab[0] << 32 | ab[1]) in merges]
         heapq.heapify(heap)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while heap:
-            _, new, i, a, b = heapq.heappop(heap)
+            found, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue
-            ids[i], ids[j], after[i] = new, -1, after[j]
+            ids[i], ids[j], after[i] = found & 0xFFFFFFFF, -1, after[j]
             if after[j] < n:
                 before[after[j]] = i
             for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < n and (pair := (ids[left], ids[right])) in merges:
-                    heapq.heappush(heap, (*merges[pair], left, *pair))
-        return np.array([i for i in ids if i >= 0], "<u4").tobytes()
+                if left >= 0 and right < n and (p := ids[left] << 32 | ids[right]) in merges:
+                    heapq.heappush(heap, (merges[p], left, ids[left], ids[right]))
+        return [i for i in ids if i >= 0]
+
+    def _learn(self, fragment: bytes) -> bytes:
+        found = self.merged(fragment)
+        self.held += len(fragment) + len(found) + _ENTRY
+        if self.held > _REMEMBER:
+            self.known.clear()
+            self.held = len(fragment) + len(found) + _ENTRY
+        self.known[fragment] = found
+        return found
 
     def ids(self, row: np.ndarray) -> bytes:
-        body, cuts, known = row.tobytes(), (2 * self.cuts(row)).tolist(), self.known
-        out = []
-        for a, b in zip(cuts, cuts[1:]):
-            fragment = body[a:b]
-            found = known.get(fragment)
-            if found is None:
-                found = self.merged(fragment)
-                self.held += len(fragment) + len(found) + _ENTRY
-                if self.held > _REMEMBER:
-                    known.clear()
-                    self.held = len(fragment) + len(found) + _ENTRY
-                known[fragment] = found
-            out.append(found)
+        body, cuts = row.tobytes(), (2 * self.cuts(row)).tolist()
+        fragments = [body[a:b] for a, b in zip(cuts, cuts[1:])]
+        out = list(map(self.known.get, fragments))
+        if None in out:
+            for i, found in enumerate(out):
+                if found is None:
+                    out[i] = self.known.get(fragments[i]) or self._learn(fragments[i])
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:

@@ -361,7 +361,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in sliced(batches):
             texts = [mask(t, fixed + added_spans(t, fixed, model)) if (fixed := base_spans(t)) else t
-                     for t in map(pa.Scalar.as_py, batch.column(place))]
+                     for t in (c.as_py() for c in batch.column(place))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, batch.column(place).type) if i == place else c
                  for i, c in enumerate(batch.columns)], names=batch.schema.names)
