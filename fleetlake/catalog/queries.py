@@ -14,7 +14,7 @@ from fleetlake.catalog import oracles as o
 from fleetlake.catalog.shapes import base, shape
 from fleetlake.functions import casting, text
 from fleetlake.operators import profiling, quality, scd2
-from fleetlake.plans import control, dims, facts, measures, timeintel, views
+from fleetlake.plans import control, dims, facts, lattice, measures, timeintel, views
 from fleetlake.plans.measures import Context, PERIODS
 from fleetlake.session import configure
 from fleetlake.sources import batch_sink, raw, store
@@ -1053,6 +1053,74 @@ def measures_by_driver_status_at_event(t):
     return _by_status(t, True)
 
 
+_ACTIVE = ["active_truck_count", "active_driver_count"]
+_ACTIVE_SQL = """count(DISTINCT truck_id) + coalesce(max((truck_id IS NULL)::BIGINT), 0) AS active_truck_count,
+  count(DISTINCT driver_id) + coalesce(max((driver_id IS NULL)::BIGINT), 0) AS active_driver_count FROM fact_trips"""
+
+
+@query(" UNION ALL ".join(f"SELECT '{level}' AS level, {period} AS period, {_ACTIVE_SQL} GROUP BY 2" for level, period in (
+    ("day", "dispatch_date"), ("month", "CAST(date_trunc('month', dispatch_date) AS DATE)"),
+    ("year", "CAST(date_trunc('year', dispatch_date) AS DATE)"), ("total", "CAST(NULL AS DATE)"))))
+def measures_distinct_rollup(t):
+    """Distinct trucks and drivers by day, month, year and in total from one stored table."""
+    return lattice.distinct_rollup(t.fact_trips, {"dim_truck": t.dim_truck, "dim_driver": t.dim_driver_two}, _ACTIVE)
+
+
+_LATTICE = ["total_revenue", "total_trips", "average_trip_distance", "active_truck_count", "total_fuel_expense",
+            "average_fuel_price", "revenue_per_mile"]
+_LATTICE_CONTEXTS = {
+    "make": Context(attributes={"make": ("dim_truck", "make")}),
+    "make_year": Context(periods={"year": PERIODS["year"]}, attributes={"make": ("dim_truck", "make")}),
+    "status_month": Context(periods={"month": PERIODS["month"]},
+                            attributes={"status": ("dim_driver", "employment_status")}),
+    "year": Context(periods={"year": PERIODS["year"]}),
+    "all": Context(),
+}
+_LATTICE_KEYS = {"make": ("make", "NULL", "NULL"), "make_year": ("make", "NULL", "year({d})"),
+                 "status_month": ("NULL", "employment_status", "month"), "year": ("NULL", "NULL", "year({d})"),
+                 "all": ("NULL", "NULL", "NULL")}
+
+
+def _lattice_sql(name: str) -> str:
+    make, status, when = _LATTICE_KEYS[name]
+    day = {"fact_trips": "dispatch_date", "fact_fuel_purchases": "purchase_date"}
+
+    def keys(fact):
+        year = when.format(d=day[fact]) if when.startswith("year") else "NULL"
+        month = f"date_trunc('month', {day[fact]})" if when == "month" else "NULL"
+        return (f"CAST({make} AS VARCHAR) AS make, CAST({status} AS VARCHAR) AS status, CAST({year} AS BIGINT) AS year, "
+                f"CAST({month} AS DATE) AS month")
+
+    def source(fact):
+        return (f"{fact} LEFT JOIN dim_truck USING (truck_id) LEFT JOIN "
+                "(SELECT driver_id, employment_status FROM dim_driver_two WHERE is_current) USING (driver_id)")
+
+    return f"""SELECT '{name}' AS context, make, status, year, month, max(total_revenue) AS total_revenue,
+  max(total_trips) AS total_trips, max(average_trip_distance) AS average_trip_distance,
+  max(active_truck_count) AS active_truck_count, max(total_fuel_expense) AS total_fuel_expense,
+  {o.ratio0('max(total_fuel_expense)', 'max(gallons)')} AS average_fuel_price,
+  {o.ratio0('max(total_revenue)', 'max(miles)')} AS revenue_per_mile FROM (
+SELECT {keys('fact_trips')}, sum(total_revenue) AS total_revenue, count(*) AS total_trips,
+  avg(actual_distance_miles) AS average_trip_distance, sum(actual_distance_miles) AS miles,
+  count(DISTINCT truck_id) + max((truck_id IS NULL)::BIGINT) AS active_truck_count,
+  NULL AS total_fuel_expense, NULL AS gallons FROM {source('fact_trips')} GROUP BY 1, 2, 3, 4
+UNION ALL
+SELECT {keys('fact_fuel_purchases')}, NULL, NULL, NULL, NULL, NULL, sum(total_cost), sum(gallons)
+FROM {source('fact_fuel_purchases')} GROUP BY 1, 2, 3, 4) GROUP BY 2, 3, 4, 5"""
+
+
+@query(" UNION ALL ".join(map(_lattice_sql, _LATTICE_CONTEXTS)), _measure_digits(_LATTICE))
+def measures_lattice(t):
+    """Five groupings of measures of two facts; each fact is scanned once."""
+    found = lattice.evaluate_many(
+        _LATTICE, _facts(t, _LATTICE), _LATTICE_CONTEXTS,
+        {"dim_truck": t.dim_truck, "dim_driver": t.dim_driver_two})
+    empty = {"make": "string", "status": "string", "year": "long", "month": "date"}
+    return reduce(DataFrame.unionByName, [
+        df.withColumns({k: F.lit(None).cast(kind) for k, kind in empty.items() if k not in df.columns})
+        .select(F.lit(name).alias("context"), *empty, *_LATTICE) for name, df in found.items()])
+
+
 _TOTALS = [n for f in ("financial", "fleet", "service", "safety") for n in measures.FOLDERS[f]]
 
 

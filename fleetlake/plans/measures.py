@@ -26,10 +26,13 @@ AUDIT, METRICS = "pipeline_audit", "data_quality_metrics"
 
 @dataclass(frozen=True)
 class Base:
-    """An aggregate over one fact. ``build`` makes the column when a session is there."""
+    """An aggregate over one fact. ``build`` makes the column when a session is there; ``kind``
+    says how it merges: by addition (sum), as sum and number (avg), as a set (values)."""
 
     fact: str
     build: Callable[[], Column]
+    kind: str = "sum"
+    column: str | None = None
 
 
 @dataclass(frozen=True)
@@ -45,7 +48,7 @@ def _sum(fact, column):
 
 
 def _avg(fact, column):
-    return Base(fact, lambda: F.avg(column))
+    return Base(fact, lambda: F.avg(column), "avg", column)
 
 
 def _rows(fact):
@@ -59,7 +62,7 @@ def _rows_where(fact, predicate: Callable[[], Column]):
 def _values(fact, column):
     """Distinct values, a blank counting as one."""
     return Base(fact, lambda: F.countDistinct(column)
-                + F.coalesce(F.max(F.col(column).isNull().cast("bigint")), F.lit(0)))
+                + F.coalesce(F.max(F.col(column).isNull().cast("bigint")), F.lit(0)), "values", column)
 
 
 def _ratio(a, b, scale: float = 1.0):
