@@ -12,6 +12,7 @@ too low a recall repeats the work with more overlap, then with exact comparison
 from __future__ import annotations
 
 import logging
+import math
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,11 @@ COSINE = 0.95
 # Bound of the sample that centroids are fitted on, and mean size of a shard where it suffices.
 SAMPLE_ROWS = 4096
 SHARD_ROWS = 1024
+# Centroids of one level. Where a table needs more, large shards are split again, each by centroids
+# fitted on a sample of its own, so shards stay near SHARD_ROWS at any size.
 MOST_SHARDS = 512
+# Vectors of a shard that one task sends to its parts.
+SPLIT_ROWS = 20_000
 # A shard with more vectors is cut into blocks; each pair of blocks is one task's work.
 BLOCK_ROWS = 2048
 OVERLAP = 2
@@ -42,6 +47,7 @@ AUDIT_ROWS = 256
 AUDIT_LINKED = 64
 MOST_AUDITED = 4096
 RECALL = 0.9
+# Cosines this near to the wanted one are summed again without rounding.
 _EDGE = 1e-12
 _log = logging.getLogger(__name__)
 
@@ -227,6 +233,16 @@ def range_search(base: np.ndarray, lists: np.ndarray, queries: np.ndarray, cosin
     return q[good], b[good], v[good]
 
 
+def reaching(x: np.ndarray, y: np.ndarray, q: np.ndarray, b: np.ndarray, value: np.ndarray,
+             cosine: float) -> np.ndarray:
+    """Which pairs (q of x, b of y) reach ``cosine``: near it by the exactly rounded sum of products,
+    which does not depend on the order of a matrix product."""
+    keep = value >= cosine
+    for i in np.flatnonzero(np.abs(value - cosine) <= _EDGE):
+        keep[i] = math.fsum((x[q[i]] * y[b[i]]).tolist()) >= cosine
+    return keep
+
+
 def _placed(nodes: DataFrame, centres: np.ndarray, overlap: int) -> DataFrame:
     """(node, unit, cluster): a row for each of the nearest ``overlap`` clusters."""
     def run(batches):
@@ -236,9 +252,51 @@ def _placed(nodes: DataFrame, centres: np.ndarray, overlap: int) -> DataFrame:
             near = np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :k]
             take = pa.array(np.repeat(np.arange(len(x)), k))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(near.ravel(), pa.int32())],
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(near.ravel(), pa.int64())],
                 names=["node", "unit", "cluster"])
-    return nodes.mapInArrow(run, "node long, unit array<double>, cluster int")
+    return nodes.mapInArrow(run, "node long, unit array<double>, cluster long")
+
+
+def _split(placed: DataFrame, overlap: int, shard_rows: int) -> DataFrame:
+    """(node, unit, cluster) with every cluster above 2 * ``shard_rows`` split into up to MOST_SHARDS
+    parts, a vector going to the nearest ``overlap`` of them.
+
+    Centroids of a cluster are fitted in one task, on a sample of about SAMPLE_ROWS of its vectors.
+    They meet the vectors in pieces of about SPLIT_ROWS, so no task gets a whole cluster.
+    """
+    most = MOST_SHARDS
+    sizes = materialised(placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")), "graph-sizes")
+    large = sizes.where(F.col("size") > 2 * shard_rows).withColumn(
+        "pieces", F.ceil(F.col("size") / SPLIT_ROWS).cast("int"))
+    picked = placed.join(large, "cluster").where(
+        F.pmod(F.xxhash64("node", "cluster"), F.lit(1 << 30)) < F.least(
+            F.lit(1.0), F.lit(float(SAMPLE_ROWS)) / F.col("size")) * (1 << 30))
+
+    def fitted(group: pd.DataFrame) -> pd.DataFrame:
+        sample = _matrix(group["unit"])
+        k = int(np.clip(group["size"].iloc[0] // shard_rows, 2, min(most, max(len(sample), 2))))
+        return pd.DataFrame({"cluster": group["cluster"].iloc[:1], "pieces": group["pieces"].iloc[:1],
+                             "centres": [centroids(sample, k).tolist()]})
+
+    centres = materialised(picked.groupBy("cluster").applyInPandas(
+        fitted, "cluster long, pieces int, centres array<array<double>>"), "graph-centres")
+    asked = centres.select("cluster", "centres", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
+    rows = placed.join(centres.select("cluster", "pieces"), "cluster").withColumn(
+        "piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")).select("node", "unit", "cluster", "piece")
+
+    def sent(vectors: pd.DataFrame, of: pd.DataFrame) -> pd.DataFrame:
+        if not len(vectors):
+            return pd.DataFrame({"node": [], "unit": [], "cluster": []})
+        middle = np.array([list(map(float, c)) for c in of["centres"].iloc[0]])
+        k = min(overlap, len(middle))
+        near = np.argsort(-(_matrix(vectors["unit"]) @ middle.T), axis=1, kind="stable")[:, :k]
+        again = vectors.loc[vectors.index.repeat(k)]
+        return pd.DataFrame({"node": again["node"].to_numpy(), "unit": again["unit"].to_numpy(),
+                             "cluster": (again["cluster"].to_numpy() + 1) * most + near.ravel()})
+
+    parts = rows.groupBy("cluster", "piece").cogroup(asked.groupBy("cluster", "piece")).applyInPandas(
+        sent, "node long, unit array<double>, cluster long")
+    return placed.join(centres.select("cluster"), "cluster", "left_anti").select("node", "unit", "cluster").union(parts)
 
 
 def _graph(block: pd.DataFrame) -> pd.DataFrame:
@@ -255,16 +313,21 @@ def _found(cosine: float, exact: bool):
             return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
         node, other = base["node"].to_numpy(), asked["node"].to_numpy()
         if exact:
-            q, b = np.nonzero(_matrix(asked["unit"]) @ _matrix(base["unit"]).T >= cosine - _EDGE)
-            return pairs(other[q], node[b])
+            x, y = _matrix(asked["unit"]), _matrix(base["unit"])
+            value = x @ y.T
+            q, b = np.nonzero(value >= cosine - _EDGE)
+            keep = reaching(x, y, q, b, value[q, b], cosine)
+            return pairs(other[q[keep]], node[b[keep]])
         local = {v: i for i, v in enumerate(node.tolist())}
         near = [[local[v] for v in x if v in local] for x in base["near"].tolist()]
         lists = np.full((len(node), max(1, max(map(len, near)))), -1)
         for i, x in enumerate(near):
             lists[i, :len(x)] = x
         own = np.array([local.get(v, -1) for v in other.tolist()])
-        q, b, _ = range_search(_matrix(base["unit"]), lists, _matrix(asked["unit"]), cosine - _EDGE, own)
-        return pairs(other[q], node[b])
+        x, y = _matrix(asked["unit"]), _matrix(base["unit"])
+        q, b, value = range_search(y, lists, x, cosine - _EDGE, own)
+        keep = reaching(x, y, q, b, value, cosine)
+        return pairs(other[q[keep]], node[b[keep]])
 
     def pairs(x, y):
         both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y], axis=0)
@@ -289,9 +352,12 @@ def search_links(nodes: DataFrame, cosine: float = COSINE, overlap: int = OVERLA
         sample = _matrix(nodes.limit(1).toPandas()["unit"])
     k = int(np.clip(n // shard_rows, 1, min(MOST_SHARDS, len(sample))))
     placed = materialised(_placed(nodes, centroids(sample, k), overlap), "graph-shards")
-    # At most MOST_SHARDS rows.
+    reach = k * shard_rows
+    while reach * 2 < n:
+        placed = materialised(_split(placed, overlap, shard_rows), "graph-shards")
+        reach *= MOST_SHARDS
     blocks = placed.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
-    placed = placed.join(F.broadcast(blocks), "cluster").withColumn(
+    placed = placed.join(blocks, "cluster").withColumn(
         "block", F.pmod(F.xxhash64("node", "cluster"), F.col("blocks")).cast("int"))
     lists = None if exact else (placed.groupBy("cluster", "block").applyInPandas(_graph, "node long, near array<long>")
              .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))

@@ -62,6 +62,54 @@ def test_clusters_and_blocks_reach_all_links(spark, monkeypatch):
     assert [r[2] for r in found] == [r[2] for r in true]
 
 
+def planted(load, sizes=(2, 3, 5, 40, 250)):
+    """The test table with groups of near copies of its vectors planted in it."""
+    draw = np.random.default_rng(9)
+    rows = [(r["vec_id"], r["embedding"]) for r in load("embeddings").collect()]
+    spread = np.linalg.norm(rows[0][1]) / 64 ** 0.5
+    for g_, size in enumerate(sizes):
+        middle = np.array(rows[g_ * 7][1])
+        rows += [(100_000 * (g_ + 1) + i, np.float32(middle + 0.15 * spread * draw.normal(size=64)).astype(float).tolist())
+                 for i in range(size)]
+    return rows
+
+
+def test_links_planted_in_the_table_over_several_blocks(spark, load, monkeypatch):
+    rows = planted(load)
+    monkeypatch.setattr(g.search_links, "__defaults__", (g.COSINE, g.OVERLAP, 100, 90))
+    found, true = got(frame(spark, rows)), brute(rows)
+    assert [r[2] for r in found] == [r[2] for r in true] and sum(r[1] > 0 for r in true) > 300
+    assert sum(r[1] for r in found) >= 0.97 * sum(r[1] for r in true)
+    assert all(a[1] <= b[1] for a, b in zip(found, true))
+
+
+def test_large_shards_are_split_again(spark, load, monkeypatch):
+    rows = planted(load)
+    monkeypatch.setattr(g, "MOST_SHARDS", 3)
+    monkeypatch.setattr(g, "SPLIT_ROWS", 70)
+    nodes = g.materialised(spark.createDataFrame(
+        [(i, (np.array(v) / np.linalg.norm(v)).tolist()) for i, (_, v) in enumerate(rows)],
+        "node long, unit array<double>"), "nodes")
+    first = g.materialised(g._placed(nodes, np.eye(64)[:1], 1), "shards")
+    parts = g._split(first, 2, 60)
+    assert parts.count() == 2 * len(rows) and parts.groupBy("node").count().where("count <> 2").isEmpty()
+    assert parts.select("cluster").distinct().count() == 3
+    again = g._split(g.materialised(parts, "shards"), 2, 60)
+    assert again.select("cluster").distinct().count() > 3
+    unit = np.array([np.array(v) / np.linalg.norm(v) for _, v in rows])
+    true = {(i, j) for i, j in zip(*np.nonzero(unit @ unit.T >= g.COSINE)) if i < j}
+    links = {(r["a"], r["b"]) for r in g.search_links(nodes, g.COSINE, 2, 40, 90).collect()}
+    assert links <= true and len(links) >= 0.9 * len(true)
+
+
+def test_pairs_just_below_the_cosine_do_not_link():
+    x = np.array([[1.0, 0.0]])
+    just = [0.95 - 1e-14, 0.95, 0.95 + 1e-14]
+    y = np.array([[c, (1 - c * c) ** 0.5] for c in just])
+    value = np.full(3, 0.95 + 1e-13)  # as if rounding had lifted them all
+    assert g.reaching(x, y, np.zeros(3, int), np.arange(3), value, 0.95).tolist() == [False, True, True]
+
+
 def test_search_reaches_what_brute_force_finds():
     draw = np.random.default_rng(4)
     x = draw.normal(size=(600, 24))
