@@ -25,10 +25,15 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
            "em", "font", "i", "img", "ins", "kbd", "label", "mark", "nobr", "q", "rp", "rt", "ruby",
            "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
-           "wbr", "br"}
+           "wbr", "br",
+           "math", "mi", "mn", "mo", "ms", "mrow", "mtext", "mspace", "msup", "msub", "msubsup", "mfrac", "msqrt",
+           "mroot", "mover", "munder", "munderover", "mstyle", "mfenced", "semantics", "annotation", "annotation-xml"}
 _LEFT_OUT = {"script", "style", "noscript", "template", "head", "title", "nav", "footer", "aside",
-             "form", "button", "select", "option", "textarea", "iframe", "svg", "math", "canvas",
-             "object", "audio", "video", "dialog", "menu", "fieldset", "datalist"}
+             "form", "button", "select", "option", "textarea", "iframe", "svg", "canvas",
+             "object", "audio", "video", "dialog", "menu", "datalist", "annotation", "annotation-xml"}
+# Of these, the ones that broken or old markup puts around whole articles: when they took most of a
+# page, it is read again and they are weighed like parts of a doubtful name.
+_WEIGHED = {"form", "noscript", "nav", "aside", "footer"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "dialog", "alertdialog", "alert",
           "search", "menu", "menubar", "form", "toolbar"}
 # Words that name parts beside the article, in class or id; compared with whole words of them. The
@@ -74,8 +79,8 @@ _LOST_CHARS = 500
 _LOST_TIMES = 3
 
 
-def _left_out(tag: str, attrs: dict, inside_article: bool) -> bool:
-    if tag in _LEFT_OUT or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
+def _left_out(tag: str, attrs: dict, inside_article: bool, weighing: bool) -> bool:
+    if tag in _LEFT_OUT and not (weighing and tag in _WEIGHED) or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
         return True
     if tag == "header" and not inside_article:
         return True
@@ -101,8 +106,12 @@ def _level(names: str | None) -> int:
     return level
 
 
-def _named(tag: str, attrs: dict) -> tuple[int, bool]:
+def _named(tag: str, attrs: dict, weighing: bool) -> tuple[int, bool]:
     """Level of an element, and whether it is a section that only its id names."""
+    if tag == "fieldset":  # of a form, or a box of prose
+        return max(1, _level(attrs.get("class")), _level(attrs.get("id"))), False
+    if weighing and tag in _WEIGHED:
+        return 2, False
     if tag in ("html", "body", "main", "h1", "h2", "h3", "h4", "h5", "h6") or tag in _INLINE:
         return 0, False
     by_class = _level(attrs.get("class"))
@@ -117,8 +126,10 @@ def _named(tag: str, attrs: dict) -> tuple[int, bool]:
 class _Page(HTMLParser):
     """Elements in page order (parent, tag, points) and blocks of text with their element."""
 
-    def __init__(self):
+    def __init__(self, weighing: bool = False):
         super().__init__(convert_charrefs=True)
+        self.weighing = weighing
+        self.lost = 0  # characters in parts that a second reading would weigh
         self.parent, self.tag, self.points = [-1], ["#root"], [0.0]
         self.name = [""]  # class
         self.named: dict[int, tuple[int, bool, bool]] = {}  # level, section by id, inside an article
@@ -147,9 +158,9 @@ class _Page(HTMLParser):
         self.points.append(_TAG_POINTS.get(tag, 0) + 10 * any(map(_ARTICLE.match, named)))
         self.open.append(node)
         self.links += tag == "a"
-        if self.out is None and _left_out(tag, attrs, self.articles > 0):
+        if self.out is None and _left_out(tag, attrs, self.articles > 0, self.weighing):
             self.out = len(self.open)
-        level, by_id = _named(tag, attrs)
+        level, by_id = _named(tag, attrs, self.weighing)
         if level:
             self.named[node] = level, by_id, self.articles + self.mains > 0
         self.articles += tag == "article"
@@ -190,7 +201,6 @@ class _Page(HTMLParser):
             self.mains -= name == "main"
             if self.out is not None and len(self.open) < self.out:
                 self.out = None
-                self.text = []
 
     def handle_endtag(self, tag):
         if tag in _VOID:
@@ -209,9 +219,13 @@ class _Page(HTMLParser):
         if self.out is None:
             self.text.append(data)
             self.link_chars += len(data.strip()) if self.links else 0
+        elif self.tag[self.open[self.out - 1]] in _WEIGHED and self.tag[self.open[-1]] not in ("script", "style"):
+            self.lost += len(data.strip())
 
     def flush(self):
-        if self.out is None and self.text:
+        if self.out is not None:
+            return  # what was read before an inline part that is left out goes on after it
+        if self.text:
             text = " ".join("".join(self.text).split())
             if text:
                 at = len(self.open) - 1
@@ -223,11 +237,27 @@ class _Page(HTMLParser):
 
 def main_text(html: str | None) -> str:
     """The article's blocks, white space folded, joined by two line feeds; empty if none."""
-    page = _Page()
     # A tag that the end of the page cuts off is no text.
-    page.feed(_CUT_TAG.sub("", html or ""))
+    body = _CUT_TAG.sub("", html or "")
+    page = _read(body, False)
+    text = _weighed_text(page)
+    prose = min(len(text), sum(len(b[1]) for b in page.blocks if _prose(b)))
+    if page.lost >= (_LOST_CHARS if prose >= _MUCH_PROSE else _MUCH_PROSE) and page.lost > _LOST_TIMES * prose:
+        again = _weighed_text(_read(body, True))
+        text = again if len(again) > prose else text
+    return text
+
+
+def _read(body: str, weighing: bool) -> _Page:
+    page = _Page(weighing)
+    page.feed(body)
     page.close()
+    page.out = None if page.out is not None and page.tag[page.open[page.out - 1]] in _INLINE else page.out
     page.flush()
+    return page
+
+
+def _weighed_text(page: _Page) -> str:
     if not page.blocks:
         return ""
     if not page.named:

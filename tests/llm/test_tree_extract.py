@@ -92,3 +92,60 @@ def test_edges(spark):
         ("1", 0, ""), ("2", 0, ""), ("3", 1, "<"), ("4", 10, "plain text"), ("4", 10, "plain text"), ("5", 4, "deep"),
         ("6", 3000 * 78 - 2, "First para"), ("7", 3, "cut"), ("8", 0, ""), ("None", 4, "a\n\nb")]
     assert t.extract(df.limit(0)).count() == 0
+
+
+STORY = ["The harbour was quiet, and the boats lay still, until the first bell rang over the water at dawn.",
+         "Nobody had expected the survey to take a whole year, yet the notes filled eleven boxes by the end.",
+         "When the rain stopped, the children ran to the bridge, counted the barges, and went home again."]
+
+
+def paragraphs(n=3):
+    return "".join(f"<p>{p}</p>" for p in STORY[:n])
+
+
+def test_no_page_is_lost_whole():
+    body, whole = paragraphs(), "\n\n".join(STORY)
+    menu = "".join(f'<a href="/{i}">Section {i}</a>' for i in range(9))
+    assert t.main_text(f'<form id="aspnetForm"><div class="content">{body}</div><input></form>') == whole
+    assert t.main_text(f"<body><noscript><div>{body}</div></noscript></body>") == whole
+    assert t.main_text(f"<body><nav>{menu}<div>{body}</div></body>") == whole  # the menu is never closed
+    assert t.main_text(f"<body><aside><div>{body}</div></body>") == whole
+    # The same parts beside an article stay out.
+    beside = (f"<nav>{menu}</nav><aside><p>Read this too, it is long enough to look like prose of its own.</p></aside>"
+              "<noscript><p>Please switch on scripts to see the pictures of this page in full.</p></noscript>"
+              "<form><p>Leave your address and we will write to you once a week, no more.</p></form>")
+    assert t.main_text(f"<body>{beside}<div>{body}</div></body>") == whole
+    assert t.main_text(f"<body>{beside}<article>{body}</article></body>") == whole
+
+
+def test_a_fieldset_is_judged_by_its_prose():
+    box = f"<fieldset><legend>Background</legend>{paragraphs(2)}</fieldset>"
+    text = t.main_text(f"<article><p>{STORY[2]}</p>{box}</article>")
+    assert all(p in text for p in STORY)
+    form = "<fieldset><label>Name</label><input><label>Mail</label></fieldset>"
+    assert t.main_text(f"<article>{paragraphs()}{form}</article>") == "\n\n".join(STORY)
+
+
+def test_formulas_and_left_out_words_keep_the_sentence_whole():
+    formula = ("<math><mrow><msup><mi>x</mi><mn>2</mn></msup><mo>+</mo><mi>y</mi></mrow>"
+               "<annotation>x^2+y</annotation></math>")
+    text = t.main_text(f"<article>{paragraphs()}<p>We minimise {formula} over all boats, as before.</p></article>")
+    assert text.endswith("We minimise x2+y over all boats, as before.")
+    text = t.main_text(f'<article>{paragraphs()}<p>Before <span class="ad">Buy now</span> and after.</p></article>')
+    assert text.endswith("Before and after.")
+
+
+def test_pages_without_article_elements(spark):
+    """Generated pages whose only hint is how the text stands; truth by block."""
+    import random
+    draw, pages, truth = random.Random(4), [], {}
+    for i in range(60):
+        blocks = [f"{draw.choice(STORY)} Part {i}-{k}, told in full." for k in range(draw.randrange(3, 9))]
+        wrap = draw.choice(['<div class="wrap"><div class="inner">{}</div></div>', "<div>{}</div>",
+                            '<form id="f"><div>{}</div></form>', "<table><tr><td>{}</td></tr></table>"])
+        menu = "".join(f'<li><a href="/{k}">Menu entry number {k}</a></li>' for k in range(12))
+        foot = "<div class='footer'><p>All rights are with the owners of these pages, as ever.</p></div>"
+        pages.append((i, "u", f"<html><body><ul>{menu}</ul>{wrap.format(''.join(f'<p>{b}</p>' for b in blocks))}{foot}"))
+        truth[i] = "\n\n".join(blocks)
+    got = {r["page_id"]: r["text"] for r in t.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == truth
