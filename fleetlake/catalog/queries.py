@@ -7,7 +7,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from fleetlake import registry
 from fleetlake.catalog import oracles as o
@@ -456,6 +456,14 @@ def dq_quarantine(t):
         "load_id", "_record_pk", "_rejection_rule", "_rejection_reason", "_batch_id")
 
 
+@query(f"""SELECT driver_id, _rejection_rule FROM ({o.annotated(
+    '(SELECT * REPLACE (CAST(NULL AS VARCHAR) AS termination_date) FROM raw_drivers)', 'drivers')}) a""")
+def dq_absent_column(t):
+    """Rules on a column that is not there, plain or in an expression, are skipped."""
+    return quality.annotate_table(t.raw_drivers.drop("termination_date"), "drivers").select(
+        "driver_id", "_rejection_rule")
+
+
 def _dq_metrics(t) -> DataFrame:
     return reduce(DataFrame.unionByName, [
         quality.table_metrics(quality.annotate_table(getattr(t, source), table), table)
@@ -1223,6 +1231,24 @@ def driver_at_event(t):
         "driver_name": "full_name", "driver_status": "employment_status", "driver_sk": "driver_sk"})
 
 
+@query("""SELECT f.trip_id, f.truck_id, f.dispatch_date, v.version, v.odometer FROM fact_trips f ASOF LEFT JOIN (
+  SELECT 'TRK-' || CAST(l_partkey % 7 AS VARCHAR) AS truck_id, CAST(l_shipdate AS DATE) AS valid_from,
+    count(*) AS version, max(l_orderkey) AS odometer FROM lineitem GROUP BY 1, 2) v
+ON 'TRK-' || CAST(CAST(f.truck_id[5:] AS BIGINT) % 7 AS VARCHAR) = v.truck_id AND f.dispatch_date >= v.valid_from""")
+def driver_at_event_long_history(t):
+    """Seven keys with hundreds of versions each, and every trip on one of them."""
+    versions = (base(t.spark, t.sf_dir, "lineitem").groupBy(
+        F.concat(F.lit("TRK-"), (F.col("l_partkey") % 7).cast("string")).alias("model"),
+        F.col("l_shipdate").cast("date").alias("valid_from"))
+        .agg(F.count(F.lit(1)).alias("version"), F.max("l_orderkey").alias("odometer")))
+    follows = Window.partitionBy("model").orderBy("valid_from")
+    history = versions.withColumn("valid_to", F.lead("valid_from").over(follows))
+    trips = t.fact_trips.select("trip_id", "truck_id", "dispatch_date", F.concat(
+        F.lit("TRK-"), (F.substring("truck_id", 5, 20).cast("long") % 7).cast("string")).alias("model"))
+    return scd2.version_at_ranges(trips, history, "model", "dispatch_date",
+                                  {"version": "version", "odometer": "odometer"}).drop("model")
+
+
 # ================================================================== I profiling
 _PROFILED = ("loads", "trips", "delivery_events", "customers", "fuel_purchases")
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlake import registry
 from fleetlake.functions import casting, text
-from fleetlake.operators.joins import lookup_join
+from fleetlake.operators.joins import is_small, lookup_join
 from fleetlake.registry import Rule
+from fleetlake.sources.scratch import materialised
 
 PK_RULE = "pk_uniqueness"
 REJECTION_COLUMNS = ("_record_pk", "_rejection_rule", "_rejection_reason", "_rejected_at")
@@ -47,6 +49,24 @@ def active_rules(rules: Iterable[Rule], columns: list[str], severity: str = "ERR
             and (r.kind == "sql_expression" or r.column in columns)]
 
 
+def resolvable(df: DataFrame, rules: list[Rule], columns: tuple[registry.Column, ...]) -> list[Rule]:
+    """``rules`` without the SQL rules that name a column ``df`` does not have. Spark's own analysis
+    tells; any other fault of an expression stays an error."""
+    declared = {c.name: c for c in columns}
+    typed = df.limit(0).select(*[
+        (casting.cast_column(F.col(n), declared[n]) if n in declared else F.col(n)).alias(n) for n in df.columns])
+
+    def known(rule: Rule) -> bool:
+        try:
+            return bool(typed.select(F.expr(rule.expression)).columns)
+        except AnalysisException as error:
+            if str(error.getCondition()).startswith("UNRESOLVED_COLUMN"):
+                return False
+            raise
+
+    return [r for r in rules if r.kind != "sql_expression" or known(r)]
+
+
 def _flag(rule: Rule) -> str:
     return f"_fails_{rule.id}"
 
@@ -84,9 +104,13 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
 def mark_duplicates(df: DataFrame, key: list[str], duplicates: DataFrame | None = None) -> DataFrame:
     """Add ``_duplicate``: true on every row of a key that occurs twice or more.
 
-    Null keys equal each other. No window: a window would gather a whole group in a task.
+    Null keys equal each other. No window: a window would gather a whole group in a task. Duplicate
+    keys are few, but a plan sizes them like the table they are counted from. Where that is large they
+    are written first, so that the join knows their real size and wide rows are not shuffled.
     """
     found = duplicate_keys(df, key) if duplicates is None else duplicates
+    if duplicates is None and not is_small(found):
+        found = materialised(found, "duplicate-keys")
     joined = lookup_join(df, found, on=key, how="left", null_safe=True)
     return joined.withColumn("_duplicate", F.coalesce("_duplicate", F.lit(False)))
 
@@ -104,7 +128,7 @@ def annotate(
     Order: key uniqueness, then the rules as listed. Both are null on a valid row.
     """
     raw = df.columns
-    rules = active_rules(rules, raw)
+    rules = resolvable(df, active_rules(rules, raw), columns)
     checks: list[tuple[str, str, str]] = []
     work = with_failure_flags(df, rules, columns)
     if key and all(k in raw for k in key):
@@ -134,12 +158,15 @@ def valid_rows(annotated: DataFrame) -> DataFrame:
 
 def quarantined_rows(annotated: DataFrame, key: list[str], batch_id: str,
                      rejected_at: Column | None = None) -> DataFrame:
-    """Failing rows with their key text, rule, reason, time and the batch that rejected them."""
+    """Failing rows with their key text, rule, reason, time and the batch that rejected them. Key
+    columns that are not there are left out of the key text."""
     raw = [c for c in annotated.columns
            if c not in ("_rejection_rule", "_rejection_reason", "_batch_id")]
+    there = [k for k in key if k in raw]
+    record = text.record_key(there) if there else F.lit(None).cast("string")
     when = F.current_timestamp() if rejected_at is None else rejected_at
     return annotated.where(F.col("_rejection_rule").isNotNull()).select(
-        *raw, text.record_key(key).alias("_record_pk"), "_rejection_rule", "_rejection_reason",
+        *raw, record.alias("_record_pk"), "_rejection_rule", "_rejection_reason",
         when.alias("_rejected_at"), F.lit(batch_id).alias("_batch_id"))
 
 

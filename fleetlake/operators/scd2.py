@@ -7,7 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetlake.operators.joins import lookup_join
+from fleetlake.operators.asof import last_before
+from fleetlake.operators.joins import is_small, lookup_join
 from fleetlake.operators.surrogate import dense_key
 from fleetlake.sources.scratch import materialised
 
@@ -106,8 +107,11 @@ def version_at(fact: DataFrame, dim: DataFrame, key: str, date_column: str,
     """Attributes of the dimension version valid on the date of each fact row.
 
     Intervals are half open (valid_from <= d < valid_to), so a change day has one match.
-    ``attributes`` maps output name to dimension column.
+    ``attributes`` maps output name to dimension column. A dimension too large to broadcast is met
+    range by range, so long histories and hot keys do not multiply.
     """
+    if not is_small(dim.select(key, "valid_from", "valid_to", *dict.fromkeys(attributes.values())), limit):
+        return version_at_ranges(fact, dim, key, date_column, attributes)
     lookup = dim.select(
         F.col(key), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"),
         *[F.col(source).alias(name) for name, source in attributes.items()])
@@ -117,6 +121,18 @@ def version_at(fact: DataFrame, dim: DataFrame, key: str, date_column: str,
                        limit=limit).drop("_from", "_to")
 
 
+def version_at_ranges(fact: DataFrame, dim: DataFrame, key: str, date_column: str,
+                      attributes: dict[str, str]) -> DataFrame:
+    """``version_at`` for histories with many versions per key: each fact row meets one version, and a
+    key that holds most rows is cut into ranges. Versions that hold no day are never valid."""
+    held = dim.where(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
+    versions = held.select(F.col(key), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"),
+                           *[F.col(source).alias(f"_a_{name}") for name, source in attributes.items()])
+    found = last_before(fact, versions, key, date_column, "_from", ["_to", *[f"_a_{n}" for n in attributes]])
+    valid = F.col("_to").isNull() | (F.col(date_column).cast("date") < F.col("_to"))
+    return found.select(*fact.columns, *[F.when(valid, F.col(f"_a_{n}")).alias(n) for n in attributes])
+
+
 def type1_upsert(existing: DataFrame, incoming: DataFrame, key: str, sk: str) -> DataFrame:
     """Overwrite attributes of known keys, append new ones, keep keys absent from the batch."""
     columns = existing.columns

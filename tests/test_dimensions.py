@@ -132,6 +132,36 @@ def test_repeated_incoming_keys_count_once(spark):
     assert merged.count() == 2 and scd2.current_rows(merged).count() == 1
 
 
+def test_long_histories_and_hot_keys_meet_range_by_range(spark):
+    import random
+    draw = random.Random(3)
+    start = D(2020, 1, 1)
+    spans, dim = {}, []
+    for key, n in (("hot", 300), ("b", 5), ("gap", 2), ("z", 1)):
+        days = sorted(draw.sample(range(900), n))
+        spans[key] = [(start + datetime.timedelta(a), start + datetime.timedelta(b) if b is not None else None, i)
+                      for i, (a, b) in enumerate(zip(days, [*days[1:], None]))]
+        if key == "gap":
+            spans[key][1] = (*spans[key][1][:1], spans[key][1][0] + datetime.timedelta(3), 1)
+        dim += [(key, a, b, i) for a, b, i in spans[key]]
+    dim.append(("b", spans["b"][1][0], spans["b"][1][0], 99))  # replaced on its own day
+    versions = spark.createDataFrame(dim, "k string, valid_from date, valid_to date, v long")
+    facts = [(i, draw.choice(["hot"] * 20 + ["b", "gap", "z", "none", None]),
+              draw.choice([None] + [start + datetime.timedelta(d) for d in range(-20, 1000)])) for i in range(3000)]
+    df = spark.createDataFrame(facts + facts[:5], "id long, k string, d date")
+
+    def truth(k, d):
+        return next((i for a, b, i in spans.get(k, []) if d and a <= d and (b is None or d < b)), None)
+
+    found = scd2.version_at(df, versions, "k", "d", {"version": "v"}, limit=0)
+    got = found.collect()
+    assert found.columns == ["id", "k", "d", "version"] and len(got) == 3005
+    assert all(r.version == truth(r.k, r.d) for r in got) and sum(r.version is not None for r in got) > 2000
+    assert scd2.version_at(df.limit(0), versions, "k", "d", {"version": "v"}, limit=0).count() == 0
+    none = scd2.version_at(df, versions.limit(0), "k", "d", {"version": "v"}, limit=0)
+    assert none.where("version is not null").isEmpty() and none.count() == 3005
+
+
 def test_type1_upsert(spark):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "sk bigint, k string, v string")
     new = spark.createDataFrame([("b", None), ("c", "z")], "k string, v string")

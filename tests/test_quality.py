@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlake import registry
-from fleetlake.operators import quality
+from fleetlake.operators import joins, quality
 from fleetlake.registry import Rule
 
 CUSTOMER = dict(customer_id="C1", customer_name="A", customer_type="Spot", credit_terms_days="30",
@@ -113,3 +113,24 @@ def test_quarantine_can_be_off(spark):
     df = rows(spark, "customers", CUSTOMER, {}, {"customer_id": None})
     valid, rejected = quality.evaluate_table(df, "customers", "b", quarantine=False)
     assert valid.count() == 2 and rejected.isEmpty()
+
+
+def test_absent_columns_and_key_parts(spark):
+    rows = spark.createDataFrame([("E1", None, "2022-01-02"), ("E1", None, "x")],
+                                 "event_id string, load_id string, scheduled_datetime string")
+    found = quality.annotate_table(rows, "delivery_events")  # its expression rules name columns that are not there
+    assert found.where("_rejection_rule = 'pk_uniqueness'").count() == 2
+    rejected = quality.quarantined_rows(found, ["event_id", "absent"], "b1").first()
+    assert rejected["_record_pk"] == "E1"
+    assert quality.quarantined_rows(found, ["absent"], "b1").first()["_record_pk"] is None
+
+
+def test_duplicate_keys_of_a_large_table_are_written_first(spark, tmp_path, monkeypatch):
+    spark.range(3000).select((F.col("id") % 2990).cast("string").alias("customer_id"),
+                             F.lit("x").alias("customer_name")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(joins, "BROADCAST_LIMIT_BYTES", 2000)
+    marked = quality.mark_duplicates(df, ["customer_id"])
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert marked.where("_duplicate").count() == 20

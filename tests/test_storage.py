@@ -206,3 +206,17 @@ def test_arrivals_are_read_once(spark, tmp_path):
     write(f"{landing}/b2/loads_b2.csv", f"{header}\n{line(3)}\n")
     run()
     assert [r[0] for r in read()] == ["L1", "L2", "L3"]
+
+
+def test_arriving_lines_that_do_not_fit_are_set_aside(spark, tmp_path):
+    head = registry.table("routes").column_names
+    good = ",".join(f"v{i}" for i in range(len(head)))
+    landing, bronze, aside, check = (str(tmp_path / n) for n in ("landing", "bronze", "aside", "check"))
+    write(f"{landing}/b1/routes_b1.csv", "\n".join([",".join(head), good, good + ",extra", "only", good]) + "\n")
+    for _ in range(2):
+        arrivals.ingest_arrivals(spark, landing, bronze, check, "routes").awaitTermination()
+        arrivals.ingest_malformed(spark, landing, aside, check, "routes").awaitTermination()
+    assert store.read_table(spark, bronze, "routes").count() == 2
+    bad = store.read_table(spark, aside, "routes").collect()
+    assert sorted(r[raw.MALFORMED] for r in bad) == sorted([good + ",extra", "only"])
+    assert {(r["batch_id"], r["_source_file"]) for r in bad} == {("b1", "routes_b1.csv")}
