@@ -620,6 +620,13 @@ def _register_facts():
 _register_facts()
 
 
+@query("SELECT * FROM fact_trips")
+def fact_trips_bucketed(t):
+    """Trips and loads at rest in equal buckets of the load: the join shuffles nothing."""
+    trips, loads = (store.write_bucketed(df, t.folder("buckets"), ["load_id"], 8) for df in (t.trips, t.loads))
+    return facts.fact_trips_bucketed(trips, loads, BATCH)
+
+
 # ========================================================== F control and audit
 def _control_log(t) -> DataFrame:
     return t.batch_control
@@ -1302,6 +1309,52 @@ def profile_types(t):
     return profiling.inferred_types(t.delivery_events)
 
 
+_SHARES = {"boolean": "lower({c}) IN ('true', 'false')", "integer": "regexp_full_match({c}, '[+-]?[0-9]+')",
+           "number": f"regexp_full_match(trim({{c}}), '{o.NUMBER}')",
+           "date": "regexp_full_match({c}, '\\d{{4}}-\\d{{2}}-\\d{{2}}')",
+           "timestamp": "regexp_full_match({c}, '\\d{{4}}-\\d{{2}}-\\d{{2}} \\d{{2}}:\\d{{2}}:\\d{{2}}(\\.\\d{{1,6}})?')"}
+
+
+def _share_sql(c: str) -> str:
+    tests = {k: t.format(c=c) for k, t in _SHARES.items()}
+    pick = lambda value, rest: "CASE " + " ".join(
+        f"WHEN count(*) FILTER ({t}) >= count(*) * 0.9 THEN {value(k, t)}" for k, t in tests.items()) + f" ELSE {rest} END"
+    return f"""SELECT '{c}' AS column_name, count(*) AS "values", {', '.join(
+        f'round(count(*) FILTER ({t}) / count(*)::DOUBLE, 6) AS {k}_share' for k, t in tests.items())},
+  {pick(lambda k, t: f"'{k}'", "'text'")} AS dominant_type,
+  {pick(lambda k, t: f'count(*) - count(*) FILTER ({t})', '0')}::BIGINT AS outlier_rows,
+  {pick(lambda k, t: f'count(DISTINCT {c}) - count(DISTINCT {c}) FILTER ({t})', '0')}::BIGINT AS outlier_values
+FROM raw_loads WHERE {c} IS NOT NULL"""
+
+
+@query(" UNION ALL ".join(map(_share_sql, _raw_columns("loads"))))
+def profile_types_share(t):
+    """Types of a dirty raw table by the share of values they read."""
+    return profiling.type_shares(t.raw_loads)
+
+
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+  min(CAST({c} AS VARCHAR)) AS least, max(CAST({c} AS VARCHAR)) AS greatest, TRUE AS distinct_in_error,
+  TRUE AS median_in_error FROM loads""" for c in ("load_id", "customer_id", "weight_lbs", "load_status")))
+def profile_sketches_merged(t):
+    """One profile from the stored states of all batches; estimates against exact values."""
+    columns = ["load_id", "customer_id", "weight_lbs", "load_status"]
+    rows = t.loads.select(F.year("load_date").alias("year"), *columns)
+    states = materialised(profiling.sketched(rows, "year", ["weight_lbs"]), "profile-states")
+    found = profiling.merged_profile(states)
+    exact = profiling.column_profile(rows.select(*columns)).select("column_name", F.col("unique_values").alias("u"))
+    # The share of values below the estimated median, and up to it, encloses one half.
+    median = found.where("column_name = 'weight_lbs'").select("q50")
+    place = rows.crossJoin(F.broadcast(median)).where("weight_lbs is not null").agg(
+        F.avg((F.col("weight_lbs") < F.col("q50")).cast("double")).alias("below"),
+        F.avg((F.col("weight_lbs") <= F.col("q50")).cast("double")).alias("upto"))
+    near = F.abs(F.col("unique_values") - F.col("u")) <= F.greatest(3 * profiling.HLL_ERROR * F.col("u"), F.lit(1))
+    inside = ((F.col("below") <= 0.5 + profiling.KLL_ERROR) & (F.col("upto") >= 0.5 - profiling.KLL_ERROR))
+    return found.join(exact, "column_name").crossJoin(F.broadcast(place)).select(
+        "column_name", "row_count", "null_count", "least", "greatest", near.alias("distinct_in_error"),
+        F.when(F.col("q50").isNull(), True).otherwise(inside).alias("median_in_error"))
+
+
 @query(" UNION ALL ".join(f"""
 SELECT '{c}' AS column_name, CASE WHEN u <= 25 THEN CAST({c} AS VARCHAR) END AS value,
   CASE WHEN u <= 25 THEN count(*) END AS n, u AS distinct_values

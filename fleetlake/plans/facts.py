@@ -30,10 +30,23 @@ def fact_trips(trips: DataFrame, loads: DataFrame, batch_id: str | None,
     ``load_id`` is unique on the load side. Only trips and loads of one batch meet when
     both inputs are of one batch.
     """
-    wanted = [c for c in ("load_id", "customer_id", "route_id", "load_date", "load_type",
-                          "booking_type", "load_status", "weight_lbs", "pieces", "revenue",
-                          "fuel_surcharge", "accessorial_charges") if c in loads.columns]
-    joined = lookup_join(trips, loads.select(*wanted), on=["load_id"], how="inner", limit=limit)
+    joined = lookup_join(trips, _of_load(loads), on=["load_id"], how="inner", limit=limit)
+    return _priced(joined, batch_id)
+
+
+def fact_trips_bucketed(trips: DataFrame, loads: DataFrame, batch_id: str | None) -> DataFrame:
+    """``fact_trips`` of tables that lie in equal buckets of ``load_id``: the join is planned on that
+    layout and merges bucket by bucket."""
+    return _priced(trips.hint("merge").join(_of_load(loads).hint("merge"), "load_id"), batch_id)
+
+
+def _of_load(loads: DataFrame) -> DataFrame:
+    return loads.select(*[c for c in (
+        "load_id", "customer_id", "route_id", "load_date", "load_type", "booking_type", "load_status", "weight_lbs",
+        "pieces", "revenue", "fuel_surcharge", "accessorial_charges") if c in loads.columns])
+
+
+def _priced(joined: DataFrame, batch_id: str | None) -> DataFrame:
     freight, surcharge, accessorial = (
         _amount(joined, c) for c in ("revenue", "fuel_surcharge", "accessorial_charges"))
     priced = joined.withColumns({
