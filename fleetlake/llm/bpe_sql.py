@@ -10,6 +10,7 @@ when none is left. Decoding joins ids with the vocabulary and aggregates in orde
 from __future__ import annotations
 
 import base64
+from array import array
 from itertools import chain
 from operator import itemgetter
 
@@ -31,7 +32,7 @@ _ROWS = 1_500_000
 # Bytes of text that are split at once, bytes of the pieces that a worker remembers, and what an
 # entry takes besides its bytes.
 _CHUNK = 1_000_000
-_REMEMBER = 96_000_000
+_REMEMBER = 200_000_000
 _ENTRY = 260
 _DUCKDB = "160MB"
 
@@ -62,6 +63,26 @@ from tokens t join vocabulary v using (id) group by word
 """
 
 
+def _positions(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each length, one after another."""
+    return (np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+
+
+def _blocks(items: list[int], lengths: list[int]):
+    """Runs of ``items`` whose statement has a bounded number of rows."""
+    block: list[int] = []
+    rows = 0
+    for item, length in zip(items, lengths):
+        more = length * min(length, ROUNDS)
+        if block and rows + more > _ROWS:
+            yield block
+            block, rows = [], 0
+        block.append(item)
+        rows += more
+    if block:
+        yield block
+
+
 class Coder:
     """One worker's DuckDB with the vocabulary, and the pieces it knows already."""
 
@@ -86,61 +107,66 @@ class Coder:
         self.db.execute(f"create table {name} as select * from incoming")
         self.db.unregister("incoming")
 
-    def _run(self, name: str, sql: str, **data) -> list[tuple]:
+    def _run(self, name: str, sql: str, **data) -> pa.Table:
         self.db.register(name, pa.table(data))
-        rows = self.db.execute(sql).fetchall()
+        rows = self.db.sql(sql).to_arrow_table()
         self.db.unregister(name)
         return rows
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece. A piece that is a token as a whole is that token."""
-        out: list[list[int]] = [[self.ranks[p]] if p in self.ranks else [] for p in pieces]
-        todo = [i for i, ids in enumerate(out) if not ids and pieces[i]]
-        state = {i: self.byte[np.frombuffer(pieces[i], np.uint8)] for i in todo if len(pieces[i]) <= LONG_PIECE}
-        while state:
-            state = self._contract(state, out)
-        for i in todo:
-            if len(pieces[i]) > LONG_PIECE:
-                out[i] = merge_long(pieces[i], self.ranks)
+    def packed_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids (32-bit numbers) of each piece. A piece that is a token as a whole is that token."""
+        out, ranks = [b""] * len(pieces), self.ranks
+        todo = []
+        for i, piece in enumerate(pieces):
+            rank = ranks.get(piece)
+            if rank is not None:
+                out[i] = array("i", (rank,)).tobytes()
+            elif len(piece) > LONG_PIECE:
+                out[i] = array("i", merge_long(piece, ranks)).tobytes()
+            elif piece:
+                todo.append(i)
+        todo.sort(key=lambda i: len(pieces[i]))
+        left: dict[int, np.ndarray] = {}
+        for block in _blocks(todo, [len(pieces[i]) for i in todo]):
+            body = self.byte[np.frombuffer(b"".join([pieces[i] for i in block]), np.uint8)]
+            self._statement(block, np.array([len(pieces[i]) for i in block]), body, out, left)
+        while left:  # pieces that need further rounds
+            state, left = left, {}
+            for block in _blocks(list(state), [len(x) for x in state.values()]):
+                self._statement(block, np.array([len(state[i]) for i in block]),
+                                np.concatenate([state[i] for i in block]), out, left)
         return out
 
-    def _contract(self, state: dict[int, np.ndarray], out: list[list[int]]) -> dict[int, np.ndarray]:
-        """ROUNDS rounds for each piece of ``state``, in blocks of bounded rows. Finished pieces go
-        to ``out``; what is left comes back."""
-        left: dict[int, np.ndarray] = {}
-        block: list[int] = []
-        rows = 0
-        for word in sorted(state, key=lambda w: len(state[w])):
-            more = len(state[word]) * min(len(state[word]), ROUNDS)
-            if block and rows + more > _ROWS:
-                self._statement(block, state, out, left)
-                block, rows = [], 0
-            block.append(word)
-            rows += more
-        self._statement(block, state, out, left)
-        return left
-
-    def _statement(self, block, state, out, left) -> None:
-        lengths = np.array([len(state[w]) for w in block])
-        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        for word, done, ids in self._run(
-                "start", ENCODE.format(rounds=ROUNDS), word=np.repeat(block, lengths).astype(np.int32),
-                pos=(np.arange(len(first)) - first).astype(np.int32),
-                id=np.concatenate([state[w] for w in block])):
+    def _statement(self, block: list[int], lengths: np.ndarray, ids: np.ndarray, out: list[bytes],
+                   left: dict[int, np.ndarray]) -> None:
+        """ROUNDS rounds for the pieces of ``block``. Finished ones go to ``out``, others to ``left``."""
+        found = self._run("start", ENCODE.format(rounds=ROUNDS), word=np.repeat(block, lengths).astype(np.int32),
+                          pos=_positions(lengths), id=ids)
+        words, rounds, lists = (found.column(c).combine_chunks() for c in ("word", "round", "ids"))
+        values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
+        body, ends = values.tobytes(), (np.asarray(lists.offsets) - lists.offsets[0].as_py()).tolist()
+        for k, (word, done) in enumerate(zip(words.to_pylist(), rounds.to_pylist())):
             if done < ROUNDS:
-                out[word] = ids
+                out[word] = body[4 * ends[k]:4 * ends[k + 1]]
             else:
-                left[word] = np.array(ids, np.int32)
+                left[word] = values[ends[k]:ends[k + 1]]
 
-    def decode_ids(self, sequences: list[list[int]]) -> list[bytes]:
-        """Bytes of each id sequence, by ordered aggregation."""
-        lengths = np.array([len(s) for s in sequences], np.int64)
-        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        ids = np.fromiter(chain.from_iterable(sequences), np.int32, int(lengths.sum()))
-        found = dict(self._run(
+    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
+        return [array("i", x).tolist() for x in self.packed_pieces(pieces)]
+
+    def decode_packed(self, sequences: list[bytes]) -> list[bytes]:
+        """Bytes of each sequence of 32-bit ids, by ordered aggregation."""
+        lengths = np.array([len(s) // 4 for s in sequences], np.int64)
+        found = self._run(
             "tokens", DECODE, word=np.repeat(np.arange(len(sequences)), lengths).astype(np.int32),
-            pos=(np.arange(len(ids)) - first).astype(np.int32), id=ids))
-        return [bytes.fromhex(found.get(i, "")) for i in range(len(sequences))]
+            pos=_positions(lengths), id=np.frombuffer(b"".join(sequences), np.int32))
+        out = [b""] * len(sequences)
+        for word, body in zip(found.column("word").to_pylist(), found.column("body").to_pylist()):
+            out[word] = bytes.fromhex(body)
+        return out
+
+    def decode_ids(self, sequences: list[list[int]]) -> list[bytes]:
+        return self.decode_packed([array("i", s).tobytes() for s in sequences])
 
     def learn(self, pieces: set[str]) -> None:
         new = [p for p in pieces if p not in self.known]
@@ -151,9 +177,8 @@ class Coder:
             self.held, size = 0, sum(map(len, new)) * 9 + len(new) * _ENTRY
         if new:
             self.held += size
-            ids = self.encode_pieces([p.encode("utf-8") for p in new])
-            packed = [np.array(x, np.int32).tobytes() for x in ids]
-            self.known.update(zip(new, zip(packed, self.decode_ids(ids))))
+            packed = self.packed_pieces([p.encode("utf-8") for p in new])
+            self.known.update(zip(new, zip(packed, self.decode_packed(packed))))
 
     def run(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids as 32-bit numbers, decoded bytes) of each text."""
