@@ -146,7 +146,8 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFra
 
     Scores depend on the text alone, so repeated texts score alike; null and empty texts have
     the score of a text without words. The threshold is taken over all training labels. Without
-    labels of both kinds no text ranks above another: all scores are 0.5.
+    labels of both kinds no text ranks above another: all scores are 0.5. An empty table of documents
+    gives no rows, further columns are ignored, a null id is never held out. Texts of any length count whole.
     """
     train = materialised(training_labels(labels, label), "quality-labels")
     ranker, share = fit(docs, train)

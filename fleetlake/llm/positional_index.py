@@ -244,7 +244,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     Returns doc_id, text_key, n_words, n_hit, items, runs, one row per row of ``docs``. An
     item of fewer than ``window`` words is one phrase; one without words is none. Null texts
     have no words. Items with the same id count once; a null id is the empty name. Repeated
-    documents each get a row. An empty benchmark hits nothing. The benchmark is searched in
+    documents each get a row. An empty benchmark hits nothing, an empty table of documents gives
+    no rows, further columns are ignored. The benchmark is searched in
     blocks; with one block nothing is shuffled, with more the rows meet again by row number.
     """
     blocks = phrase_blocks(benchmark, window, block_words=block_words)

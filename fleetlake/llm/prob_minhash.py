@@ -265,7 +265,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     group has several distinct texts, ``copies`` the number of rows with the very same text.
     ``kept`` marks one row per group: the first with the smallest doc_id, nulls last. Equal texts
     without words are copies; different ones are not near. Null texts are copies of no one: each
-    such row is a group of its own. Repeated rows are copies.
+    such row is a group of its own. Repeated rows are copies. Further columns are ignored; an empty
+    table gives no rows; texts of any length are read whole.
 
     Equal texts collapse by a grouped count first, so a text may repeat without bound. A bucket
     of equal bands is not paired off: its members are compared with one of them, a different one

@@ -101,7 +101,8 @@ def judge(pages: DataFrame, rules: Rules) -> DataFrame:
 
     ``score`` is the mean log ratio less the threshold; null for a null or empty url. Without a
     rule the verdict is allow from 0 on, and where there is nothing to judge by: no characters,
-    or no URL that a rule allows, or none that one blocks. Repeated rows each get a row.
+    or no URL that a rule allows, or none that one blocks. Repeated rows each get a row; further columns are ignored; an
+    empty table gives no rows. URLs of any length are read whole.
     """
     page = columns(pages, "page_id", "url")
     page = page.select("page_id", "url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))

@@ -36,6 +36,26 @@ def test_stages_keep_columns_and_bear_empty_tables(spark, load):
             assert out.count() <= docs.count()
 
 
+def test_stages_bear_nulls_repeats_and_long_texts(spark, load):
+    from pyspark.sql import functions as F
+    base = load("documents").limit(12)
+    odd = spark.createDataFrame(
+        [(None, None), (None, ""), (1, None), (2, ""), (2, ""), (None, "the same words stand here twice over"),
+         (None, "the same words stand here twice over"), (900_001, "a long line of plain words, told again. " * 20_000)],
+        "doc_id long, text string")
+    docs = base.unionByName(odd, allowMissingColumns=True).unionByName(base.limit(3)).withColumn("part", F.lit("x"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF).collect()
+        assert len(out) <= docs.count(), name
+        if name in ("pii", "byte_bpe"):
+            assert len(out) == docs.count()
+        if name == "minhash_near_dedup":
+            assert sum(r["text"] is None for r in out) == 2
+            assert sum(r["text"] == "the same words stand here twice over" for r in out) == 1
+        if name == "byte_bpe":
+            assert sum(r["n_tokens"] == 0 for r in out) == 5
+
+
 def test_stages_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "minhash_near_dedup", "benchmark_decontamination", "pii", "byte_bpe"]
