@@ -1222,6 +1222,17 @@ def revenue_ytd_by_customer_type(t):
         attributes={"customer_type": ("dim_customer", "customer_type")}), {"dim_customer": t.dim_customer})
 
 
+@query(f"""SELECT make, date, {o.ratio0('miles', 'gallons')} AS fleet_mpg,
+  {o.ratio0('sum(miles) OVER w', 'sum(gallons) OVER w')} AS fleet_mpg_ytd
+FROM (SELECT d.make, f.dispatch_date AS date, sum(f.actual_distance_miles) AS miles, sum(f.fuel_gallons_used) AS gallons
+  FROM fact_trips f LEFT JOIN dim_truck d ON d.truck_id = f.truck_id GROUP BY 1, 2) d
+WINDOW w AS (PARTITION BY make, year(date) ORDER BY date)""", {6: ("fleet_mpg", "fleet_mpg_ytd")})
+def fleet_mpg_ytd_by_truck_make(t):
+    """The ratio of running sums, not a sum of ratios."""
+    return timeintel.year_to_date_in("fleet_mpg", {measures.TRIPS: t.fact_trips}, Context(
+        attributes={"make": ("dim_truck", "make")}), {"dim_truck": t.dim_truck})
+
+
 @query("""SELECT CAST(date_trunc('month', load_date) AS DATE) AS month, sum(total_revenue) AS total_revenue
 FROM fact_trips GROUP BY 1""")
 def revenue_by_load_date(t):

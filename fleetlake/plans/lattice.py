@@ -166,7 +166,7 @@ def _node(rows: DataFrame, keys: frozenset[str], name: str) -> Node:
 def _together(parts: list[DataFrame], keys: list[str], bases: list[str], names: list[str]) -> DataFrame:
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     combined = stacked.groupBy(*keys).agg(*[F.max(b).alias(b) for b in bases]) if len(parts) > 1 else parts[0]
-    return combined.select(*keys, *[m._column(n).alias(n) for n in names])
+    return combined.select(*keys, *[m.measure_column(n).alias(n) for n in names])
 
 
 # ------------------------------------------------------- distinct counts by time

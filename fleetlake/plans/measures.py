@@ -218,12 +218,12 @@ def base_measures(names: list[str]) -> list[str]:
     return list(found)
 
 
-def _column(name: str) -> Column:
+def measure_column(name: str) -> Column:
     """Expression of a measure over the aggregated base columns."""
     measure = MEASURES[name]
     if isinstance(measure, Base):
         return F.col(name)
-    return measure.build(*[_column(i) for i in measure.inputs])
+    return measure.build(*[measure_column(i) for i in measure.inputs])
 
 
 def _one_per_key(dim: DataFrame, table: str, key: str, column: str, name: str) -> DataFrame:
@@ -270,7 +270,7 @@ def evaluate(names: list[str], facts: dict[str, DataFrame], context: Context = C
         # Each base column is filled by one fact only; max picks it. Null keys group together.
         stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), per_fact)
         combined = stacked.groupBy(*keys).agg(*[F.max(b).alias(b) for b in bases])
-    return combined.select(*keys, *[_column(n).alias(n) for n in names])
+    return combined.select(*keys, *[measure_column(n).alias(n) for n in names])
 
 
 def revenue_by_load_date(fact_trips: DataFrame, period: str = "month") -> DataFrame:

@@ -268,9 +268,9 @@ def run_batch(spark: SparkSession, lake: Lake, batch_id: str, force: bool = Fals
         arrivals = control.arrival_rows(spark, manifest, f"{lake.raw_root}/{batch_id}")
     else:
         listed = {e["table"] for e in manifest["tables"]}
-        wrong = raw.verify_manifest(spark, manifest, {
+        wrong = listed and raw.verify_manifest(spark, manifest, {
             t: lake.raw_path(t, batch_id) for t in registry.TABLES if t in listed})
-        if not wrong.isEmpty():
+        if listed and not wrong.isEmpty():
             raise ManifestMismatch(f"batch {batch_id}: files differ from the manifest")
         arrivals = control.arrival_rows(spark, manifest, f"{lake.raw_root}/{batch_id}")
     store.append(arrivals, audit, "batch_control")

@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetlake.functions.text import divide_or_zero, month_start
-from fleetlake.plans.measures import Context, PERIODS, evaluate
+from fleetlake.plans.measures import MEASURES, PERIODS, Context, base_measures, evaluate, measure_column
 
 
 def daily(fact: DataFrame, date_column: str, value: str) -> DataFrame:
@@ -89,11 +89,20 @@ def compared(measure: str, facts: dict[str, DataFrame], context: Context, dims:
 
 def year_to_date_in(measure: str, facts: dict[str, DataFrame], context: Context,
                     dims: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Running total of an additive measure over the days of the year, per context group.
+    """A measure and its value over the year up to each day, per context group.
 
-    A window holds one group's days of one year: 366 rows at most.
+    The sums it rests on run over the days and the measure is taken of the running sums, so a ratio
+    is one of sums. Averages and distinct counts do not add up over days: a measure that rests on one
+    is refused. A window holds one group's days of one year: 366 rows at most. Days without a value
+    keep the row they have.
     """
-    totals = evaluate([measure], facts, replace(context, periods={**context.periods, "date": PERIODS["date"]}), dims)
-    running = (Window.partitionBy(*context.keys, F.year("date")).orderBy("date")
+    bases = base_measures([measure])
+    wrong = [b for b in bases if MEASURES[b].kind != "sum"]
+    if wrong:
+        raise ValueError(f"{measure} rests on {wrong}, which do not add up over days")
+    context = replace(context, periods={**context.periods, "date": PERIODS["date"]})
+    totals = evaluate(list(dict.fromkeys([measure, *bases])), facts, context, dims)
+    running = (Window.partitionBy(*[k for k in context.keys if k != "date"], F.year("date")).orderBy("date")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return totals.withColumn(f"{measure}_ytd", F.sum(measure).over(running))
+    ran = totals.select(*context.keys, F.col(measure).alias("_day"), *[F.sum(b).over(running).alias(b) for b in bases])
+    return ran.select(*context.keys, F.col("_day").alias(measure), measure_column(measure).alias(f"{measure}_ytd"))

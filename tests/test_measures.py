@@ -57,3 +57,9 @@ def test_a_lookup_key_with_several_rows_is_an_error(spark):
     with pytest.raises(Exception, match="several rows"):
         evaluate(["total_revenue"], {"fact_trips": trips}, Context(attributes={"make": ("dim_truck", "make")}),
                  {"dim_truck": trucks}).collect()
+
+
+def test_measures_that_do_not_add_up_have_no_running_total(spark):
+    for name in ("average_trip_distance", "active_truck_count"):
+        with pytest.raises(ValueError, match="do not add up"):
+            timeintel.year_to_date_in(name, {}, measures.Context())
