@@ -3,15 +3,14 @@
 A writer puts a new version beside the others, where no reader looks, and then adds one small marker
 to the table's log. Readers take, for each batch, the version of its newest marker. Nothing is renamed
 or deleted, so a writer that fails at any point leaves readers on what was there before, and queries
-that run keep their files. Markers are numbered; a number that is taken makes the writer take the next.
+that run keep their files.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetlake import registry
@@ -25,7 +24,6 @@ MOST_FILES = 10_000
 _COMMIT = "seq bigint, batch_id string, version string"
 # The one batch of a table that is replaced as a whole.
 _WHOLE = "all"
-_RETRIES = 50
 
 
 class Conflict(Exception):
@@ -76,27 +74,19 @@ def commit(spark: SparkSession, root: str, table: str, batch_id: str, version: s
            based_on: str | None = None, checked: bool = False) -> int:
     """Put a written version in force and return the number of its commit.
 
-    With ``checked`` the version in force must still be ``based_on`` (None: there is none), else
-    Conflict: a change that was made from another state must not replace this one.
+    Every marker is a folder of its own, so writers never meet in a file. Numbers taken at the same
+    time are ordered by the versions' names, for all readers alike. With ``checked`` the version in
+    force must still be ``based_on`` (None: there is none) before, and this one after the marker is
+    written, else Conflict: a change made from another state must not count as done.
     """
-    for attempt in range(_RETRIES):
-        last = commits(spark, root, table).agg(F.max("seq")).first()[0] or 0
-        if checked and snapshot(spark, root, table).get(batch_id) != based_on:
-            raise Conflict(f"{table}: version {based_on} is no longer in force")
-        seq = last + 1
-        try:
-            _mark(spark, f"{_base(root, table)}/_commits/seq={seq:012d}", seq, batch_id, version)
-            return seq
-        except PySparkException:
-            if (commits(spark, root, table).agg(F.max("seq")).first()[0] or 0) < seq:
-                raise  # no other writer took the number: the storage failed
-        time.sleep(0.05 * attempt)
-    raise Conflict(f"{table}: no free commit number in {_RETRIES} attempts")
-
-
-def _mark(spark: SparkSession, path: str, seq: int, batch_id: str, version: str) -> None:
-    """Write one marker; an error if the number is taken."""
-    spark.createDataFrame([(seq, batch_id, version)], _COMMIT).coalesce(1).write.mode("errorifexists").json(path)
+    if checked and snapshot(spark, root, table).get(batch_id) != based_on:
+        raise Conflict(f"{table}: version {based_on} is no longer in force")
+    seq = (commits(spark, root, table).agg(F.max("seq")).first()[0] or 0) + 1
+    spark.createDataFrame([(seq, batch_id, version)], _COMMIT).coalesce(1).write.json(
+        f"{_base(root, table)}/_commits/{seq:012d}-{version}")
+    if checked and snapshot(spark, root, table).get(batch_id) != version:
+        raise Conflict(f"{table}: another version has come at the same time as {version}")
+    return seq
 
 
 # -------------------------------------------------------------------- batches

@@ -103,18 +103,17 @@ def test_a_writer_that_dies_before_its_commit_changes_nothing(spark, tmp_path, m
     assert store.superseded(spark, root, "fact_maintenance").count() == 1
 
 
-def test_a_taken_commit_number_makes_the_writer_take_the_next(spark, tmp_path, monkeypatch):
-    root, mark, taken = str(tmp_path), store._mark, []
-
-    def rival(spark, path, seq, batch_id, version):
-        if not taken:
-            taken.append(seq)
-            mark(spark, path, seq, "b2", "other")
-        mark(spark, path, seq, batch_id, version)
-
-    monkeypatch.setattr(store, "_mark", rival)
-    assert store.commit(spark, root, "t", "b1", "mine") == 2
-    assert store.snapshot(spark, root, "t") == {"b1": "mine", "b2": "other"}
+def test_writers_at_the_same_time_all_commit(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    root = str(tmp_path)
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda i: store.commit(spark, root, "t", f"b{i % 3}", f"v{i}"), range(6)))
+    log = store.commits(spark, root, "t").collect()
+    assert sorted(r["version"] for r in log) == [f"v{i}" for i in range(6)]
+    last = {}
+    for r in sorted(log, key=lambda r: (r["seq"], r["version"])):
+        last[r["batch_id"]] = r["version"]
+    assert store.snapshot(spark, root, "t") == last and len(last) == 3
 
 
 def test_a_dimension_made_from_an_old_version_is_refused(spark, tmp_path):
