@@ -4,6 +4,9 @@ A fact is scanned once, into a state: per combination of the keys that any wante
 parts that merge (sums, counts) and, for distinct counts, bitmaps over dense keys. Every context gets a
 node of its own keys, made from the smallest node that holds them; dimensions are joined to the groups
 of a node, never to rows. Sums add up, bitmaps are united, so each context is exact.
+
+A bitmap is cut into words of 64 keys and only words with a bit are kept. A group of one row costs one
+word, so a state never has more rows than the fact has, once per kind, however fine its keys are.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from fleetlake.sources.scratch import materialised
 DENSE = {"truck_id": ("dim_truck", "truck_id", "truck_sk"), "driver_id": ("dim_driver", "driver_id", "driver_sk")}
 DAY = "_day"
 _SUM = ""
+# Dense keys in one word of a bitmap: the bits of a long. A bucket is named by its least key.
+WORD = 64
 
 
 @dataclass
@@ -66,8 +71,8 @@ def dense_ids(dims: dict[str, DataFrame], column: str) -> DataFrame:
 def states(name: str, fact: DataFrame, keys: frozenset[str], bases: list[str], dims: dict[str, DataFrame],
            date_column: str | None = None) -> DataFrame:
     """The state of a fact by ``keys``: rows of ``_kind`` '' carry the additive parts, those of a
-    column's name its distinct values: bitmaps per ``_bucket`` of dense keys, and strays (ids without
-    a dense key, null among them) one by one.
+    column's name its distinct values: a word of bits per ``_bucket`` of dense keys, and strays (ids
+    without a dense key, null among them) one by one.
 
     A fact row is grouped once for the sums and once for every counted column, in one scan.
     """
@@ -88,13 +93,12 @@ def states(name: str, fact: DataFrame, keys: frozenset[str], bases: list[str], d
     summing = F.col("_k.kind") == _SUM
     # Rows of other kinds hold nulls in the summed columns; whole rows are counted by their kind.
     long = long.select(*keys, F.col("_k.kind").alias("_kind"), F.col("_k.stray").alias("_stray"),
-                       F.bitmap_bucket_number("_k.position").alias("_bucket"),
-                       F.bitmap_bit_position("_k.position").alias("_bit"),
+                       F.expr(f"_k.position - pmod(_k.position, {WORD})").alias("_bucket"),
+                       F.expr(f"shiftleft(1L, cast(pmod(_k.position, {WORD}) AS int))").alias("_word"),
                        *[F.when(summing, F.col(c)).alias(c) for c in fact.columns if c not in keys])
     aggregates = [F.when(F.col("_kind") == _SUM, c).alias(n) for b in added for n, c in _parts(b).items()]
     return (long.groupBy(*keys, "_kind", "_bucket", "_stray")
-            .agg(F.count(F.lit(1)).alias("_rows"), F.bitmap_construct_agg("_bit").alias("_bits"), *aggregates)
-            .withColumn("_bits", F.when(F.col("_bucket").isNotNull(), F.col("_bits"))))
+            .agg(F.count(F.lit(1)).alias("_rows"), F.bit_or("_word").alias("_bits"), *aggregates))
 
 
 def merged(state: DataFrame, keys: list[str], bases: list[str]) -> DataFrame:
@@ -102,7 +106,7 @@ def merged(state: DataFrame, keys: list[str], bases: list[str]) -> DataFrame:
     names = [n for b in bases if m.MEASURES[b].kind != "values" for n in _parts(b)]
     return state.groupBy(*keys, "_kind", "_bucket", "_stray").agg(
         F.sum("_rows").alias("_rows"),
-        F.when(F.first("_bucket").isNotNull(), F.bitmap_or_agg("_bits")).alias("_bits"),
+        F.bit_or("_bits").alias("_bits"),
         *[F.sum(n).alias(n) for n in names])
 
 
@@ -113,7 +117,7 @@ def _answers(state: DataFrame, keys: list[str], bases: list[str]) -> DataFrame:
         base = m.MEASURES[b]
         if base.kind == "values":
             mine = F.col("_kind") == base.column
-            columns.append(F.coalesce(F.sum(F.when(mine, F.coalesce(F.bitmap_count("_bits"), F.lit(1)))),
+            columns.append(F.coalesce(F.sum(F.when(mine, F.coalesce(F.bit_count("_bits"), F.lit(1)))),
                                       F.lit(0)).alias(b))
         else:
             columns += [F.sum(n).alias(n) for n in _parts(b)]

@@ -63,3 +63,28 @@ def test_a_state_is_one_scan_without_expand(spark, tmp_path):
     plan = state._jdf.queryExecution().executedPlan().toString()
     assert "Expand [" not in plan and plan.count("/trips]") == 1
     assert state.where("_kind = ''").agg(F.sum("_rows")).first()[0] == 6
+
+
+def test_a_fine_state_is_no_larger_than_its_fact(spark, tmp_path):
+    """Keys that leave a row or two per group: a state holds words of the bits, not whole bitmaps."""
+    n = 5000
+    trips = spark.range(n).select(
+        F.col("id").cast("string").alias("trip_id"), F.concat(F.lit("T"), F.col("id") % 1000).alias("truck_id"),
+        F.concat(F.lit("D"), F.col("id") % 70).alias("driver_id"),
+        F.date_add(F.lit("2022-01-01").cast("date"), (F.col("id") % 365).cast("int")).alias("dispatch_date"),
+        F.col("id").alias("actual_distance_miles"), F.lit(1.0).alias("total_revenue"))
+    # Dense keys at the borders of words, below zero and far apart; the last ids have none.
+    trucks = spark.range(990).select(
+        (F.when(F.col("id") < 500, F.col("id") - 200).otherwise(F.col("id") * 1_000_003)).alias("truck_sk"),
+        F.concat(F.lit("T"), "id").alias("truck_id"), (F.col("id") % 3).cast("string").alias("make"))
+    state = lattice.states(measures.TRIPS, trips, frozenset({"truck_id", "driver_id", lattice.DAY}),
+                           ["active_truck_count"], {"dim_truck": trucks})
+    assert state.count() <= 2 * n
+    assert state.schema["_bits"].dataType.simpleString() == "bigint"  # 8 bytes a row
+    assert "SortAggregate" not in state._jdf.queryExecution().executedPlan().toString()
+    contexts = {"all": Context(), "make_year": Context(periods={"year": PERIODS["year"]}, attributes={"make": ("dim_truck", "make")})}
+    found = lattice.evaluate_many(["active_truck_count"], {measures.TRIPS: trips}, contexts, {"dim_truck": trucks})
+    assert found["all"].first()[0] == 1000
+    for name, context in contexts.items():
+        one = measures.evaluate(["active_truck_count"], {measures.TRIPS: trips}, context, {"dim_truck": trucks})
+        assert plain(found[name]) == plain(one.select(*found[name].columns)), name
