@@ -66,15 +66,16 @@ def batch_label(date_column: str,
 
     Null where the date does not parse or lies before the first batch.
     """
-    day = F.coalesce(
-        F.try_to_timestamp(text.strip(F.col(date_column)), F.lit(registry.TIMESTAMP_FORMAT)),
-        F.try_to_timestamp(text.strip(F.col(date_column)), F.lit(registry.DATE_FORMAT)))
-    year = F.year(day)
-    *exact, (last_id, last_year) = batches
-    label = F.when(year >= last_year, last_id)
-    for batch_id, batch_year in exact:
-        label = label.when(year == batch_year, batch_id)
-    return label
+    day = text.strip(F.col(date_column))
+    # A text with a colon can only be a timestamp and one without only a date: each is parsed once,
+    # and none is tried in a format that must fail, since a failure costs far more than a parse.
+    moment = F.when(day.contains(":"), F.try_to_timestamp(day, F.lit(registry.TIMESTAMP_FORMAT))).otherwise(
+        F.try_to_timestamp(day, F.lit(registry.DATE_FORMAT)))
+    last_id, last_year = batches[-1]
+    of_year = {y: b for b, y in reversed(batches) if y < last_year} | {last_year: last_id}
+    # The year stands in the expression once, however many batches there are.
+    year = F.least(F.coalesce(F.year(moment), F.lit(min(of_year) - 1)), F.lit(last_year))
+    return F.try_element_at(F.create_map(*[F.lit(x) for item in of_year.items() for x in item]), year)
 
 
 def split_batches(df: DataFrame, date_column: str,
