@@ -41,3 +41,15 @@ def test_tables_in_equal_buckets_join_without_a_shuffle(spark, tmp_path):
     got = facts.fact_trips_bucketed(left, right, "b1")
     assert sorted(r["trip_id"] for r in got.collect()) == sorted(
         r["trip_id"] for r in facts.fact_trips(trips, loads, "b1").collect()) and got.count() > 400
+
+
+def test_buckets_grow_with_the_tables(spark, tmp_path, monkeypatch):
+    from fleetlake.catalog.queries import QUERIES
+    asked, write = [], store.write_bucketed
+    monkeypatch.setattr(store, "BUCKET_ROWS", 500)
+    monkeypatch.setattr(store, "write_bucketed", lambda df, path, keys, n: asked.append(n) or write(df, path, keys, n))
+    found = QUERIES["fact_trips_bucketed"](spark, "/root/testdata/sf0.001")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert asked == [-(-lines // 500)] * 2 and asked[0] > 8  # rows of a bucket stay the same, both tables have as many
+    assert found.count() == lines
+    assert store.buckets_for(spark.range(3), spark.range(0), least=8) == 8
