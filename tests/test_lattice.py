@@ -2,8 +2,10 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from fleetlake.operators import joins
 from fleetlake.plans import lattice, measures
 from fleetlake.plans.measures import Context, PERIODS
 
@@ -88,3 +90,85 @@ def test_a_fine_state_is_no_larger_than_its_fact(spark, tmp_path):
     for name, context in contexts.items():
         one = measures.evaluate(["active_truck_count"], {measures.TRIPS: trips}, context, {"dim_truck": trucks})
         assert plain(found[name]) == plain(one.select(*found[name].columns)), name
+
+
+def fine_fact(spark, n=20_000):
+    """Trips of which hardly two share a truck, a driver and a day; ids unknown, blank and of no current row."""
+    trips = spark.range(n).select(
+        F.col("id").cast("string").alias("trip_id"),
+        F.when(F.col("id") % 50 != 0, F.concat(F.lit("T"), F.col("id") * 7919 % 6500)).alias("truck_id"),
+        F.when(F.col("id") % 60 != 0, F.concat(F.lit("D"), F.col("id") * 31 % 75)).alias("driver_id"),
+        F.date_add(F.lit("2022-01-01").cast("date"), (F.col("id") * 13 % 730).cast("int")).alias("dispatch_date"),
+        (F.col("id") % 90).alias("actual_distance_miles"), (F.col("id") % 40 / 4).alias("total_revenue"),
+        F.lit("unread").alias("note"))
+    trucks = spark.range(6400).select(
+        (F.col("id") + 1).alias("truck_sk"), F.concat(F.lit("T"), "id").alias("truck_id"),
+        F.when(F.col("id") % 25 != 0, (F.col("id") % 25).cast("string")).alias("make"))
+    # Drivers up to 69 have a closed version and, but for the first five, a current one.
+    day = F.lit("2022-09-01").cast("date")
+    closed = spark.range(70).select(
+        (F.col("id") + 1).alias("driver_sk"), F.concat(F.lit("D"), "id").alias("driver_id"), F.lit("old").alias("employment_status"),
+        F.lit(False).alias("is_current"), F.lit("2000-01-01").cast("date").alias("valid_from"), day.alias("valid_to"))
+    current = spark.range(5, 70).select(
+        (F.col("id") + 100).alias("driver_sk"), F.concat(F.lit("D"), "id").alias("driver_id"),
+        (F.col("id") % 2).cast("string").alias("employment_status"), F.lit(True).alias("is_current"), day.alias("valid_from"),
+        F.lit(None).cast("date").alias("valid_to"))
+    return trips, {"dim_truck": trucks, "dim_driver": closed.unionByName(current)}
+
+
+FINE = ["total_revenue", "total_trips", "average_trip_distance", "active_truck_count", "active_driver_count"]
+FINE_CONTEXTS = {
+    "make_year": Context(periods={"year": PERIODS["year"]}, attributes={"make": ("dim_truck", "make")}),
+    "status_month": Context(periods={"month": PERIODS["month"]}, attributes={"status": ("dim_driver", "employment_status")}),
+    "renamed": Context(periods={"y": PERIODS["year"], "again": PERIODS["year"]}, attributes={"brand": ("dim_truck", "make")}),
+    "all": Context()}
+
+
+def test_no_node_of_a_fine_fact_is_as_large_as_the_fact(spark, monkeypatch):
+    trips, dims = fine_fact(spark)
+    sizes, node = [], lattice._node
+
+    def noted(rows, keys, name):
+        made = node(rows, keys, name)
+        sizes.append(made.size)
+        return made
+
+    monkeypatch.setattr(lattice, "_node", noted)
+    found = lattice.evaluate_many(FINE, {measures.TRIPS: trips}, FINE_CONTEXTS, dims)
+    # By truck, driver and day: 20,000 rows for the sums and as many for each counted column.
+    assert len(sizes) == 4 and max(sizes) < 20_000
+    for name, context in FINE_CONTEXTS.items():
+        one = measures.evaluate(FINE, {measures.TRIPS: trips}, context, dims)
+        assert plain(found[name]) == plain(one.select(*found[name].columns)), name
+
+
+def test_an_attribute_at_the_event_beside_current_ones(spark):
+    trips, dims = fine_fact(spark, 2000)
+    contexts = {"then": Context(periods={"year": PERIODS["year"]}, attributes={
+        "make": ("dim_truck", "make"), "status": ("dim_driver", "employment_status")}, at_event=frozenset({"status"})),
+        "now": FINE_CONTEXTS["status_month"]}
+    found = lattice.evaluate_many(FINE, {measures.TRIPS: trips}, contexts, dims)
+    for name, context in contexts.items():
+        one = measures.evaluate(FINE, {measures.TRIPS: trips}, context, dims)
+        assert plain(found[name]) == plain(one.select(*found[name].columns)), name
+
+
+def test_dimensions_too_large_to_broadcast_shuffle_no_unread_column(spark, tmp_path, monkeypatch):
+    trips, dims = fine_fact(spark, 2000)
+    trips.write.parquet(f"{tmp_path}/t")
+    trips = spark.read.parquet(f"{tmp_path}/t")
+    monkeypatch.setattr(joins, "BROADCAST_LIMIT_BYTES", 0)
+    state = lattice.states(measures.TRIPS, trips, frozenset({lattice.DAY}), FINE, dims)
+    assert "note" not in state._jdf.queryExecution().executedPlan().toString()
+    # The source of hot ids only picks what is salted: results are the same by any.
+    found = lattice.evaluate_many(FINE, {measures.TRIPS: trips}, FINE_CONTEXTS, dims, {measures.TRIPS: trips.limit(50)})
+    for name, context in FINE_CONTEXTS.items():
+        one = measures.evaluate(FINE, {measures.TRIPS: trips}, context, dims)
+        assert plain(found[name]) == plain(one.select(*found[name].columns)), name
+
+
+def test_an_id_with_several_rows_is_an_error(spark):
+    trips, dims = fine_fact(spark, 100)
+    dims["dim_truck"] = dims["dim_truck"].unionByName(dims["dim_truck"].limit(3))
+    with pytest.raises(Exception, match="dim_truck has several rows of truck_id"):
+        lattice.evaluate_many(FINE, {measures.TRIPS: trips}, FINE_CONTEXTS, dims)
