@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fleetlake.llm.common import columns, released, text_key
 from fleetlake.sources.scratch import materialised
 
-# Bound of the labelled sample that the weights are fitted on, and of its preference pairs.
-SAMPLE_ROWS = 20_000
+# Labelled documents of a block, about, and preference pairs drawn in it. All blocks take part in the fit.
+BLOCK_ROWS = 20_000
 PAIRS = 60_000
 # Width of the quantile band whose middle is the threshold.
 _BAND = 0.01
@@ -64,6 +64,35 @@ class Ranker:
         return np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights
 
 
+def _drawn(good: np.ndarray, bad: np.ndarray, ranker: Ranker, pairs: int, seed: int) -> np.ndarray:
+    """Differences of ``pairs`` (good, bad) pairs; each document takes part equally."""
+    draw = np.random.default_rng(seed)
+    a = np.resize(draw.permutation(len(good)), pairs)
+    b = np.resize(draw.permutation(len(bad)), pairs)
+    draw.shuffle(b)
+    z = [np.clip((x - ranker.mean) / ranker.scale, -8, 8) for x in (good, bad)]
+    return z[0][a] - z[1][b]
+
+
+def _sums(d: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and curvature of the pairs' log likelihood."""
+    p = 1 / (1 + np.exp(-np.clip(d @ weights, -30, 30)))
+    return d.T @ (1 - p), (d * (p * (1 - p))[:, None]).T @ d
+
+
+def _climb(ranker: Ranker, sums) -> Ranker:
+    """Newton steps; ``sums`` gives slope, curvature and number of the pairs at some weights."""
+    for _ in range(25):
+        slope, curve, pairs = sums(ranker.weights)
+        slope = slope / pairs - _RIDGE * ranker.weights
+        curve = curve / pairs + _RIDGE * np.eye(len(slope))
+        move = np.linalg.solve(curve, slope)
+        ranker.weights = ranker.weights + move
+        if np.abs(move).max() < 1e-6:
+            break
+    return ranker
+
+
 def fit_pairs(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, seed: int = 7) -> Ranker:
     """Fit by Newton steps on ``pairs`` (good, bad) pairs; each document takes part equally.
 
@@ -76,32 +105,36 @@ def fit_pairs(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, seed: int =
     ranker = Ranker(mean, scale, np.zeros(width))
     if not len(good) or not len(bad):
         return ranker
-    draw = np.random.default_rng(seed)
-    a = np.resize(draw.permutation(len(good)), pairs)
-    b = np.resize(draw.permutation(len(bad)), pairs)
-    draw.shuffle(b)
-    z = [np.clip((x - mean) / scale, -8, 8) for x in (good, bad)]
-    d = z[0][a] - z[1][b]
-    for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(d @ ranker.weights, -30, 30)))
-        slope = d.T @ (1 - p) / pairs - _RIDGE * ranker.weights
-        curve = (d * (p * (1 - p))[:, None]).T @ d / pairs + _RIDGE * np.eye(width)
-        move = np.linalg.solve(curve, slope)
-        ranker.weights = ranker.weights + move
-        if np.abs(move).max() < 1e-6:
-            break
-    return ranker
+    d = _drawn(good, bad, ranker, pairs, seed)
+    return _climb(ranker, lambda weights: (*_sums(d, weights), pairs))
+
 
+_FEATURES = "doc_id long, text_key binary, value array<double>"
 
-def _map_features(rows: DataFrame, out: str, make) -> DataFrame:
-    """mapInArrow over (key, hash, text): ``make`` turns a feature matrix into the last column."""
+
+def _map_features(rows: DataFrame) -> DataFrame:
+    """mapInArrow over (key, hash, text): the features of each text."""
     def run(batches):
         for batch in batches:
             x = [features(b.as_py()) for b in batch.column(2)]
-            last = make(np.array(x).reshape(len(x), FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), last],
+            value = pa.array(np.array(x).reshape(len(x), FEATURES).tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), value],
+                                             names=["doc_id", "text_key", "value"])
+    return rows.mapInArrow(released(run), _FEATURES)
+
+
+def _map_scores(rows: DataFrame, ranker: Ranker) -> DataFrame:
+    """The features of each text turned into its score."""
+    def run(batches):
+        for batch in batches:
+            value = pa.array(ranker.score(_matrix(batch.column(2))), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), value],
                                              names=["doc_id", "text_key", "value"])
-    return rows.mapInArrow(released(run), f"doc_id long, text_key binary, value {out}")
+    return rows.mapInArrow(run, "doc_id long, text_key binary, value double")
+
+
+def _matrix(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -120,25 +153,70 @@ def training_labels(labels: DataFrame, label: str = "quality") -> DataFrame:
             .groupBy("doc_id").agg((F.avg(F.col(label)) >= 0.5).alias("good")))
 
 
-def fit(docs: DataFrame, train: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[Ranker, float]:
-    """The ranker, fitted on about ``rows`` labelled documents, and the share of good labels.
+def fit(found: DataFrame, train: DataFrame, rows: int = BLOCK_ROWS) -> tuple[Ranker, float]:
+    """The ranker, fitted on the features (``doc_id``, ``value``) of all documents labelled in
+    ``train``, and the share of good labels.
 
-    The sample is the ids whose hash lies in the lowest part of its range, ``rows`` of them on
-    average; they are few enough to be broadcast, and their features to be collected. The share
-    is that of all training labels.
+    Documents are dealt by a hash of their id into blocks of about ``rows``, and good and bad ones of
+    a block meet in pairs. Only a single block, as small as any, reaches the driver; of several each
+    is one row at rest, and a Newton step adds up what the blocks sum over their pairs.
     """
     n, good = train.agg(F.count(F.lit(1)), F.coalesce(F.avg(F.col("good").cast("double")),
                                                      F.lit(0.5))).first()
-    part = min(1.0, rows / max(n, 1))
-    picked = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(part * (1 << 30)))
-    texts = columns(docs, "doc_id", "text").join(F.broadcast(picked), "doc_id")
-    found = (_map_features(_texts(texts), "array<double>", lambda x: pa.array(x.tolist(), pa.list_(pa.float64())))
-             .groupBy("doc_id").agg(F.min("value").alias("value"))
-             .join(F.broadcast(picked), "doc_id").select("good", "value"))
-    data = found.toPandas()
-    x = np.array(data["value"].tolist()).reshape(len(data), FEATURES)
-    is_good = data["good"].to_numpy(bool)
-    return fit_pairs(x[is_good], x[~is_good]), float(good)
+    blocks = max(1, -(-n // rows))
+    labelled = found.groupBy("doc_id").agg(F.min("value").alias("value")).join(
+        F.broadcast(train) if blocks == 1 else train, "doc_id")
+    if blocks == 1:
+        data = labelled.select("good", "value").toPandas()
+        x = np.array(data["value"].tolist()).reshape(len(data), FEATURES)
+        is_good = data["good"].to_numpy(bool)
+        return fit_pairs(x[is_good], x[~is_good]), float(good)
+    of = F.array_sort(F.collect_list(F.struct("good", "doc_id", "value")))
+    block = materialised(
+        labelled.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block")).agg(of.alias("x"))
+        .select("block", F.col("x.good").alias("good"), F.flatten("x.value").alias("value")), "quality-blocks")
+    return _fit_blocks(block), float(good)
+
+
+def _fit_blocks(block: DataFrame) -> Ranker:
+    """``fit_pairs`` over blocks (``block``, ``good``, ``value``: the features one after another)."""
+    def total(make):
+        def run(batches):
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    number, good, value = (c[at] for c in batch.columns)
+                    good = np.array(good.as_py(), bool)
+                    x = value.values.to_numpy(zero_copy_only=False).reshape(-1, FEATURES)
+                    part = make(number.as_py(), x[good], x[~good])
+                    if part is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array([number.as_py()], pa.int64()), pa.array(
+                            [np.concatenate([np.ravel(p) for p in part]).tolist()], pa.list_(pa.float64()))],
+                            names=["block", "part"])
+
+        parts = block.mapInArrow(released(run), "block long, part array<double>").toPandas().sort_values("block")
+        return np.sum(np.array(parts["part"].tolist()), axis=0) if len(parts) else None
+
+    def moments(number, good, bad):
+        x = np.concatenate([good, bad])
+        return len(x), len(good) > 0 and len(bad) > 0, x.sum(axis=0)
+
+    found = total(moments)
+    if found is None:  # labels of absent documents alone
+        return Ranker(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES))
+    mean = found[2:] / found[0]
+    squares = total(lambda number, good, bad: (((np.concatenate([good, bad]) - mean) ** 2).sum(axis=0),))
+    ranker = Ranker(mean, np.sqrt(squares / found[0]) + 1e-6, np.zeros(FEATURES))
+
+    def sums(weights):
+        def part(number, good, bad):
+            if len(good) and len(bad):
+                return *_sums(_drawn(good, bad, ranker, PAIRS, 7 + number), weights), PAIRS
+            return None
+
+        got = total(part)
+        return got[:FEATURES], got[FEATURES:-1].reshape(FEATURES, FEATURES), got[-1]
+
+    return _climb(ranker, sums) if found[1] else ranker
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
@@ -150,10 +228,9 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFra
     gives no rows, further columns are ignored, a null id is never held out. Texts of any length count whole.
     """
     train = materialised(training_labels(labels, label), "quality-labels")
-    ranker, share = fit(docs, train)
-    scored = materialised(_map_features(_texts(docs), "double",
-                                        lambda x: pa.array(ranker.score(x), pa.float64())),
-                          "quality-scores")
+    found = materialised(_map_features(_texts(docs)), "quality-features")
+    ranker, share = fit(found.select("doc_id", "value"), train)
+    scored = materialised(_map_scores(found, ranker), "quality-scores")
     marks = [min(max(1 - share + d, 0.0), 1.0) for d in (-_BAND / 2, _BAND / 2)]
     cut = scored.join(train, "doc_id").agg(
         F.percentile_approx("value", marks, 100_000).alias("at")).first()["at"]

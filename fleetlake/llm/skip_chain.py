@@ -22,8 +22,6 @@ from fleetlake.llm.common import columns, released, sliced, text_key
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
-# Bound of the documents that potentials are fitted on, by a hash of the id.
-SAMPLE_ROWS = 20_000
 SURE = 0.8
 ROUNDS = 12
 DAMPING = 0.3
@@ -282,13 +280,9 @@ def _statistics(text: str) -> Counter:
     return counts
 
 
-def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Potentials:
-    """Potentials from about ``rows`` documents. Only grouped counts reach the driver: shapes and
-    label pairs take a bounded number of values."""
-    part = min(1.0, rows / max(docs.count(), 1))
-    picked = columns(docs, "doc_id", "text").where(
-        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(part * (1 << 30)))
-
+def fit(docs: DataFrame) -> Potentials:
+    """Potentials from all documents. Only grouped counts reach the driver: shapes and label pairs
+    take a bounded number of values."""
     def run(batches):
         for batch in batches:
             total: Counter = Counter()
@@ -299,7 +293,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Potentials:
                 [pa.array([["snk".index(k[0]), *k[1:]] for k in keys], pa.list_(pa.int32())),
                  pa.array([total[k] for k in keys], pa.int64())], names=["key", "n"])
 
-    counts = (picked.select(F.encode("text", "utf-8")).mapInArrow(released(run), "key array<int>, n long")
+    counts = (docs.select(F.encode(F.col("`text`"), "utf-8")).mapInArrow(released(run), "key array<int>, n long")
               .groupBy("key").agg(F.sum("n").alias("n")))
     return Potentials({("snk"[k[0]], *map(int, k[1:])): float(n)
                        for k, n in counts.toPandas().itertuples(index=False)})

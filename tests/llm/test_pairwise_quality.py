@@ -39,6 +39,33 @@ def test_pairs_rank_as_a_fitted_logistic_would():
     assert not q.fit_pairs(good, bad[:0]).weights.any()
 
 
+def test_all_labelled_documents_take_part(spark, load, monkeypatch):
+    """Above one block of labels nothing is sampled: the fit has every document's features."""
+    from functools import partial
+    docs, train = load("documents"), q.training_labels(load("labels"))
+    found = q._map_features(q._texts(docs)).select("doc_id", "value").cache()
+    ids = {r["doc_id"]: r["good"] for r in train.collect()}
+    x = np.array([r["value"] for r in found.collect() if r["doc_id"] in ids])
+    assert len(x) == len(ids) > 50
+    ranker, share = q.fit(found, train, 20)
+    assert np.allclose(ranker.mean, x.mean(axis=0)) and np.allclose(ranker.scale, x.std(axis=0) + 1e-6)
+    assert share == np.mean([*ids.values()]) and ranker.weights.any()
+    monkeypatch.setattr(q, "fit", partial(q.fit, rows=20))
+    rows = {r["doc_id"]: r for r in q.score(docs, load("labels")).collect()}
+    right = [rows[r["doc_id"]]["predicted"] == r["quality"] for r in load("labels").collect() if rows[r["doc_id"]]["held_out"]]
+    assert np.mean(right) > 0.9
+
+
+def test_blocks_without_both_kinds(spark):
+    rows = [(i, [float(i % 7)] * q.FEATURES) for i in range(300)]
+    found = spark.createDataFrame(rows, "doc_id long, value array<double>")
+    for labels in ([(i, True) for i in range(300)], [(i, True) for i in range(900, 990)]):
+        ranker, _ = q.fit(found, spark.createDataFrame(labels, "doc_id long, good boolean"), 20)
+        assert not ranker.weights.any() and np.isfinite(ranker.scale).all()
+    ranker, _ = q.fit(found, spark.createDataFrame([(i, i % 7 > 3) for i in range(300)], "doc_id long, good boolean"), 20)
+    assert (ranker.weights > 0).all()
+
+
 def test_edges(spark, docs):
     rows = [(1, None), (2, ""), (2, ""), (None, "some words here"), (3, "word " * 100_000), (4, "x"), (5, "\n\n")]
     labels = wide(spark.createDataFrame([(1, 1), (1, 0), (4, 0), (3, 1), (9, None), (None, 1)],

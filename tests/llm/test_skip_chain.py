@@ -89,3 +89,11 @@ def test_redacted_keeps_rows_and_columns(docs):
     out = s.redacted(df)
     assert out.columns == df.columns
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "mail [EMAIL] now", 2: None, 3: "clean"}
+
+
+def test_potentials_come_from_all_documents(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    n = 25_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("write to a1@b.example now").alias("text"))
+    monkeypatch.setattr(s, "Potentials", dict)
+    assert sum(v for k, v in s.fit(docs).items() if k[0] == "s") == n
