@@ -53,3 +53,56 @@ def test_a_batch_label_parses_a_text_once(spark):
     assert {r["got"] for r in got} == {"a", "b", "c", None}
     plan = rows.select(label)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("gettimestamp") == 2  # one per format, not two per batch
+
+
+def _shuffle_files(spark):
+    import glob
+    store_dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in store_dirs for f in glob.glob(f"{d}/*/shuffle_*")}
+
+
+def test_writing_leaves_no_shuffle_files(spark):
+    import time
+    before = _shuffle_files(spark)
+    rows = spark.range(1000).repartition(5).groupBy(F.col("id") % 7).count()
+    scratch.materialised(rows, "rows")
+    for _ in range(50):  # they go soon after
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(scratch._SHUFFLE_CLEANUP, None) is None and not scratch._open
+
+
+def test_what_lies_at_rest_for_a_block_is_deleted(spark, monkeypatch):
+    import os
+    rows = spark.createDataFrame([(1, 1995), (2, 1996), (3, None)], "x int, y int")
+    paths, folder = [], scratch.run_folder
+    monkeypatch.setattr(scratch, "run_folder", lambda *a: paths.append(folder(*a)) or paths[-1])
+    with pytest.raises(KeyError), scratch.at_rest(rows, "rest", by="y") as rest:
+        assert sorted(map(str, rest.collect())) == sorted(map(str, rows.collect()))
+        assert os.path.isdir(paths[0].removeprefix("file:"))
+        raise KeyError
+    assert not os.path.exists(paths[0].removeprefix("file:"))
+
+
+def test_years_are_laid_out_in_slices(spark, tmp_path, monkeypatch):
+    """Only the rows of a slice are shuffled at once; together they are the whole table, null dates too."""
+    rows = spark.range(600).select(
+        F.concat(F.lit("m"), "id").alias("maintenance_id"), F.concat(F.lit("t"), F.col("id") % 9).alias("truck_id"),
+        F.when(F.col("id") % 50 > 0, F.date_add(F.lit("2019-12-01").cast("date"), (F.col("id") * 2).cast("int")))
+        .alias("maintenance_date"), F.lit("Tire").alias("maintenance_type"))
+    sizes, lay = [], store.laid_out
+    monkeypatch.setattr(store, "laid_out", lambda df, *rest: sizes.append(df.count()) or lay(df, *rest))
+    monkeypatch.setattr(store, "SLICE_ROWS", 200)
+    with scratch.at_rest(rows.withColumn("_year", F.year("maintenance_date")), "rows", by="_year") as lying:
+        store.publish_fact(lying, str(tmp_path), "fact_maintenance", "b1", by="_year")
+    assert sum(sizes) == 600 and len(sizes) == 5 and max(sizes) <= 200
+    got = store.read_table(spark, str(tmp_path), "fact_maintenance").drop("batch_id")
+    assert sorted(map(str, got.select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
+    index = store.file_index(spark, str(tmp_path), "fact_maintenance")
+    assert index.agg(F.sum("n")).first()[0] == 600
+    with scratch.at_rest(rows.limit(0).withColumn("_year", F.year("maintenance_date")), "rows", by="_year") as lying:
+        store.publish_fact(lying, str(tmp_path), "fact_maintenance", "b1", by="_year")
+    empty = store.read_table(spark, str(tmp_path), "fact_maintenance")
+    assert empty.count() == 0 and {*rows.columns} <= {*empty.columns}
