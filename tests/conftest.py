@@ -13,6 +13,7 @@ def make_session() -> SparkSession:
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "8g")
              .config("spark.ui.enabled", "false")
+             .config("spark.sql.maxMetadataStringLength", "1000")  # plans name whole paths, however long
              .config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
